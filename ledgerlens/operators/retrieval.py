@@ -103,6 +103,8 @@ def _scan_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """One pass over the vectors, with all queries in every task; no shuffle before the winners."""
     schema = _hit_type(queries, vectors)
     table = queries.toArrow()
+    if table.num_rows == 0:
+        return queries.sparkSession.createDataFrame([], schema)
     sent = queries.sparkSession.sparkContext.broadcast(
         (_numpy(table.column("query_id")), _matrix(table.column("embedding")))
     )

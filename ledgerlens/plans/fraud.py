@@ -8,11 +8,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.expressions import TYPE_CODES
 from ledgerlens.operators.infrastructure import infra_by_state, normalise_infra
 from ledgerlens.operators.rates import attach_rate, fit_rate
 from ledgerlens.operators.sampling import balanced_train, split
 from ledgerlens.operators.training import fraud_pipeline, with_probability
-from ledgerlens.operators.transactions import enrich, rename_labels, txn_features
+from ledgerlens.operators.transactions import detect_input, enrich, rename_labels, txn_features
 from ledgerlens.plans.lookup import as_lookup, assign_state
 from ledgerlens.session import written
 
@@ -30,6 +31,12 @@ class Training:
     infra: DataFrame
 
 
+def training_table(df: DataFrame, key: str) -> DataFrame:
+    """Store rows for an iterative fit, in even pieces: every pass then uses all cores."""
+    pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartition(pieces, key), "training")
+
+
 def state_infra(raw_infra: DataFrame) -> DataFrame:
     """Totals per state, stored as a lookup table."""
     return as_lookup(infra_by_state(normalise_infra(raw_infra)), "infra")
@@ -51,7 +58,7 @@ def prepare(txn: DataFrame, states: DataFrame | list[str], raw_infra: DataFrame,
     train, test = split(stored, key)
     rates = as_lookup(fit_rate(train), "rates")
     train, test = attach_rate(train, rates), attach_rate(test, rates)
-    return Training(train, test, written(balanced_train(train, key), "balanced"), rates, infra)
+    return Training(train, test, training_table(balanced_train(train, key), key), rates, infra)
 
 
 def fit(training: Training, trees: int = 100, depth: int = 10) -> PipelineModel:
@@ -73,6 +80,32 @@ def score(
     return scored.withColumn("fraud_flag", F.col("prediction").cast("int")).select(*keep, *SCORED_COLUMNS)
 
 
+def score_batch(
+    df: DataFrame,
+    states: DataFrame | list[str],
+    infra: DataFrame,
+    rates: DataFrame,
+    model: PipelineModel,
+    threshold: float,
+) -> DataFrame:
+    """Score an uploaded batch, raw or with its features already computed.
+
+    A batch with features goes to the model as it is. Where it has only the
+    fixed type code, the type is read back from it, since the model indexes
+    types by itself.
+    """
+    if detect_input(df) == "raw":
+        return score(df, states, infra, rates, model, threshold)
+    if "type" not in df.columns:
+        names = F.create_map(*[F.lit(x) for name, code in TYPE_CODES.items() for x in (code, name)])
+        df = df.withColumn("type", F.try_element_at(names, F.col("type_index").cast("int")))
+    for name, default in (("state", F.lit("N/A")), ("nameOrig", F.lit(None).cast("string"))):
+        if name not in df.columns:
+            df = df.withColumn(name, default)
+    scored = with_probability(model.transform(df.drop("type_index")), threshold)
+    return scored.withColumn("fraud_flag", F.col("prediction").cast("int")).select(*SCORED_COLUMNS)
+
+
 def score_test(training: Training, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
     """The test rows with their label, features and probability."""
     return with_probability(model.transform(training.test), threshold)

@@ -5,7 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.tables import load
+from ledgerlens.sources import tables
+from ledgerlens.sources.tables import spread
+
+# Columns of the test tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 EPOCH = "1992-01-01"
 STATE_COLUMN = "State/UT"
@@ -13,6 +35,10 @@ DEVICES_COLUMN = "No. of PoS devices sanctioned"
 AMOUNT_COLUMN = "Amount sanctioned in lakh"
 
 
+def load(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
+    return tables.load(spark, name, sf_dir, SCHEMAS[name])
+
+
 def step_of(date: Column) -> Column:
     return F.datediff(date.cast("date"), F.lit(EPOCH).cast("date"))
 
@@ -23,7 +49,8 @@ def txn(spark: SparkSession, sf_dir: str, balances: bool = True, labels: bool =
     ``balances`` and ``labels`` add the columns that need further tables, so
     that a query without them does not pay for the joins.
     """
-    df = orders_as_txn(load(spark, "orders", sf_dir), spark, sf_dir, balances)
+    orders = load(spark, "orders", sf_dir)
+    df = orders_as_txn(spread(orders, "o_orderkey") if balances else orders, spark, sf_dir, balances)
     if labels:
         returned = (
             load(spark, "lineitem", sf_dir)
@@ -100,7 +127,7 @@ def corpus_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("doc_id")
     first_date = F.concat(F.lit("2024-"), F.lpad((key % 14).cast("string"), 2, "0"), F.lit("-15"))
     dates = F.when(key % 10 == 0, F.array(first_date, F.lit("2025-01-31"))).otherwise(F.array(first_date))
-    return load(spark, "documents", sf_dir).select(
+    return spread(load(spark, "documents", sf_dir), "doc_id").select(
         F.concat(F.lit(" doc-"), key, F.lit(" ")).alias("document"),
         F.col("source").alias("filename"),
         F.col("lang").alias("regulation_area"),

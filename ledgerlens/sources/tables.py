@@ -9,11 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load(spark: SparkSession, name: str, directory: str | None = None) -> DataFrame:
-    """A catalog table, or ``directory/name.parquet``."""
+def load(
+    spark: SparkSession, name: str, directory: str | None = None, schema: str | T.StructType | None = None
+) -> DataFrame:
+    """A catalog table, or ``directory/name.parquet``.
+
+    A given schema saves the job that would look for it in the files.
+    """
     if directory is None:
         return spark.read.table(name)
-    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal a scan's rows over all cores, if it comes in fewer pieces than there are.
+
+    A file with one row group is one task, however heavy the work on its rows.
+    A table of many files is returned as it is, without a shuffle. Dealing by
+    the hash of a unique key is the same after a retry.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def save(df: DataFrame, target: str, format: str = "parquet", mode: str = "overwrite", **options: str) -> None:
@@ -74,10 +91,13 @@ def explode_records(df: DataFrame, col: str, schema: T.StructType, keep: list[st
         F.col("_payload.dataframe_split.data"),
         lambda row: F.struct(*[split_field(row, names, f) for f in schema.fields]),
     )
+    # The outer form: for the inner one the optimizer adds a filter on the array's
+    # size below it, and that filter would parse every payload again.
     return (
         df.select(*keep, payload.alias("_payload"))
         .select(*keep, F.coalesce(F.col("_payload.dataframe_records"), from_split).alias("_rows"))
-        .select(*keep, F.posexplode("_rows").alias("pos", "_row"))
+        .select(*keep, F.posexplode_outer("_rows").alias("pos", "_row"))
+        .filter(F.col("pos").isNotNull())
         .select(*keep, "pos", "_row.*")
     )
 

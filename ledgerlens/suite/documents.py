@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import prompts
 from ledgerlens.operators import documents, evaluation, loans, retrieval
+from ledgerlens.operators.quality import first_rows
 from ledgerlens.plans.documents import build_layers
 from ledgerlens.session import written
 from ledgerlens.sources import roles
-from ledgerlens.sources.tables import layer_counts
+from ledgerlens.sources.tables import layer_counts, spread
 from ledgerlens.suite import sql
 from ledgerlens.suite.common import Query, rounded
 
@@ -50,6 +51,9 @@ ORACLE["gold_eval"] = sql.query(
     f"SELECT {', '.join(documents.EVAL_COLUMNS)} FROM silver WHERE split = 'eval'", sql.CORPUS
 )
 
+QUERIES["eval_sample"] = lambda spark, d: first_rows(_gold_eval(spark, d), 3, "qa_id")
+ORACLE["eval_sample"] = ORACLE["gold_eval"] + " ORDER BY qa_id LIMIT 3"
+
 
 def _layer_counts(spark, d):
     layers = build_layers(roles.corpus_train(spark, d), roles.corpus_eval(spark, d))
@@ -87,7 +91,7 @@ QUERIES["similar_lsh"] = lambda spark, d: retrieval.similar_lsh(roles.centroids(
 
 def _lexical(spark, d):
     """Benchmark passages against all chunks, both embedded with the chunks' term weights."""
-    chunks = written(_gold(spark, d), "chunks")
+    chunks = spread(written(_gold(spark, d), "chunks"), "chunk_id")
     model = retrieval.embedder().fit(chunks.select("retrieval_text"))
     questions = roles.load(spark, "benchmark", d).select(F.col("item_id").alias("query_id"), "text")
     hits = retrieval.similar(

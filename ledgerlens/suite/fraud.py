@@ -13,7 +13,8 @@ from ledgerlens.operators.transactions import rename_labels, type_codes
 from ledgerlens.plans.lookup import as_lookup, lookup_default
 from ledgerlens.session import scratch_path, written
 from ledgerlens.sources import roles
-from ledgerlens.sources.tables import explode_records, load, load_csv, save_csv
+from ledgerlens.sources.roles import load
+from ledgerlens.sources.tables import explode_records, load_csv, save_csv, spread
 from ledgerlens.suite import sql
 from ledgerlens.suite.common import (
     Query,
@@ -149,6 +150,11 @@ def _rate_sql(dim: str, source: str) -> str:
 QUERIES["rate_by_state"] = lambda spark, d: rounded(quality.rate_by(txn_with_state(spark, d, labels=True), "state"))
 ORACLE["rate_by_state"] = sql.query(_rate_sql("state", "txn_state"), *_TO_STATE)
 
+QUERIES["top_states"] = lambda spark, d: rounded(
+    quality.rate_by(txn_with_state(spark, d, labels=True), "state", top=10)
+)
+ORACLE["top_states"] = ORACLE["rate_by_state"] + " ORDER BY sum(is_fraud)::DOUBLE / count(*) DESC, state LIMIT 10"
+
 QUERIES["rate_by_type"] = lambda spark, d: rounded(quality.rate_by(_labelled(spark, d), "type"))
 ORACLE["rate_by_type"] = sql.query(_rate_sql("type", "txn"), sql.TXN)
 
@@ -223,7 +229,7 @@ ORACLE["split_counts"] = sql.query(
 )
 
 QUERIES["stratified_split"] = lambda spark, d: stratified_side(
-    _labelled(spark, d).select("txn_id", "is_fraud"), "txn_id", "is_fraud"
+    written(_labelled(spark, d).select("txn_id", "is_fraud"), "labelled"), "txn_id", "is_fraud"
 )
 ORACLE["stratified_split"] = sql.query(
     f"""SELECT txn_id, is_fraud,
@@ -277,7 +283,7 @@ ORACLE["balanced_train"] = sql.query(
 
 
 def _json_records(spark, d):
-    events = load(spark, "events", d)
+    events = spread(load(spark, "events", d), "event_id")
     record = F.to_json(F.struct("event_id", "value", F.col("user_id").alias("k")))
     records = F.concat(F.lit('{"dataframe_records": ['), record, F.lit(", "), F.col("props"), F.lit("]}"))
     row = F.concat(F.lit("["), "user_id", F.lit(", "), "event_id", F.lit(", "), F.to_json(F.array("event_type")), F.lit("]"))

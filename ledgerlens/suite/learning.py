@@ -15,11 +15,14 @@ from ledgerlens.plans import fraud
 from ledgerlens.plans.lookup import short_list
 from ledgerlens.session import written
 from ledgerlens.sources import roles
-from ledgerlens.sources.tables import load
+from ledgerlens.sources.roles import load
 from ledgerlens.streaming import scoring
-from ledgerlens.suite.common import Query
+from ledgerlens.suite.common import Query, rounded
+from ledgerlens.suite.fraud import FEATURES
+from ledgerlens.suite.fraud import ORACLE as FRAUD_ORACLE
 
 QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
 
 
 def prepared(spark, d) -> fraud.Training:
@@ -70,7 +73,7 @@ def _loan_sides(spark, d):
 
 def _loan_lr(spark, d):
     train, _ = _loan_sides(spark, d)
-    fitted, grid = training.logistic_grid(loans.LOAN_FEATURES, written(train, "train"), "Loan_Status", "loan_id")
+    fitted, grid = training.logistic_grid(loans.LOAN_FEATURES, fraud.training_table(train, "loan_id"), "Loan_Status", "loan_id")
     return training.grid_table(spark, fitted, grid, ["regParam"])
 
 
@@ -81,7 +84,7 @@ def _loan_gbt(spark, d, rounds: int = 50):
     """Boosted trees, the threshold from the precision-recall curve, and a decision per application."""
     train, test = _loan_sides(spark, d)
     classifier = training.boosted("Loan_Status", rounds, step=0.1)
-    model = training.loan_features_pipeline(loans.LOAN_FEATURES, classifier).fit(written(train, "train"))
+    model = training.loan_features_pipeline(loans.LOAN_FEATURES, classifier).fit(fraud.training_table(train, "loan_id"))
     tested = training.with_probability(model.transform(test), 0.5, "score").select("Loan_Status", "score")
     threshold = pr_threshold(written(tested, "tested"), "Loan_Status", "score").first()["threshold"]
     everyone = loans.loan_features(roles.loan_app(spark, d))
@@ -98,7 +101,7 @@ def _importances(train, test):
 
 def _feature_select(spark, d):
     train, test = _loan_sides(spark, d)
-    return _importances(written(train, "train"), test).orderBy(F.desc("importance"), "feature").limit(15)
+    return _importances(fraud.training_table(train, "loan_id"), test).orderBy(F.desc("importance"), "feature").limit(15)
 
 
 QUERIES["feature_select"] = _feature_select
@@ -106,7 +109,7 @@ QUERIES["feature_select"] = _feature_select
 
 def _model_compare(spark, d):
     """Baselines, boosting, and boosting on the selected features, by accuracy and area."""
-    train, test = (written(side, "side") for side in _loan_sides(spark, d))
+    train, test = (fraud.training_table(side, "loan_id") for side in _loan_sides(spark, d))
     every = loans.LOAN_FEATURES
     chosen = training.top_features(_importances(train, test), 15)
     label = "Loan_Status"
@@ -152,3 +155,17 @@ def _stream_mix(spark, d):
 
 
 QUERIES["stream_mix"] = _stream_mix
+ORACLE["stream_mix"] = """SELECT CASE WHEN event_type = 'error' THEN 'FRAUD' ELSE 'SAFE' END AS prediction,
+count(*) AS n FROM events GROUP BY 1"""
+
+
+def _stream_features(spark, d):
+    """The scorer's inputs computed on a stream: assignment, enrichment and features."""
+    infra = fraud.state_infra(roles.infra(spark, d))
+    states = short_list(roles.states(spark, d), "state")
+    rows = rounded(fraud.features(_stream_input(spark, d), states, infra).select(*FEATURES))
+    return scoring.drain_to_table(rows, "stream-features")
+
+
+QUERIES["stream_features"] = _stream_features
+ORACLE["stream_features"] = FRAUD_ORACLE["txn_features"]
