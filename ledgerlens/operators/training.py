@@ -191,8 +191,9 @@ def permutation_importance(
     """Loss of AUC when one input is shuffled, per input.
 
     The rows are first spread by the hash of their key, so that an Arrow batch
-    is a random draw; each input is then shuffled within the batch. All
-    shuffled copies are scored and measured in one job.
+    is a random draw; each input is then shuffled within the batch. Sorted
+    pieces and a seed from the batch make a retried task draw the same order.
+    All shuffled copies are scored and measured in one job.
     """
     inputs = test.select(key, label, *[F.col(c).cast("double").alias(c) for c in numeric]).dropna()
     base = "(none)"
@@ -206,7 +207,7 @@ def permutation_importance(
             for name in numeric:
                 yield batch.assign(**{name: order.permutation(batch[name].to_numpy())}, feature=name)
 
-    spread = inputs.repartition(F.xxhash64(key))
+    spread = inputs.repartition(F.xxhash64(key)).sortWithinPartitions(F.xxhash64(key), key)
     copies = spread.mapInPandas(shuffled, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in inputs.schema)}, feature string")
     scored = model.transform(copies).select(
         "feature", label, F.element_at(vector_to_array("probability"), 2).alias("score")

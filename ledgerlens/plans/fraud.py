@@ -32,9 +32,12 @@ class Training:
 
 
 def training_table(df: DataFrame, key: str) -> DataFrame:
-    """Store rows for an iterative fit, in even pieces: every pass then uses all cores."""
+    """Store rows for an iterative fit, in even pieces: every pass then uses all cores.
+
+    Sorted pieces make the bootstrap draws of a forest the same in every run.
+    """
     pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return written(df.repartition(pieces, key), "training")
+    return written(df.repartition(pieces, key).sortWithinPartitions(key), "training")
 
 
 def state_infra(raw_infra: DataFrame) -> DataFrame:

@@ -32,7 +32,8 @@ def short_list(values: DataFrame, col: str, longest: int = MAX_LITERAL_STATES) -
 def bucket_of(key: Column, values: list[str]) -> Column:
     """One of ``values``, chosen by the md5 of the key; NULL for a NULL key."""
     choices = F.array(*[F.lit(v) for v in values])
-    return F.element_at(choices, md5_mod(key, len(values)) + 1)
+    # element_at over an array without nulls does not look for a NULL position.
+    return F.when(key.isNotNull(), F.element_at(choices, md5_mod(key, len(values)) + 1))
 
 
 def assign_state(df: DataFrame, key: str, states: DataFrame | list[str]) -> DataFrame:

@@ -234,7 +234,7 @@ def loan_app(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(key / 32) % 2).cast("double").alias("Self_Employed"),
         F.greatest(F.col("c_acctbal"), F.lit(150.0)).alias("ApplicantIncome"),
         co.alias("CoapplicantIncome"),
-        F.round(F.col("o_totalprice") / 1000, 2).alias("LoanAmount"),
+        (F.col("o_totalprice") / 1000).alias("LoanAmount"),
         (36 + 12 * (key % 38)).cast("double").alias("Loan_Amount_Term"),
         F.when(F.col("o_orderstatus") == "F", 0.0).otherwise(1.0).alias("Credit_History"),
         (key % 3).cast("int").alias("Property_Area"),

@@ -264,7 +264,7 @@ WITH app AS (
          greatest(c_acctbal, CAST(150 AS DOUBLE)) AS ApplicantIncome,
          CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS DOUBLE)
               ELSE greatest(0.4::DOUBLE * c_acctbal, CAST(0 AS DOUBLE)) END AS CoapplicantIncome,
-         round(o_totalprice / 1000, 2) AS LoanAmount, CAST(36 + 12 * (o_orderkey % 38) AS DOUBLE) AS Loan_Amount_Term,
+         o_totalprice / 1000 AS LoanAmount, CAST(36 + 12 * (o_orderkey % 38) AS DOUBLE) AS Loan_Amount_Term,
          CASE WHEN o_orderstatus = 'F' THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS Credit_History,
          CAST(o_orderkey % 3 AS INTEGER) AS Property_Area,
          CASE WHEN o_orderstatus <> 'F' AND o_totalprice < 420000 THEN 1 ELSE 0 END AS Loan_Status
