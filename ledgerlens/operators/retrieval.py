@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
@@ -28,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerlens.functions import prompts
 from ledgerlens.functions.expressions import language_name
+from ledgerlens.functions.nearest import as_numpy, best, candidates, unit_rows
 from ledgerlens.functions.templates import fill, messages
 from ledgerlens.session import written
 
@@ -59,36 +59,6 @@ def embed_text(df: DataFrame, model: PipelineModel, text: str = "retrieval_text"
     return out if text == own else out.drop(own)
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Rows of an Arrow list column as a float64 matrix of unit rows; a missing entry is 0."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    rows = np.nan_to_num(flat).reshape(len(column), -1)
-    norms = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(norms > 0, norms, 1.0)
-
-
-def _best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
-    ranked = hits.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
-    return ranked.groupby("query_id", sort=False).head(k)
-
-
-def _candidates(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> pd.DataFrame:
-    """All pairs that reach the k-th best score of their query, ties included."""
-    scores = rows @ queries.T
-    if len(ids) > k:
-        floor = np.partition(scores, len(ids) - k, axis=0)[len(ids) - k]
-        row, query = np.nonzero(scores >= floor)
-    else:
-        row, query = (a.ravel() for a in np.indices(scores.shape))
-    return pd.DataFrame({"query_id": query_ids[query], "id": ids[row], "score": scores[row, query]})
-
-
-def _numpy(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
-
-
 def _hit_type(queries: DataFrame, vectors: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -106,7 +76,7 @@ def _scan_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     if table.num_rows == 0:
         return queries.sparkSession.createDataFrame([], schema)
     sent = queries.sparkSession.sparkContext.broadcast(
-        (_numpy(table.column("query_id")), _matrix(table.column("embedding")))
+        (as_numpy(table.column("query_id")), unit_rows(table.column("embedding")))
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,8 +85,8 @@ def _scan_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            found = _candidates(query_ids, matrix, _numpy(batch.column("id")), _matrix(batch.column("embedding")), k)
-            kept = _best(found if kept is None else pd.concat([kept, found]), k)
+            found = candidates(query_ids, matrix, as_numpy(batch.column("id")), unit_rows(batch.column("embedding")), k)
+            kept = best(found if kept is None else pd.concat([kept, found]), k)
         if kept is not None:
             yield pa.RecordBatch.from_pandas(kept, preserve_index=False)
 
@@ -153,21 +123,21 @@ def _block_topk(queries: DataFrame, vectors: DataFrame, bucket: list[str], k: in
     def meet(some_queries: pa.Table, some_vectors: pa.Table) -> pa.Table:
         if some_queries.num_rows == 0 or some_vectors.num_rows == 0:
             return arrow_schema.empty_table()
-        found = _candidates(
-            _numpy(some_queries.column("query_id")),
-            _matrix(some_queries.column("embedding")),
-            _numpy(some_vectors.column("id")),
-            _matrix(some_vectors.column("embedding")),
+        found = candidates(
+            as_numpy(some_queries.column("query_id")),
+            unit_rows(some_queries.column("embedding")),
+            as_numpy(some_vectors.column("id")),
+            unit_rows(some_vectors.column("embedding")),
             k,
         )
-        return pa.Table.from_pandas(_best(found, k), preserve_index=False).cast(arrow_schema)
+        return pa.Table.from_pandas(best(found, k), preserve_index=False).cast(arrow_schema)
 
     return left.cogroup(right).applyInArrow(meet, schema)
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def _inputs(queries: DataFrame, vectors: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:

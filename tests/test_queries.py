@@ -1,5 +1,9 @@
 """Every registered query against its oracle, and what the plans must not contain."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from helpers import plan
 from oracle import connect, differences
@@ -45,3 +49,25 @@ def test_scans_read_only_what_is_needed(spark, smoke_dir):
 def test_entry(spark):
     df = registered.entry(spark)
     assert df.count() > 0 and "fraud_probability" in df.columns
+
+
+ELSEWHERE = """
+import importlib.util, sys
+spec = importlib.util.spec_from_file_location("given_entry", sys.argv[1])
+module = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(module)
+from ledgerlens.session import local_session
+spark = local_session(cores=2, partitions=2)
+queries = module.queries()
+print("rows", *[queries[n](spark, sys.argv[2]).count() for n in ("similar_topk", "similar_topk_blocks")])
+"""
+
+
+def test_tasks_do_not_need_the_package(tmp_path, smoke_dir):
+    """Started from another folder, the Python workers cannot import the package."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", ELSEWHERE, registered.__file__, smoke_dir],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert "rows 30 30" in done.stdout, done.stderr[-2000:]
