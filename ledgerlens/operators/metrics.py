@@ -103,8 +103,8 @@ def accepted(best: DataFrame) -> DataFrame:
     )
 
 
-def pr_threshold(df: DataFrame, label: str = "is_fraud", score: str = "fraud_probability") -> DataFrame:
-    """The distinct score that, as a threshold, gives the best F1 (lowest among ties).
+def score_curve(df: DataFrame, label: str = "is_fraud", score: str = "fraud_probability") -> DataFrame:
+    """Every distinct score as a threshold: ``pos`` and ``n`` at it, ``tp`` and ``flagged`` from it upwards.
 
     Equal scores are collapsed first; the running counts from the highest
     score down are computed per range of scores.
@@ -114,12 +114,18 @@ def pr_threshold(df: DataFrame, label: str = "is_fraud", score: str = "fraud_pro
         .groupBy(F.col(score).alias("threshold"))
         .agg(F.sum(F.col(label).cast("bigint")).alias("pos"), F.count("*").alias("n"))
     )
-    curve = running_sum(points, "threshold", ["pos", "n"], descending=True)
-    scored = curve.select("threshold", F.col("sum_pos").alias("tp"), F.col("sum_n").alias("flagged"))
+    return running_sum(points, "threshold", ["pos", "n"], descending=True).withColumnsRenamed(
+        {"sum_pos": "tp", "sum_n": "flagged"}
+    )
+
+
+def pr_threshold(df: DataFrame, label: str = "is_fraud", score: str = "fraud_probability") -> DataFrame:
+    """The distinct score that, as a threshold, gives the best F1 (lowest among ties)."""
+    curve = score_curve(df, label, score)
     total = curve.agg(F.sum("pos")).scalar()
     precision = F.col("tp") / F.col("flagged")
     recall = F.when(F.col("_total") > 0, F.col("tp") / F.col("_total")).otherwise(1.0)
-    rated = scored.withColumn("_total", total).select(
+    rated = curve.withColumn("_total", total).select(
         "threshold",
         precision.alias("precision"),
         recall.alias("recall"),
@@ -129,6 +135,32 @@ def pr_threshold(df: DataFrame, label: str = "is_fraud", score: str = "fraud_pro
     return rated.agg(best.alias("best")).filter(F.col("best").isNotNull()).select("best.*")
 
 
+def ranking_areas(df: DataFrame, label: str = "is_fraud", score: str = "fraud_probability") -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve (trapezoids), one row.
+
+    Each point of the curve knows the one before it, since its own counts are
+    what the running counts grew by. Without both classes the ROC area is
+    NULL; without positives the other one is too.
+    """
+    curve = score_curve(df, label, score)
+    neg = F.col("n") - F.col("pos")
+    before = F.col("tp") - F.col("pos")
+    flagged_before = F.col("flagged") - F.col("n")
+    precision = F.col("tp") / F.col("flagged")
+    # The curve starts at recall 0 with the precision of the highest score.
+    precision_before = F.when(flagged_before > 0, before / flagged_before).otherwise(precision)
+    sums = curve.agg(
+        F.sum(neg * (before + F.col("pos") / 2)).alias("_won"),
+        F.sum(F.col("pos") * (precision + precision_before) / 2).alias("_area"),
+        F.sum("pos").cast("double").alias("_p"),
+        F.sum(neg).cast("double").alias("_n"),
+    )
+    return sums.select(
+        F.try_divide("_won", F.col("_p") * F.col("_n")).alias("auc_roc"),
+        F.try_divide("_area", "_p").alias("pr_auc"),
+    )
+
+
 def flag_stats(scored: DataFrame, flag: str = "fraud_flag", label: str = "is_fraud") -> DataFrame:
     """Rows flagged, their percentage, and the percentage of them that is fraud."""
     counted = scored.agg(

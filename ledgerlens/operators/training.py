@@ -12,11 +12,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import class_probability
-from ledgerlens.operators.metrics import class_report
+from ledgerlens.operators.metrics import class_report, ranking_areas
 from ledgerlens.operators.sampling import with_fold
 from ledgerlens.operators.transactions import NUMERIC_FEATURES
 
@@ -71,25 +71,19 @@ def binary_metrics(scored: DataFrame, label: str, score: str) -> DataFrame:
 
     ``scored`` is read several times, so it should be a stored table.
     """
-    spark = scored.sparkSession
-    pairs = scored.select(F.col(label).cast("double").alias("y"), F.col(score).alias("s"))
-    evaluator = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s")
-    roc = evaluator.setMetricName("areaUnderROC").evaluate(pairs)
-    pr = evaluator.setMetricName("areaUnderPR").evaluate(pairs)
-    report = {r["class"]: r for r in class_report(scored, label, "prediction").collect()}
-    weighted = report["weighted avg"]
-    positive = report.get("1")
-    values = {
-        "auc_roc": float(roc),
-        "pr_auc": float(pr),
-        "accuracy": float(report["accuracy"]["recall"]),
-        "weighted_precision": float(weighted["precision"]),
-        "weighted_recall": float(weighted["recall"]),
-        "weighted_f1": float(weighted["f1"]),
-        "positive_precision": float(positive["precision"]) if positive else 0.0,
-        "positive_recall": float(positive["recall"]) if positive else 0.0,
-    }
-    return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} double" for k in values))
+
+    def line(name: str, column: str, alias: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("class") == name, F.col(column))), F.lit(0.0)).alias(alias)
+
+    report = class_report(scored, label, "prediction").agg(
+        F.struct(
+            line("accuracy", "recall", "accuracy"),
+            *[line("weighted avg", c, f"weighted_{c}") for c in ("precision", "recall", "f1")],
+            *[line("1", c, f"positive_{c}") for c in ("precision", "recall")],
+        )
+    )
+    areas = ranking_areas(scored, label, score)
+    return areas.select("auc_roc", "pr_auc", report.scalar().alias("_r")).select("auc_roc", "pr_auc", "_r.*")
 
 
 def cross_validate(

@@ -39,14 +39,14 @@ def stream_mix(scored: DataFrame) -> DataFrame:
     return scored.groupBy(label.alias("prediction")).agg(F.count("*").alias("n"))
 
 
-def drain_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Process all files there are, append the rows to a new table, and read it back.
+def drain_to_table(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Process all files there are, append the rows to a table, and read it back.
 
-    The checkpoint beside the table makes a restarted run continue, and each
-    row is written exactly once.
+    With the same ``path`` a later run goes on where the last one ended: the
+    checkpoint beside the table makes every row appear exactly once.
     """
     spark = stream.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")

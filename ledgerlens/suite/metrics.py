@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import decide, preview
 from ledgerlens.operators import metrics, quality
+from ledgerlens.operators.training import binary_metrics
+from ledgerlens.session import written
 from ledgerlens.sources import roles
 from ledgerlens.suite import sql
 from ledgerlens.suite.common import Query, rounded, scored
@@ -85,6 +87,43 @@ ORACLE["pr_threshold"] = sql.query(
     *_SCORED,
 )
 
+_CURVE = """curve AS (
+  SELECT *, coalesce(lag(tp) OVER o, 0) AS tp0, coalesce(lag(fp) OVER o, 0) AS fp0,
+         sum(pos) OVER () AS p, sum(neg) OVER () AS n
+  FROM (
+    SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp
+    FROM (SELECT fraud_probability AS s, sum(is_fraud)::DOUBLE AS pos, sum(1 - is_fraud)::DOUBLE AS neg
+          FROM scored GROUP BY fraud_probability)
+    WINDOW w AS (ORDER BY s DESC)
+  ) WINDOW o AS (ORDER BY s DESC)
+)"""
+_AREAS = """sum((fp - fp0) * (tp + tp0) / 2) / (max(p) * max(n)) AS auc_roc,
+sum((tp - tp0) / p * (tp / (tp + fp) + CASE WHEN tp0 + fp0 > 0 THEN tp0 / (tp0 + fp0) ELSE tp / (tp + fp) END) / 2) AS pr_auc"""
+
+QUERIES["ranking_areas"] = lambda spark, d: rounded(metrics.ranking_areas(scored(spark, d)))
+ORACLE["ranking_areas"] = sql.query(
+    f"SELECT round(auc_roc, 6) AS auc_roc, round(pr_auc, 6) AS pr_auc FROM (SELECT {_AREAS} FROM curve)", *_SCORED, _CURVE
+)
+
+QUERIES["score_metrics"] = lambda spark, d: rounded(
+    binary_metrics(written(scored(spark, d).select("is_fraud", "fraud_probability", "prediction"), "scored"),
+                   "is_fraud", "fraud_probability")
+)
+ORACLE["score_metrics"] = sql.query(
+    f"""SELECT round(auc_roc, 6) AS auc_roc, round(pr_auc, 6) AS pr_auc, round((tp + tn) / total, 6) AS accuracy,
+    round((p1 * (tp + fn) + p0 * (tn + fp)) / total, 6) AS weighted_precision, round((tp + tn) / total, 6) AS weighted_recall,
+    round((2 * p1 * r1 / nullif(p1 + r1, 0) * (tp + fn) + 2 * p0 * r0 / nullif(p0 + r0, 0) * (tn + fp)) / total, 6) AS weighted_f1,
+    round(p1, 6) AS positive_precision, round(r1, 6) AS positive_recall
+    FROM (SELECT {_AREAS} FROM curve),
+         (SELECT *, tp / (tp + fp) AS p1, tp / (tp + fn) AS r1, tn / (tn + fn) AS p0, tn / (tn + fp) AS r0
+          FROM (SELECT count(*) FILTER (WHERE is_fraud = 1 AND fraud_flag = 1)::DOUBLE AS tp,
+                       count(*) FILTER (WHERE is_fraud = 0 AND fraud_flag = 1)::DOUBLE AS fp,
+                       count(*) FILTER (WHERE is_fraud = 1 AND fraud_flag = 0)::DOUBLE AS fn,
+                       count(*) FILTER (WHERE is_fraud = 0 AND fraud_flag = 0)::DOUBLE AS tn,
+                       count(*)::DOUBLE AS total FROM scored))""",
+    *_SCORED, _CURVE,
+)
+
 QUERIES["flag_stats"] = lambda spark, d: rounded(metrics.flag_stats(scored(spark, d)))
 ORACLE["flag_stats"] = sql.query(
     """SELECT total, flagged, fraud_in_flagged, round(flagged / total::DOUBLE * 100, 6) AS flag_pct,

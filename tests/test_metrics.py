@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import by, rows
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
 from ledgerlens.operators.metrics import (
     SWEEP,
@@ -13,6 +14,7 @@ from ledgerlens.operators.metrics import (
     flag_stats,
     pr_threshold,
     prediction_mix,
+    ranking_areas,
     threshold_sweep,
 )
 
@@ -97,6 +99,27 @@ def test_pr_threshold_of_nothing(spark):
     assert pr_threshold(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("digits", [1, 3, 9])
+def test_areas_equal_the_library_evaluator(spark, digits):
+    rng = random.Random(digits)
+    data = []
+    for _ in range(700):
+        y = int(rng.random() < 0.3)
+        data.append((y, round(rng.gauss(0.4 + 0.2 * y, 0.2), digits)))
+    df = spark.createDataFrame(data, SCHEMA).repartition(6).cache()
+    got = ranking_areas(df).first()
+    # Without bins the evaluator uses every distinct score.
+    evaluator = BinaryClassificationEvaluator(labelCol="is_fraud", rawPredictionCol="fraud_probability", numBins=0)
+    assert got["auc_roc"] == pytest.approx(evaluator.setMetricName("areaUnderROC").evaluate(df), abs=1e-9)
+    assert got["pr_auc"] == pytest.approx(evaluator.setMetricName("areaUnderPR").evaluate(df), abs=1e-9)
+
+
+@pytest.mark.parametrize("label,roc,pr", [(1, None, 1.0), (0, None, None)])
+def test_areas_of_one_class(spark, label, roc, pr):
+    got = ranking_areas(spark.createDataFrame([(label, 0.1), (label, 0.7)], SCHEMA)).first()
+    assert (got["auc_roc"], got["pr_auc"]) == (roc, pr)
+
+
 def test_class_report_of_the_published_matrix(spark):
     """Rejected [11, 2], Approved [11, 72], as a matrix of true by predicted."""
     cells = {(0, 0): 11, (0, 1): 2, (1, 0): 11, (1, 1): 72}

@@ -28,6 +28,18 @@ def test_stream_equals_batch(spark, smoke_dir, prepared):
     assert got == by(fraud.score(log, *args), "txn_id") and len(got) == log.count()
 
 
+def test_a_later_run_goes_on_where_the_last_one_ended(spark):
+    folder, table = scratch_path(spark, "parts"), scratch_path(spark, "table")
+    spark.range(10).write.parquet(folder)
+
+    def drain():
+        return scoring.drain_to_table(scoring.read_files(spark, folder, spark.range(1).schema), "parts", table)
+
+    assert drain().count() == 10
+    spark.range(10, 15).write.mode("append").parquet(folder)
+    assert sorted(r["id"] for r in drain().collect()) == list(range(15))
+
+
 def test_mix_counts_every_row(spark):
     folder = scratch_path(spark, "mix-input")
     labels = spark.range(100).select(F.when(F.col("id") % 4 == 0, "FRAUD").otherwise("SAFE").alias("prediction"))
