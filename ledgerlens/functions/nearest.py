@@ -12,6 +12,9 @@ from pyspark import cloudpickle
 # Tasks receive these functions by value, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Scores held at a time.
+MAX_CELLS = 4_000_000
+
 
 def unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Rows of an Arrow list column as a float64 matrix of unit rows; a missing entry is 0."""
@@ -23,21 +26,35 @@ def unit_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return rows / np.where(norms > 0, norms, 1.0)
 
 
+def as_numpy(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+
+
 def best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` highest scores of each query, smaller ids first among equals."""
     ranked = hits.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
     return ranked.groupby("query_id", sort=False).head(k)
 
 
-def candidates(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> pd.DataFrame:
-    """All pairs that reach the k-th best score of their query, ties included."""
-    scores = rows @ queries.T
-    if len(ids) > k:
-        floor = np.partition(scores, len(ids) - k, axis=0)[len(ids) - k]
-        row, query = np.nonzero(scores >= floor)
-    else:
-        row, query = (a.ravel() for a in np.indices(scores.shape))
-    return pd.DataFrame({"query_id": query_ids[query], "id": ids[row], "score": scores[row, query]})
-
-
-def as_numpy(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+def nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> pd.DataFrame:
+    """The ``k`` best rows of each query.
+
+    Rows go in order of their ids and in slices that bound the score matrix.
+    A slice gives exactly ``k`` rows per query however many scores are equal.
+    """
+    order = np.argsort(ids, kind="stable")
+    step = max(k, MAX_CELLS // max(1, len(query_ids)))
+    found = []
+    for start in range(0, len(order), step):
+        part = order[start : start + step]
+        scores = rows[part] @ queries.T
+        if len(part) > k:
+            level = np.partition(scores, len(part) - k, axis=0)[len(part) - k]
+            above = scores > level
+            equal = scores == level
+            room = k - above.sum(axis=0)
+            row, query = np.nonzero(above | (equal & (np.cumsum(equal, axis=0) <= room)))
+        else:
+            row, query = (a.ravel() for a in np.indices(scores.shape))
+        found.append(pd.DataFrame({"query_id": query_ids[query], "id": ids[part][row], "score": scores[row, query]}))
+    return best(pd.concat(found), k)

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerlens.functions import prompts
 from ledgerlens.functions.expressions import language_name
-from ledgerlens.functions.nearest import as_numpy, best, candidates, unit_rows
+from ledgerlens.functions.nearest import as_numpy, best, nearest, unit_rows
 from ledgerlens.functions.templates import fill, messages
 from ledgerlens.session import written
 
@@ -85,8 +85,8 @@ def _scan_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            found = candidates(query_ids, matrix, as_numpy(batch.column("id")), unit_rows(batch.column("embedding")), k)
-            kept = best(found if kept is None else pd.concat([kept, found]), k)
+            found = nearest(query_ids, matrix, as_numpy(batch.column("id")), unit_rows(batch.column("embedding")), k)
+            kept = found if kept is None else best(pd.concat([kept, found]), k)
         if kept is not None:
             yield pa.RecordBatch.from_pandas(kept, preserve_index=False)
 
@@ -109,11 +109,13 @@ def _block_topk(queries: DataFrame, vectors: DataFrame, bucket: list[str], k: in
     sizes = written(blocks(queries, "_nq").join(blocks(vectors, "_nv"), bucket), "blocks")
 
     def dealt(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        # The input piece is part of the hash, so that copies of one id are dealt out too.
         return (
-            df.join(sizes, bucket)
-            .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
+            df.withColumn("_piece", F.spark_partition_id())
+            .join(sizes, bucket)
+            .withColumn(own, F.pmod(F.xxhash64(key, "_piece"), F.col(own_n)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-            .drop("_nq", "_nv")
+            .drop("_nq", "_nv", "_piece")
         )
 
     keys = [*bucket, "_qb", "_vb"]
@@ -123,14 +125,14 @@ def _block_topk(queries: DataFrame, vectors: DataFrame, bucket: list[str], k: in
     def meet(some_queries: pa.Table, some_vectors: pa.Table) -> pa.Table:
         if some_queries.num_rows == 0 or some_vectors.num_rows == 0:
             return arrow_schema.empty_table()
-        found = candidates(
+        found = nearest(
             as_numpy(some_queries.column("query_id")),
             unit_rows(some_queries.column("embedding")),
             as_numpy(some_vectors.column("id")),
             unit_rows(some_vectors.column("embedding")),
             k,
         )
-        return pa.Table.from_pandas(best(found, k), preserve_index=False).cast(arrow_schema)
+        return pa.Table.from_pandas(found, preserve_index=False).cast(arrow_schema)
 
     return left.cogroup(right).applyInArrow(meet, schema)
 
@@ -184,6 +186,9 @@ def similar_lsh(
     find more; a larger width or smaller bucket length compares fewer.
     """
     q, v = _inputs(queries, vectors, id_col)
+    q = written(q, "queries")
+    if q.isEmpty():
+        return _ranked(q.sparkSession.createDataFrame([], _hit_type(q, v)), k).withColumnRenamed("id", id_col)
     lsh = BucketedRandomProjectionLSH(
         inputCol="_vec", outputCol="_hashes", numHashTables=tables * width, bucketLength=bucket_length, seed=seed
     )

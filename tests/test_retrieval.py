@@ -3,6 +3,7 @@ import pytest
 from helpers import by, plan, rows
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import nearest as nearest_module
 from ledgerlens.functions import prompts
 from ledgerlens.operators import retrieval
 from ledgerlens.operators.evaluation import eval_results, judge_prompts, judge_summary, parse_judgement
@@ -52,6 +53,33 @@ def test_fewer_vectors_than_k_and_no_queries(spark):
     queries = spark.createDataFrame([(1, [0.5, 0.5])], Q)
     assert ranked(retrieval.similar(queries, vectors, 3)) == {1: [1]}
     assert retrieval.similar(queries.filter("false"), vectors, 3).count() == 0
+    assert retrieval.similar_lsh(queries.filter("false"), vectors, 3).count() == 0
+
+
+@pytest.mark.parametrize("cells", [10, 4_000_000])
+def test_one_task_gives_k_rows_per_query_whatever_the_ties(monkeypatch, cells):
+    monkeypatch.setattr(nearest_module, "MAX_CELLS", cells)
+    rng = np.random.default_rng(7)
+    for _ in range(30):
+        n, q, k = rng.integers(1, 40), rng.integers(1, 5), rng.integers(1, 6)
+        rows_, queries = rng.integers(0, 2, (n, 3)).astype(float), rng.integers(0, 2, (q, 3)).astype(float)
+        ids = rng.permutation(n)
+        got = nearest_module.nearest(np.arange(q), queries, ids, rows_, k)
+        scores = rows_ @ queries.T
+        for i in range(q):
+            want = sorted(range(n), key=lambda j: (-scores[j, i], ids[j]))[:k]
+            assert got[got.query_id == i]["id"].tolist() == [ids[j] for j in want]
+
+
+def test_copies_of_one_id_are_dealt_into_several_blocks(spark):
+    """A third of all rows under one id: they count as rows, and the other ids are still found."""
+    hot = [(0, [1.0, 0.0])] * 300
+    others = [(i, [1.0, i / 1000]) for i in range(1, 600)]
+    vectors = spark.createDataFrame(hot + others, "vec_id bigint, embedding array<float>").repartition(6)
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], Q)
+    for limit in (retrieval.MAX_QUERY_BYTES, 0):
+        got = retrieval.similar(queries, vectors, 302, max_query_bytes=limit, block_rows=50)
+        assert ranked(got)[1] == [0] * 300 + [1, 2]
 
 
 def test_lsh_finds_most_of_the_neighbours(spark):
