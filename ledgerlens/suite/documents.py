@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import prompts
 from ledgerlens.operators import documents, evaluation, loans, retrieval
 from ledgerlens.operators.quality import first_rows
+from ledgerlens.plans import answers
 from ledgerlens.plans.documents import build_layers
 from ledgerlens.session import written
 from ledgerlens.sources import roles
@@ -89,19 +90,29 @@ ORACLE["similar_topk_blocks"] = ORACLE["similar_topk"]
 QUERIES["similar_lsh"] = lambda spark, d: retrieval.similar_lsh(roles.centroids(spark, d), roles.vectors(spark, d))
 
 
-def _lexical(spark, d):
-    """Benchmark passages against all chunks, both embedded with the chunks' term weights."""
+def _indexed(spark, d):
+    """The stored chunks, the term weights fitted on them, and the benchmark passages as questions."""
     chunks = spread(written(_gold(spark, d), "chunks"), "chunk_id")
     model = retrieval.embedder().fit(chunks.select("retrieval_text"))
-    questions = roles.load(spark, "benchmark", d).select(F.col("item_id").alias("query_id"), "text")
-    hits = retrieval.similar(
-        retrieval.embed_text(questions, model, "text"),
-        retrieval.embed_text(chunks.select("chunk_id", "retrieval_text"), model),
-        id_col="chunk_id",
+    questions = roles.load(spark, "benchmark", d).select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("question")
+    )
+    return chunks, model, questions
+
+
+def _lexical(spark, d):
+    chunks, model, questions = _indexed(spark, d)
+    return answers.retrieve(questions, chunks, model).select("query_id", "rank", "score", *retrieval.HIT_COLUMNS)
+
+
+def _question_prompts(spark, d):
+    chunks, model, questions = _indexed(spark, d)
+    return _chat(
+        answers.question_prompts(questions, chunks, model), "query_id", "question", "num_chunks_retrieved", "context"
     )
-    return retrieval.attach_hits(hits, chunks).select("query_id", "rank", "score", *retrieval.HIT_COLUMNS)
 
 
+QUERIES["question_prompts"] = _question_prompts
 QUERIES["lexical_search"] = _lexical
 
 
@@ -206,11 +217,11 @@ ORACLE["translation_prompts"] = sql.query(
 def _results(spark, d):
     questions = _gold_eval(spark, d)
     ids = questions.select("qa_id", "document")
-    answers = roles.generated_answers(spark, d).select(
+    replies = roles.generated_answers(spark, d).select(
         F.concat(F.lit("item-"), "conv_id").alias("document"), F.col("reply").alias("generated_answer")
     )
     return evaluation.eval_results(
-        questions, ids.join(answers, "document"), ids.join(roles.judge_replies(spark, d), "document")
+        questions, ids.join(replies, "document"), ids.join(roles.judge_replies(spark, d), "document")
     )
 
 

@@ -7,6 +7,7 @@ from ledgerlens.functions import nearest as nearest_module
 from ledgerlens.functions import prompts
 from ledgerlens.operators import retrieval
 from ledgerlens.operators.evaluation import eval_results, judge_prompts, judge_summary, parse_judgement
+from ledgerlens.plans import answers
 
 Q = "query_id int, embedding array<float>"
 
@@ -134,6 +135,27 @@ def test_lexical_search_equals_brute_force(spark):
         assert hits[query] == sorted(range(5), key=lambda i: (-round(scores[i], 6), i))[:2]
 
 
+def test_questions_to_prompts(spark):
+    texts = ["kyc rules for banks", "loan limits for farmers", "kyc renewal dates", "interest on deposits"]
+    chunks = spark.createDataFrame(
+        [(f"c{i}", f"doc {i}", t, None, "area", "all", f"Chunk: {t}") for i, t in enumerate(texts)],
+        "chunk_id string, document string, chunks_text string, issued_on date, regulation_area string, "
+        "applicable_to string, retrieval_text string",
+    )
+    model = retrieval.embedder().fit(chunks.select("retrieval_text"))
+    questions = spark.createDataFrame(
+        [(1, "What about KYC?", "tamil"), (2, "loan for farmers", "Hindi"), (3, "", "tamil")],
+        "query_id int, question string, target_language string",
+    )
+    got = by(answers.question_prompts(questions, chunks, model, 2), "query_id")
+    assert got[1]["num_chunks_retrieved"] == 2 and got[1]["target_language"] == "tamil"
+    assert {"kyc rules for banks", "kyc renewal dates"} <= set(got[1]["context"].replace("Text: ", "").split("\n"))
+    assert got[2]["context"].startswith("[Chunk ID: c1]\nDocument: doc 1\nIssued on: None\n")
+    assert got[2]["messages"][1]["content"].startswith("Question:\nloan for farmers\n\nRBI Context:\n[Chunk ID: c1]")
+    none = by(answers.question_prompts(questions, chunks.filter("false"), model, 2), "query_id")
+    assert none[1]["num_chunks_retrieved"] == 0 and none[1]["context"] == ""
+
+
 HIT = "query_id int, rank int, chunk_id string, document string, chunks_text string, issued_on date, regulation_area string, applicable_to string"
 
 
