@@ -189,19 +189,27 @@ def similar_lsh(
     q = written(q, "queries")
     if q.isEmpty():
         return _ranked(q.sparkSession.createDataFrame([], _hit_type(q, v)), k).withColumnRenamed("id", id_col)
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vec", outputCol="_hashes", numHashTables=tables * width, bucketLength=bucket_length, seed=seed
+    hashing = Pipeline(
+        stages=[
+            Normalizer(inputCol="_vec", outputCol="_unit"),
+            BucketedRandomProjectionLSH(
+                inputCol="_unit", outputCol="_hashes", numHashTables=tables * width, bucketLength=bucket_length, seed=seed
+            ),
+        ]
     )
-    as_vec = array_to_vector(F.col("embedding").cast("array<double>"))
-    model = lsh.fit(q.withColumn("_vec", as_vec))
+
+    def vectors_of(df: DataFrame) -> DataFrame:
+        return df.withColumn("_vec", array_to_vector(F.col("embedding").cast("array<double>")))
+
+    model = hashing.fit(vectors_of(q))
 
     def bucketed(df: DataFrame) -> DataFrame:
         cells = [vector_to_array(F.col("_hashes")[i])[0].cast("int").cast("string") for i in range(tables * width)]
         per_table = [F.concat_ws(",", *cells[t * width : (t + 1) * width]) for t in range(tables)]
         return (
-            model.transform(df.withColumn("_vec", as_vec))
+            model.transform(vectors_of(df))
             .select("*", F.posexplode(F.array(*per_table)).alias("_table", "_bucket"))
-            .drop("_vec", "_hashes")
+            .drop("_vec", "_unit", "_hashes")
         )
 
     hits = _block_topk(bucketed(q), bucketed(v), ["_table", "_bucket"], k, block_rows)
