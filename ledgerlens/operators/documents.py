@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.hashing import content_id
 
+# Columns of the gold tables.
 CHUNK_KEY = ["document", "filename", "chunks_text"]
 CHUNK_META = ["issued_on", "regulation_area", "applicable_to", "key_topics", "is_table"]
 EVAL_COLUMNS = [

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerlens.functions import prompts
 from ledgerlens.functions.templates import fill, messages
 
+# Fields of a verdict.
 SCORES = ["accuracy", "completeness", "clarity", "relevance"]
 
 VERDICT = T.StructType(

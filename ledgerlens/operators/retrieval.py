@@ -35,6 +35,7 @@ from ledgerlens.session import written
 MAX_QUERY_BYTES = 64 << 20
 # Beyond it, queries and vectors meet in blocks of about this many rows.
 BLOCK_ROWS = 4096
+# Columns of a retrieval hit.
 HIT_COLUMNS = ["chunk_id", "document", "chunks_text", "issued_on", "regulation_area", "applicable_to"]
 
 

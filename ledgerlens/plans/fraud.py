@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import TYPE_CODES
 from ledgerlens.operators.infrastructure import infra_by_state, normalise_infra
+from ledgerlens.operators.metrics import best_threshold, threshold_sweep
 from ledgerlens.operators.rates import attach_rate, fit_rate
 from ledgerlens.operators.sampling import balanced_train, split
 from ledgerlens.operators.training import fraud_pipeline, with_probability
@@ -25,6 +26,7 @@ class Training:
     """Stored feature tables and what was fitted on them."""
 
     train: DataFrame
+    validation: DataFrame
     test: DataFrame
     balanced: DataFrame
     rates: DataFrame
@@ -50,18 +52,27 @@ def features(txn: DataFrame, states: DataFrame | list[str], infra: DataFrame) ->
     return txn_features(enrich(assign_state(rename_labels(txn), "nameOrig", states), infra))
 
 
-def prepare(txn: DataFrame, states: DataFrame | list[str], raw_infra: DataFrame, key: str = "txn_id") -> Training:
+def prepare(
+    txn: DataFrame,
+    states: DataFrame | list[str],
+    raw_infra: DataFrame,
+    key: str = "txn_id",
+    validation: float = 0.1,
+) -> Training:
     """Features, split, rates from the training rows, and the balanced training set.
 
-    The features are stored once; rates, balancing, fitting and testing read
-    them instead of repeating the joins.
+    A fifth of the rows is for testing. ``validation`` is the share of the
+    others that is kept from training to choose the threshold on, so that the
+    test rows stay unseen. The features are stored once; rates, balancing,
+    fitting and testing read them instead of repeating the joins.
     """
     infra = state_infra(raw_infra)
     stored = written(features(txn, states, infra), "features")
-    train, test = split(stored, key)
+    known, test = split(stored, key)
+    train, checked = split(known, key, 1 - validation, seed=142)
     rates = as_lookup(fit_rate(train), "rates")
-    train, test = attach_rate(train, rates), attach_rate(test, rates)
-    return Training(train, test, training_table(balanced_train(train, key), key), rates, infra)
+    train, checked, test = (attach_rate(side, rates) for side in (train, checked, test))
+    return Training(train, checked, test, training_table(balanced_train(train, key), key), rates, infra)
 
 
 def fit(training: Training, trees: int = 100, depth: int = 10) -> PipelineModel:
@@ -109,6 +120,16 @@ def score_batch(
     return scored.withColumn("fraud_flag", F.col("prediction").cast("int")).select(*SCORED_COLUMNS)
 
 
+def score_held_out(rows: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
+    """Prepared rows with their label, features and probability."""
+    return with_probability(model.transform(rows), threshold)
+
+
 def score_test(training: Training, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
-    """The test rows with their label, features and probability."""
-    return with_probability(model.transform(training.test), threshold)
+    return score_held_out(training.test, model, threshold)
+
+
+def choose_threshold(training: Training, model: PipelineModel) -> float:
+    """The sweep's best threshold on the validation rows."""
+    scored = score_held_out(training.validation, model).select("is_fraud", "fraud_probability")
+    return best_threshold(threshold_sweep(scored)).first()["threshold"]

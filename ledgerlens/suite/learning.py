@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from ledgerlens.operators import loans, training
-from ledgerlens.operators.metrics import best_threshold, pr_threshold, threshold_sweep
+from ledgerlens.operators.metrics import pr_threshold
 from ledgerlens.operators.rates import StateRateEncoder
-from ledgerlens.operators.sampling import stratified_split
+from ledgerlens.operators.sampling import split, stratified_split
 from ledgerlens.plans import fraud
 from ledgerlens.plans.lookup import short_list
 from ledgerlens.session import written
@@ -30,11 +30,10 @@ def prepared(spark, d) -> fraud.Training:
 
 
 def fraud_score(spark, d, trees: int = 100, depth: int = 10):
-    """Fit on the labelled transactions, choose the threshold, score the whole log."""
+    """Fit on the labelled transactions, choose the threshold on validation rows, score the whole log."""
     data = prepared(spark, d)
     model = fraud.fit(data, trees, depth)
-    tested = written(fraud.score_test(data, model).select("is_fraud", "fraud_probability"), "tested")
-    threshold = best_threshold(threshold_sweep(tested)).first()["threshold"]
+    threshold = fraud.choose_threshold(data, model)
     log = roles.txn(spark, d, labels=False)
     return fraud.score(log, roles.states(spark, d), data.infra, data.rates, model, threshold, ["txn_id"])
 
@@ -81,12 +80,13 @@ QUERIES["loan_lr"] = _loan_lr
 
 
 def _loan_gbt(spark, d, rounds: int = 50):
-    """Boosted trees, the threshold from the precision-recall curve, and a decision per application."""
-    train, test = _loan_sides(spark, d)
+    """Boosted trees, the threshold from the precision-recall curve of validation rows, and all decisions."""
+    known, _ = _loan_sides(spark, d)
+    train, checked = split(known, "loan_id", 0.9, seed=142)
     classifier = training.boosted("Loan_Status", rounds, step=0.1)
     model = training.loan_features_pipeline(loans.LOAN_FEATURES, classifier).fit(fraud.training_table(train, "loan_id"))
-    tested = training.with_probability(model.transform(test), 0.5, "score").select("Loan_Status", "score")
-    threshold = pr_threshold(written(tested, "tested"), "Loan_Status", "score").first()["threshold"]
+    rated = training.with_probability(model.transform(checked), 0.5, "score").select("Loan_Status", "score")
+    threshold = pr_threshold(rated, "Loan_Status", "score").first()["threshold"]
     everyone = loans.loan_features(roles.loan_app(spark, d))
     return loans.loan_decision(model, everyone, threshold)
 

@@ -65,6 +65,23 @@ def test_rates_are_fitted_without_the_test_rows(trained):
     assert {r["state"]: r["fraud_rate"] for r in data.rates.collect()} == pytest.approx(want)
 
 
+def test_validation_rows_are_neither_trained_nor_tested_on(txn, trained):
+    data, model = trained
+    parts = [{r["txn_id"] for r in side.select("txn_id").collect()} for side in (data.train, data.validation, data.test)]
+    assert sum(len(p) for p in parts) == len(set().union(*parts)) == txn.count()
+    assert len(parts[1]) == pytest.approx(0.08 * 3000, rel=0.25)
+    assert {r["txn_id"] for r in data.balanced.select("txn_id").collect()} <= parts[0]
+    threshold = fraud.choose_threshold(data, model)
+    scores = [(r["is_fraud"], r["fraud_probability"]) for r in fraud.score_held_out(data.validation, model).collect()]
+
+    def f1(t):
+        tp = sum(y == 1 and p >= t for y, p in scores)
+        wrong = sum((p >= t) != (y == 1) for y, p in scores)
+        return 2 * tp / (2 * tp + wrong) if tp else 0.0
+
+    assert f1(threshold) == pytest.approx(max(f1(i / 10) for i in range(2, 10)))
+
+
 def test_saved_model_scores_new_rows_like_the_fitted_one(spark, txn, trained, tmp_path):
     data, model = trained
     path = str(tmp_path / "model")
