@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import written
+from ledgerlens.session import scratch_path
 
 # A word is a run of anything but ASCII white space; bytes.split() cuts at exactly these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,7 +34,9 @@ def table(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
-    return written(df, name)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pieces(rows: int, size: int) -> int:

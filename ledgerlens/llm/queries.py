@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import mixing
+from ledgerlens.llm import html_text, mixing, topk
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 QUERIES["op9_source_mix"] = lambda spark, d: mixing.op9_source_mix(table(spark, "documents", d))
+
+QUERIES["op1_topk_nra"] = lambda spark, d: topk.op1_topk(table(spark, "embeddings", d))
+ORACLE["op1_topk_nra"] = """WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.vector, c.vector), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+QUERIES["op2_html_text"] = lambda spark, d: html_text.op2_html_text(table(spark, "pages", d))
