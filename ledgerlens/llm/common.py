@@ -17,7 +17,7 @@ from ledgerlens.session import scratch_path
 # A word is a run of anything but ASCII white space; bytes.split() cuts at exactly these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 # Characters of text that one step inside a task holds.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def by_value(name: str) -> None:
@@ -73,6 +73,49 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
         start = stop
 
 
+SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+BASE = np.uint64(0xD1342543DE82EF95)
+# Powers of BASE and of its inverse modulo 2**64, as long as the longest slice so far.
+POWERS: list[np.ndarray] = []
+
+
+def powers(n: int) -> list[np.ndarray]:
+    if not POWERS or len(POWERS[0]) < n:
+        size = max(n, 1 << 16)
+        inverse = np.uint64(pow(int(BASE), -1, 2**64))
+        POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (BASE, inverse)]
+    return POWERS
+
+
+def hashed_words(part: pa.RecordBatch, text: str, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a batch, and where each row's words begin (one entry more than rows).
+
+    A word's hash is a polynomial over its bytes, taken from running sums, so
+    that no word becomes an object. ``lower`` folds A to Z first.
+    """
+    column = part.column(text).cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    buffer = column.buffers()[2]
+    data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.empty(0, np.uint8)
+    offsets = offsets - offsets[0]
+    if lower:
+        data = LOWER[data]
+    if not len(data):
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~SPACE[data]
+    # A text's first byte begins a word even if the text before ends in one.
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
+    ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
+    up, down = powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return mix64((sums[ends] - sums[starts]) * down[starts]), np.searchsorted(starts, offsets)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective mix of unsigned 64-bit numbers (the finaliser of splitmix64, constants fixed)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -80,28 +123,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, limit: int = 400_000):
-        self.known: dict[bytes, int] = {}
-        self.limit = limit
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
-
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            for w in set(words):
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def rolling(words: np.ndarray, k: int) -> np.ndarray:
     """A hash of every ``k`` consecutive word hashes; empty below ``k`` words. Doubles its span step by step."""
     n = len(words) - k + 1

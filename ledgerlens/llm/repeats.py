@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ledgerlens.llm.common import WordHashes, bucket, by_value, mix64, rolling, slices, stored
+from ledgerlens.llm.common import bucket, by_value, hashed_words, rolling, slices, stored
 
 by_value(__name__)
 
@@ -65,16 +65,14 @@ def digests(window: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     """One row per document: its words' digest and count, and its anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                sha, count, anchors = [], [], []
-                for text, given in zip(texts, part.column("doc_id").is_valid().to_pylist()):
-                    words = text.split()
-                    sha.append(hashlib.sha256(b" ".join(words)).digest())
-                    count.append(len(words))
-                    some = window_anchors(known(words), window, gram) if given and len(words) >= window else np.empty(0, np.uint64)
-                    anchors.append(signed(np.unique(some)))
+                hashes, at = hashed_words(part, "text")
+                sha = [hashlib.sha256(b" ".join(text.split())).digest() for text in texts]
+                count, anchors = np.diff(at), []
+                for row, given in enumerate(part.column("doc_id").is_valid().to_pylist()):
+                    words = hashes[at[row] : at[row + 1]] if given else hashes[:0]
+                    anchors.append(signed(np.unique(window_anchors(words, window, gram))))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tid"), pa.array(sha, pa.binary()), pa.array(count, pa.int64()),
                      pa.array(anchors, pa.list_(pa.int64()))],
@@ -88,13 +86,13 @@ def candidate_windows(window: int, gram: int) -> Callable[[Iterator[pa.RecordBat
     """Hashes of the windows whose anchor recurs, once per document, with their first position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, _ in slices(batch, "text"):
+                every, begin = hashed_words(part, "text")
                 out: list[list[np.ndarray]] = [[], [], [], [], []]
                 keys = zip(part.column("doc_id").to_pylist(), part.column("tid").to_pylist(), part.column("anchors").to_pylist())
-                for text, (doc_id, tid, anchors) in zip(texts, keys):
-                    hashes = known(text.split())
+                for row, (doc_id, tid, anchors) in enumerate(keys):
+                    hashes = every[begin[row] : begin[row + 1]]
                     wanted = np.array(anchors, np.int64).view(np.uint64)
                     at = np.flatnonzero(np.isin(window_anchors(hashes, window, gram), wanted))
                     if not len(at):
@@ -118,14 +116,14 @@ def passages(window: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
     """The longest runs of recurring windows of a document, as words joined by spaces, with their anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             for part, texts in slices(batch, "text"):
+                hashes, begin = hashed_words(part, "text")
                 rows = []
                 keys = zip(part.column("doc_id").to_pylist(), part.column("positions").to_pylist())
-                for text, (doc_id, positions) in zip(texts, keys):
+                for row, (text, (doc_id, positions)) in enumerate(zip(texts, keys)):
                     words = text.split()
-                    anchors = signed(window_anchors(known(words), window, gram))
+                    anchors = signed(window_anchors(hashes[begin[row] : begin[row + 1]], window, gram))
                     at = np.unique(np.array(positions, np.int64))
                     for run_ in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
                         a, b = int(run_[0]), int(run_[-1])
