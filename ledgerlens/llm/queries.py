@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import html_text, mixing, repeats, topk
+from ledgerlens.llm import html_text, jaccard, mixing, repeats, topk
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,5 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 QUERIES["op2_html_text"] = lambda spark, d: html_text.op2_html_text(table(spark, "pages", d))
 
 QUERIES["op7_repeated_passages"] = lambda spark, d: repeats.op7_repeats(table(spark, "documents", d))
+
+QUERIES["op10_ngram_jaccard"] = lambda spark, d: jaccard.op10_jaccard(table(spark, "documents", d))
