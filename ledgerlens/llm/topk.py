@@ -37,8 +37,8 @@ by_value(__name__)
 # Vectors of a shard, and queries of a slice.
 SHARD = 4096
 SLICE = 4096
-# Entries read from every list at first; the step doubles.
-FIRST = 32
+# Queries whose bounds a task holds at a time.
+AT_ONCE = 512
 # Sums below this are exact in float64.
 EXACT = float(2**53)
 
@@ -68,75 +68,101 @@ def sorted_lists(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def read_lists(query: np.ndarray, own: np.ndarray, order: np.ndarray, entries: np.ndarray, floor: float, k: int) -> np.ndarray:
-    """Positions that can be among the best ``k``; ``floor`` is a score that k others have already.
-
-    ``order`` and ``entries`` (dimension x rank) are the sorted lists, ascending.
-    ``own`` marks rows that are no candidates.
-    """
-    used = np.flatnonzero(query)
-    weight = query[used].astype(np.float64)
-    n = order.shape[1]
-    up = weight < 0
-    # The largest and smallest weighted entry of each list.
-    ends = np.stack([entries[used, 0] * weight, entries[used, -1] * weight])
-    top, low = ends.max(0), ends.min(0)
-    slack = 0.0
-    magnitude = np.abs(ends).max(0).sum() if len(used) else 0.0
-    if magnitude >= EXACT:
-        slack = magnitude * 2.0**-45
-    partial = np.zeros(n)
-    seen = np.zeros((n, len(used)), np.float32)
-    lists = np.arange(len(used))[:, None]
-    depth, step = 0, FIRST
-    while depth < n and len(used):
-        stop = min(n, depth + step)
-        ranks = np.arange(depth, stop)
-        place = np.where(up[:, None], ranks[None, :], n - 1 - ranks[None, :])
-        rows = order[used[:, None], place]
-        gained = entries[used[:, None], place] * weight[:, None]
-        partial += np.bincount(rows.ravel(), gained.ravel(), n)
-        seen[rows, lists] = 1.0
-        depth, step = stop, step * 2
-        if depth == n:
-            break
-        threshold = gained[:, -1]
-        unread = 1.0 - seen
-        upper = partial + unread @ threshold
-        lower = partial + unread @ low
-        lower[own] = -np.inf
-        upper[own] = -np.inf
-        best = max(floor, np.partition(lower, n - k)[n - k]) if n > k else floor
-        left = upper >= best - 2 * slack
-        if left.sum() <= max(4 * k, n // 64):
-            return np.flatnonzero(left)
-        # A vector not seen at all can't be told from others yet; go on reading.
-    return np.flatnonzero(~own)
+def depths(n: int) -> list[int]:
+    """How far the lists are read before bounds are looked at."""
+    return sorted({max(1, n // 8), max(1, n // 4), max(1, n // 2), max(1, 3 * n // 4)})
+
+
+class Lists:
+    """The sorted lists of one shard, read to the same depth for many queries at a time."""
+
+    def __init__(self, width: int, ids: bytes, order: bytes, matrix: bytes):
+        self.ids = np.frombuffer(ids, np.int64)
+        self.matrix = np.frombuffer(matrix, np.int64).reshape(-1, width)
+        order = np.frombuffer(order, np.int32).reshape(width, -1)
+        self.entries = np.take_along_axis(self.matrix.T, order, axis=1)
+        self.rank = np.empty(self.matrix.shape, np.int32)
+        self.rank[order.T, np.arange(width)[None, :]] = np.arange(len(self.ids))[:, None]
+
+    def bounds(self, depth: int, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds (row x query) once every list was read to ``depth``.
+
+        ``up`` and ``down`` hold the positive and negative weights (dimension x
+        query); a positive weight reads a list from its largest entry, a
+        negative one from its smallest.
+        """
+        n, kind = len(self.ids), up.dtype
+        x = self.matrix.astype(kind)
+        small, large = (self.entries[:, at].astype(kind)[None, :] for at in (0, -1))
+        from_top, from_bottom = self.rank >= n - depth, self.rank < depth
+        last_top, last_bottom = (self.entries[:, at].astype(kind)[None, :] for at in (n - depth, depth - 1))
+        lower = np.where(from_top, x, small) @ up + np.where(from_bottom, x, large) @ down
+        upper = np.where(from_top, x, last_top) @ up + np.where(from_bottom, x, last_bottom) @ down
+        return lower, upper
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of a query, positions that can be among its best ``k``); ``floors`` are scores that k others have."""
+        n = len(self.ids)
+        reach = (np.abs(queries) @ np.maximum(np.abs(self.entries[:, 0]), np.abs(self.entries[:, -1])).astype(np.float64)).max(initial=0)
+        kind = np.float32 if reach < 2**24 else np.float64
+        # Rounding can't decide: whole numbers in this range are exact, larger ones get slack.
+        slack = 0.0 if reach < EXACT else reach * 2.0**-45
+        first, after = np.searchsorted(self.ids, query_ids), np.searchsorted(self.ids, query_ids, side="right")
+
+        def own(asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Rows with a query's own id, and the query's column."""
+            count = (after - first)[asked]
+            column = np.repeat(np.arange(len(asked)), count)
+            within = np.arange(len(column)) - np.repeat(np.cumsum(count) - count, count)
+            return first[asked][column] + within, column
+
+        live = np.arange(len(query_ids))
+        for depth in depths(n):
+            if n <= 4 * k or not len(live):
+                break
+            weights = queries[live].T.astype(kind)
+            lower, upper = self.bounds(depth, np.maximum(weights, 0), np.minimum(weights, 0))
+            lower[own(live)] = -np.inf
+            upper[own(live)] = -np.inf
+            level = np.maximum(floors[live], np.partition(lower, n - k, axis=0)[n - k])
+            left = upper >= level[None, :] - 2 * slack
+            few = left.sum(0) <= max(4 * k, n // 32)
+            for i in np.flatnonzero(few).tolist():
+                yield int(live[i]), np.flatnonzero(left[:, i])
+            live = live[~few]
+        # The lists of the others are read to their end: lower and upper bounds meet in the score.
+        if len(live):
+            scores = self.matrix.astype(kind) @ queries[live].T.astype(kind)
+            scores[own(live)] = -np.inf
+            level = np.maximum(floors[live], np.partition(scores, n - k, axis=0)[n - k] if n > k else -np.inf)
+            left = scores >= level[None, :] - 2 * slack
+            for i, q in enumerate(live.tolist()):
+                yield q, np.flatnonzero(left[:, i])
 
 
 def search(queries: list[tuple[int, list[int]]], k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Best ``k`` candidates of every query over the shards that a task reads."""
-    by_width: dict[int, list[tuple[int, np.ndarray]]] = {}
-    for q, v in queries:
-        by_width.setdefault(len(v), []).append((q, np.array(v, np.int64)))
+    by_width: dict[int, list[tuple[int, list[int]]]] = {}
+    for q, v in sorted(queries):
+        by_width.setdefault(len(v), []).append((q, v))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[int, list[tuple[int, int]]] = {}
         for batch in batches:
             for width, ids, order, matrix in batch[["width", "ids", "order", "matrix"]].itertuples(index=False):
-                ids = np.frombuffer(ids, np.int64)
-                order = np.frombuffer(order, np.int32).reshape(width, -1)
-                matrix = np.frombuffer(matrix, np.int64).reshape(-1, width)
-                entries = np.take_along_axis(matrix.T, order, axis=1).astype(np.float64)
-                for q, vector in by_width.get(width, ()):
-                    have = best.setdefault(q, [])
-                    floor = -have[-1][0] if len(have) == k else -np.inf
-                    left = read_lists(vector, ids == q, order, entries, float(floor), k)
-                    left = left[ids[left] != q]
-                    scores = matrix[left] @ vector
-                    first = np.lexsort((ids[left], -scores))[:k]
-                    found = [(-int(scores[i]), int(ids[left[i]])) for i in first]
-                    best[q] = sorted(have + found)[:k]
+                lists = Lists(width, ids, order, matrix)
+                asked = by_width.get(width, [])
+                for start in range(0, len(asked), AT_ONCE):
+                    part = asked[start : start + AT_ONCE]
+                    query_ids, vectors = np.array([q for q, _ in part]), np.array([v for _, v in part], np.int64)
+                    floors = np.array([-best[q][-1][0] if len(best.get(q, ())) == k else -np.inf for q in query_ids.tolist()])
+                    for i, left in lists.best(query_ids, vectors, floors, k):
+                        q = int(query_ids[i])
+                        left = left[lists.ids[left] != q]
+                        scores = lists.matrix[left] @ vectors[i]
+                        first = np.lexsort((lists.ids[left], -scores))[:k]
+                        found = [(-int(scores[x]), int(lists.ids[left[x]])) for x in first]
+                        best[q] = sorted(best.get(q, []) + found)[:k]
         hits = [(q, i, -s) for q, found in best.items() for s, i in found]
         yield pd.DataFrame(hits, columns=["query_id", "vec_id", "score"]).astype("int64")
 
