@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import html_text, jaccard, mixing, repeats, topk
+from ledgerlens.llm import decontaminate, html_text, jaccard, mixing, repeats, topk, toxicity
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,9 @@ QUERIES["op2_html_text"] = lambda spark, d: html_text.op2_html_text(table(spark,
 QUERIES["op7_repeated_passages"] = lambda spark, d: repeats.op7_repeats(table(spark, "documents", d))
 
 QUERIES["op10_ngram_jaccard"] = lambda spark, d: jaccard.op10_jaccard(table(spark, "documents", d))
+
+QUERIES["op5_toxicity"] = lambda spark, d: toxicity.op5_toxicity(table(spark, "documents", d), table(spark, "labels", d))
+
+QUERIES["op6_contamination"] = lambda spark, d: decontaminate.op6_contamination(
+    table(spark, "documents", d), table(spark, "benchmark", d)
+)
