@@ -38,8 +38,8 @@ by_value(__name__)
 WINDOW = 50
 GRAM = 16
 # Bytes of passages in one automaton, and of documents that one task streams through it.
-SHARD_BYTES = 4_000_000
-STREAM_BYTES = 8_000_000
+SHARD_BYTES = 1_000_000
+STREAM_BYTES = 16_000_000
 SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -156,11 +156,21 @@ class Phrases:
             for start in range(0, len(listed) - size + 1, size):
                 places.setdefault(tuple(listed[start : start + size]), []).append((i, start + size))
         self.places = list(places.values())
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        # A word is a few letters of a small alphabet, since a node looks through all its children; the first letter
+        # is of an alphabet of its own, so that no match begins inside a word.
+        self.letters = 1
+        while 64**self.letters <= len(self.vocabulary):
+            self.letters += 1
+        self.spelling = [chr(1) * self.letters] + [self.spelled(n) for n in range(1, len(self.vocabulary) + 1)]
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i, key in enumerate(places):
-            self.automaton.add_word(key, i)
+            self.automaton.add_word("".join([self.spelling[n] for n in key]), i)
         self.automaton.make_automaton()
 
+    def spelled(self, n: int) -> str:
+        digits = [n // 64**k % 64 for k in range(self.letters)]
+        return chr(128 + digits[0]) + "".join(chr(192 + d) for d in digits[1:])
+
     def covered(self, doc_id: int, words: list[bytes]) -> tuple[list[int], list[int]]:
         """Starts and ends of the stretches that an earlier document's passage covers, a window long at least."""
         numbers = [self.vocabulary.get(w, 0) for w in words]
@@ -168,7 +178,8 @@ class Phrases:
         array = np.array(numbers, np.int64)
         # Up to where a passage at one offset was compared already.
         done: dict[tuple[int, int], int] = {}
-        for end, found in self.automaton.iter(tuple(numbers)):
+        for letter, found in self.automaton.iter("".join([self.spelling[n] for n in numbers])):
+            end = (letter + 1) // self.letters - 1
             for passage, stop in self.places[found]:
                 if self.owners[passage] >= doc_id:
                     continue
