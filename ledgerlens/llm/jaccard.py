@@ -41,7 +41,7 @@ PERCENT = 90
 # Further token orders by which candidates are filtered.
 ORDERS = 2
 # Cells of the frequency sketch, at most; one byte each is sent to the tasks.
-MAX_CELLS = 1 << 22
+MAX_CELLS = 1 << 20
 TOKENS_PER_CELL = 64
 # Groups up to this size give their pairs; larger ones are compared in blocks of BLOCK.
 SMALL = 64
@@ -81,24 +81,32 @@ def count_cells(cells: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     """Token counts per cell of what a task reads, as one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for batch in batches:
             for part, _ in slices(batch, "text"):
                 sets = token_sets(part, k)
                 if sets:
-                    total += np.bincount((np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+                    at = np.concatenate(sets) & np.uint64(cells - 1)
+                    total = added(total, np.bincount(at.astype(np.int64), minlength=cells))
         key = int(total.sum())
         yield pa.RecordBatch.from_pydict({"key": [mix_key(key)], "cells": pa.array([total.tobytes()], pa.binary())})
 
     return run
 
 
+def added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums that stop at the largest 32-bit number."""
+    return np.minimum(a.astype(np.int64) + b, 2**32 - 1).astype(np.uint32)
+
+
 def mix_key(x: int) -> int:
     return int(mix64(np.array([x], np.uint64)).view(np.int64)[0])
 
 
 def add_cells(rows: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(x, np.int64) for x in rows["cells"])
+    total = np.frombuffer(rows["cells"].iloc[0], np.uint32)
+    for x in rows["cells"].iloc[1:]:
+        total = added(total, np.frombuffer(x, np.uint32))
     return pd.DataFrame({"key": [mix_key(int(total.sum()))], "cells": [total.tobytes()]})
 
 
@@ -120,7 +128,7 @@ def token_levels(docs: DataFrame, k: int = SHINGLE, max_cells: int = MAX_CELLS)
         )
         rows = counted.count() if groups > 1 else 1
     found = counted.first()
-    total = np.frombuffer(found["cells"], np.int64) if found else np.zeros(cells, np.int64)
+    total = np.frombuffer(found["cells"], np.uint32) if found else np.zeros(cells, np.uint32)
     return np.minimum(255, np.log2(total + 1.0) * 4).astype(np.uint8)
 
 
