@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, mixing, repeats, topk, toxicity
+from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, mixing, repeats, topk, toxicity
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,5 @@ QUERIES["op5_toxicity"] = lambda spark, d: toxicity.op5_toxicity(table(spark, "d
 QUERIES["op6_contamination"] = lambda spark, d: decontaminate.op6_contamination(
     table(spark, "documents", d), table(spark, "benchmark", d)
 )
+
+QUERIES["op8_lm_scores"] = lambda spark, d: language_model.op8_lm_scores(table(spark, "documents", d))
