@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, mixing, repeats, topk, toxicity
+from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, mixing, repeats, token_files, topk, toxicity
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,5 @@ QUERIES["op6_contamination"] = lambda spark, d: decontaminate.op6_contamination(
 )
 
 QUERIES["op8_lm_scores"] = lambda spark, d: language_model.op8_lm_scores(table(spark, "documents", d))
+
+QUERIES["op3_token_files"] = lambda spark, d: token_files.op3_token_files(table(spark, "documents", d))
