@@ -88,11 +88,12 @@ def powers(n: int) -> list[np.ndarray]:
     return POWERS
 
 
-def hashed_words(part: pa.RecordBatch, text: str, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(part: pa.RecordBatch, text: str, lower: bool = False, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of a batch, and where each row's words begin (one entry more than rows).
 
     A word's hash is a polynomial over its bytes, taken from running sums, so
-    that no word becomes an object. ``lower`` folds A to Z first.
+    that no word becomes an object. ``lower`` folds A to Z first; ``between``
+    marks the bytes that part words.
     """
     column = part.column(text).cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -104,7 +105,7 @@ def hashed_words(part: pa.RecordBatch, text: str, lower: bool = False) -> tuple[
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~between[data]
     # A text's first byte begins a word even if the text before ends in one.
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True

@@ -129,18 +129,23 @@ def fly(level: int, land: bool):
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
-    """How often each document is taken: (doc_id, size, source_size, target, copies).
+    """How often each document is taken: (doc_id, tid, source, size, source_size, target, copies).
+
+    ``tid`` tells texts under one id apart.
 
     The draw follows from hashes of the ids, so reruns agree.
     """
-    sizes = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "mix-sizes")
+    sizes = stored(
+        docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tid"), "source", word_count("text").alias("size")),
+        "mix-sizes",
+    )
     targets = stored(source_targets(sizes, weights, share, most), "mix-targets")
     ratio = F.when(col("source_size") > 0, col("target") / col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + EPS)
     units = (
         sizes.alias("s").join(targets.alias("t"), col("s.source").eqNullSafe(col("t.source")))
-        .select("doc_id", "size", "source_no", "source_docs", "source_size", "target", whole.cast("int").alias("sure"),
-                F.greatest(F.lit(0.0), ratio - whole).alias("p"), F.xxhash64(F.lit("mix"), "doc_id", "size").alias("_order"))
+        .select("doc_id", "tid", "s.source", "size", "source_no", "source_docs", "source_size", "target", whole.cast("int").alias("sure"),
+                F.greatest(F.lit(0.0), ratio - whole).alias("p"), F.xxhash64(F.lit("mix"), "doc_id", "tid").alias("_order"))
         .withColumn("p", F.when(col("p") < EPS, 0.0).otherwise(col("p")))
     )
     blocks = F.ceil(col("source_docs") / F.lit(block))
@@ -162,7 +167,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
         again = bucket(F.ceil(col("_n") / F.lit(block)), F.lit(level), "_order")
         dealt = undecided.join(counts, "source_no").withColumn("_block", again).drop("_n")
     return done.select(
-        "doc_id", "size", "source_size", "target", (col("sure") + col("p").cast("int")).alias("copies")
+        "doc_id", "tid", "source", "size", "source_size", "target", (col("sure") + col("p").cast("int")).alias("copies")
     )
 
 

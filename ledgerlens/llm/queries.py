@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, mixing, repeats, token_files, topk, toxicity
+from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, licenses, mixing, repeats, token_files, topk, toxicity
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,25 @@ QUERIES["op6_contamination"] = lambda spark, d: decontaminate.op6_contamination(
 QUERIES["op8_lm_scores"] = lambda spark, d: language_model.op8_lm_scores(table(spark, "documents", d))
 
 QUERIES["op3_token_files"] = lambda spark, d: token_files.op3_token_files(table(spark, "documents", d))
+
+QUERIES["op4_licenses"] = lambda spark, d: licenses.op4_licenses(table(spark, "documents", d))
+
+
+def license_sql(templates: dict[str, str], share: float) -> str:
+    """Exact containment of every template in every text."""
+    quoted = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in templates.items())
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = "list_filter(string_split_regex(translate(text, '{}', '{}'), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), lambda x: x <> '')"
+    words = words.format(upper, lower)
+    cut = "list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))"
+    return f"""WITH t AS (SELECT license, {words} AS w FROM (VALUES {quoted}) AS v(license, text)),
+    tk AS (SELECT license, w, least({licenses.SHINGLE}, len(w)) AS k FROM t),
+    ts AS (SELECT license, k, unnest({cut}) AS s FROM tk),
+    n AS (SELECT license, count(*) AS n FROM ts GROUP BY 1),
+    d AS (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL),
+    ds AS (SELECT doc_id, k, unnest({cut}) AS s FROM d, (SELECT DISTINCT k FROM tk) WHERE len(w) >= k)
+    SELECT doc_id, license, count(*) AS n_shared, n AS n_shingles FROM ds JOIN ts USING (k, s) JOIN n USING (license)
+    GROUP BY doc_id, license, n HAVING count(*) >= {share} * n"""
+
+
+ORACLE["op4_licenses"] = license_sql(licenses.TEMPLATES, licenses.CONTAINMENT)
