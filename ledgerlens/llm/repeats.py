@@ -334,7 +334,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, t
     # A text that loses nothing is given as it is, words joined by one space.
     whole = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     kept = F.coalesce(col("_cut"), whole).alias("kept_text")
-    return result.join(given.dropDuplicates(key), key, "left").select("doc_id", "n_words", "n_removed", "kept_sha256", kept)
+    by_text = given.select("tid", "text").dropDuplicates(["tid"])
+    return result.join(by_text, "tid", "left").select("doc_id", "n_words", "n_removed", "kept_sha256", kept)
 
 
 def op7_repeats(docs: DataFrame) -> DataFrame:
