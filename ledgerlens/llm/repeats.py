@@ -36,7 +36,7 @@ by_value(__name__)
 
 # Words of a window, of the grams that anchors are chosen from, and of an automaton's chunks.
 WINDOW = 50
-GRAM = 16
+GRAM = 24
 # Bytes of passages in one automaton, and of documents that one task streams through it.
 SHARD_BYTES = 1_000_000
 STREAM_BYTES = 16_000_000
@@ -112,26 +112,20 @@ def candidate_windows(window: int, gram: int) -> Callable[[Iterator[pa.RecordBat
     return run
 
 
-def passages(window: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The longest runs of recurring windows of a document, as words joined by spaces, with their anchors."""
+def passages(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The longest runs of recurring windows of a document, as words joined by spaces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                hashes, begin = hashed_words(part, "text")
                 rows = []
                 keys = zip(part.column("doc_id").to_pylist(), part.column("positions").to_pylist())
-                for row, (text, (doc_id, positions)) in enumerate(zip(texts, keys)):
+                for text, (doc_id, positions) in zip(texts, keys):
                     words = text.split()
-                    anchors = signed(window_anchors(hashes[begin[row] : begin[row + 1]], window, gram))
                     at = np.unique(np.array(positions, np.int64))
-                    for run_ in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
-                        a, b = int(run_[0]), int(run_[-1])
-                        rows.append({"owner": doc_id, "words": b" ".join(words[a : b + window]),
-                                     "anchors": np.unique(anchors[a : b + 1]).tolist()})
-                yield pa.RecordBatch.from_pylist(
-                    rows, pa.schema([("owner", pa.int64()), ("words", pa.binary()), ("anchors", pa.list_(pa.int64()))])
-                )
+                    for found in np.split(at, np.flatnonzero(np.diff(at) != 1) + 1):
+                        rows.append({"owner": doc_id, "words": b" ".join(words[int(found[0]) : int(found[-1]) + window])})
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("owner", pa.int64()), ("words", pa.binary())]))
 
     return run
 
@@ -190,10 +184,11 @@ class Phrases:
                 low, high = max(0, shift), min(len(array), shift + len(theirs))
                 same = array[low:high] == theirs[low - shift : high - shift]
                 here = end - low
-                before = np.flatnonzero(~same[: here + 1])
-                after = np.flatnonzero(~same[here:])
-                start = low + (int(before[-1]) + 1 if len(before) else 0)
-                finish = end + int(after[0]) if len(after) else high
+                back, ahead = same[here::-1], same[here:]
+                k = int(back.argmin())
+                start = low if back[k] else low + here - k + 1
+                k = int(ahead.argmin())
+                finish = high if ahead[k] else end + k
                 done[(passage, shift)] = finish - 1
                 if finish - start >= self.window:
                     marked[start] += 1
@@ -277,26 +272,31 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, t
     per_doc = occurring.groupBy(*key).agg(F.collect_set("anchor").alias("anchors"))
     candidates = stored(given.dropna(subset=["doc_id"]).join(per_doc, key), "repeats-candidates")
 
-    windows = candidates.mapInArrow(candidate_windows(window, gram), "first long, second int, at int, doc_id long, tid long")
-    firsts = (
+    windows = stored(
+        candidates.mapInArrow(candidate_windows(window, gram), "first long, second int, at int, doc_id long, tid long"),
+        "repeats-windows",
+    )
+    firsts = stored(
         windows.groupBy("first", "second")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("_b"), F.min_by("at", "doc_id").alias("at"),
              F.min_by("tid", "doc_id").alias("tid"))
-        .filter(col("owner") < col("_b"))
+        .filter(col("owner") < col("_b")),
+        "repeats-firsts",
     )
     positions = firsts.groupBy(col("owner").alias("doc_id"), "tid").agg(F.collect_list("at").alias("positions"))
     listed = stored(
         candidates.select(*key, "text").join(positions, key)
-        .mapInArrow(passages(window, gram), "owner long, words binary, anchors array<long>"),
+        .mapInArrow(passages(window), "owner long, words binary"),
         "repeats-passages",
     )
 
     size = listed.agg(F.sum(F.length("words"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     listed = listed.withColumn("shard", bucket(shards, "owner"))
-    # A document meets the shards that have a passage with one of its anchors.
-    where = listed.select("shard", F.explode("anchors").alias("anchor")).distinct()
-    routed = occurring.join(where, "anchor").select(*key, "shard").distinct()
+    # A document meets the shards of the documents that own its windows; in the owner itself nothing is covered by them.
+    owned = firsts.select("first", "second", "owner", bucket(shards, "owner").alias("shard"))
+    routed = windows.join(owned, ["first", "second"]).filter(col("doc_id") != col("owner")).select(*key, "shard").distinct()
+    routed = stored(routed, "repeats-routed")
     loads = stored(
         routed.join(candidates.select(*key, F.octet_length("text").alias("_bytes")), key)
         .groupBy("shard").agg(F.ceil(F.sum("_bytes") / F.lit(STREAM_BYTES)).cast("int").alias("_parts")),
