@@ -60,22 +60,19 @@ def judge_summary(parsed: DataFrame) -> DataFrame:
 
 
 def eval_results(questions: DataFrame, answers: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """One row per evaluation question with its answer and verdict.
+    """Every answer to every evaluation question with the verdict on it.
 
-    ``answers`` (qa_id, generated_answer) and ``verdicts`` (qa_id, evaluation)
-    are reduced to one row per question first, so that repeated ids cannot
-    multiply.
+    ``answers`` has (qa_id, answer_id, generated_answer) and ``verdicts``
+    (qa_id, answer_id, evaluation). All answers stay, and a verdict belongs to
+    the answer whose id it names; a question without answers has one row, with
+    missing values. Several verdicts on one answer are a row each.
     """
-    one_answer = answers.groupBy("qa_id").agg(F.min("generated_answer").alias("generated_answer"))
-    one_verdict = verdicts.groupBy("qa_id").agg(F.min("evaluation").alias("evaluation"))
-    return (
-        questions.select(
-            "qa_id",
-            "question",
-            "category",
-            F.col("estimated_difficulty").alias("difficulty"),
-            F.col("answer").alias("expected_answer"),
-        )
-        .join(one_answer, "qa_id", "left")
-        .join(one_verdict, "qa_id", "left")
+    asked = questions.select(
+        "qa_id",
+        "question",
+        "category",
+        F.col("estimated_difficulty").alias("difficulty"),
+        F.col("answer").alias("expected_answer"),
     )
+    answered = asked.join(answers.select("qa_id", "answer_id", "generated_answer"), "qa_id", "left")
+    return answered.join(verdicts.select("qa_id", "answer_id", "evaluation"), ["qa_id", "answer_id"], "left")

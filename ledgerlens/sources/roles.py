@@ -171,22 +171,22 @@ def generated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judge_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Judge replies as JSON text; some fenced, every seventh one malformed."""
-    key = F.col("item_id")
+    """A judge's reply to every generated answer, as JSON text; some fenced, every seventh one malformed."""
+    key = F.col("conv_id") * 5 + F.col("turn")
     body = F.concat(
         F.lit('{"accuracy": '), key % 11,
         F.lit(', "completeness": '), (key * 3) % 11,
         F.lit(', "clarity": '), (key * 5) % 12,
-        F.lit(', "relevance": '), (key * 7) % 11,
-        F.lit(', "overall_score": 5, "reasoning": "item '), key, F.lit('"}'),
+        F.lit(', "relevance": '), F.length("reply") % 11,
+        F.lit(', "overall_score": 5, "reasoning": "answer '), key, F.lit('"}'),
     )
     reply = (
         F.when(key % 7 == 6, F.lit("The answer is good."))
         .when(key % 3 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
         .otherwise(body)
     )
-    return load(spark, "benchmark", sf_dir).select(
-        F.concat(F.lit("item-"), "item_id").alias("document"), reply.alias("evaluation")
+    return generated_answers(spark, sf_dir).select(
+        F.concat(F.lit("item-"), "conv_id").alias("document"), F.col("turn").alias("answer_id"), reply.alias("evaluation")
     )
 
 

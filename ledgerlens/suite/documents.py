@@ -218,7 +218,9 @@ def _results(spark, d):
     questions = _gold_eval(spark, d)
     ids = questions.select("qa_id", "document")
     replies = roles.generated_answers(spark, d).select(
-        F.concat(F.lit("item-"), "conv_id").alias("document"), F.col("reply").alias("generated_answer")
+        F.concat(F.lit("item-"), "conv_id").alias("document"),
+        F.col("turn").alias("answer_id"),
+        F.col("reply").alias("generated_answer"),
     )
     return evaluation.eval_results(
         questions, ids.join(replies, "document"), ids.join(roles.judge_replies(spark, d), "document")
@@ -230,9 +232,9 @@ _TO_RESULTS = (sql.CORPUS, sql.REPLIES, sql.VERDICTS, sql.EVAL)
 QUERIES["eval_results"] = _results
 ORACLE["eval_results"] = sql.query("SELECT * FROM results", *_TO_RESULTS)
 
-QUERIES["judge_prompts"] = lambda spark, d: _chat(evaluation.judge_prompts(_results(spark, d)), "qa_id")
+QUERIES["judge_prompts"] = lambda spark, d: _chat(evaluation.judge_prompts(_results(spark, d)), "qa_id", "answer_id")
 ORACLE["judge_prompts"] = sql.query(
-    f"""SELECT qa_id, {sql.text(prompts.JUDGE_SYSTEM)} AS system_content,
+    f"""SELECT qa_id, answer_id, {sql.text(prompts.JUDGE_SYSTEM)} AS system_content,
     {sql.text(prompts.JUDGE_USER, question="question", expected="expected_answer", generated="generated_answer")}
       AS user_content FROM results""",
     *_TO_RESULTS,
@@ -240,13 +242,13 @@ ORACLE["judge_prompts"] = sql.query(
 
 QUERIES["judge_parse"] = lambda spark, d: evaluation.parse_judgement(roles.judge_replies(spark, d)).drop("evaluation")
 ORACLE["judge_parse"] = sql.query(
-    """SELECT document, CASE WHEN valid THEN accuracy::DOUBLE END AS accuracy,
+    """SELECT document, answer_id, CASE WHEN valid THEN accuracy::DOUBLE END AS accuracy,
     CASE WHEN valid THEN completeness::DOUBLE END AS completeness, CASE WHEN valid THEN clarity::DOUBLE END AS clarity,
     CASE WHEN valid THEN relevance::DOUBLE END AS relevance,
     CASE WHEN valid THEN (accuracy + completeness + clarity + relevance) / 4.0::DOUBLE END AS overall_score,
-    CASE WHEN valid THEN 'item ' || item_id END AS reasoning, valid FROM verdicts""",
-    sql.VERDICTS,
-)
+    CASE WHEN valid THEN 'answer ' || key END AS reasoning, valid FROM verdicts""",
+    sql.REPLIES, sql.VERDICTS,
+)
 
 QUERIES["judge_summary"] = lambda spark, d: rounded(
     evaluation.judge_summary(evaluation.parse_judgement(roles.judge_replies(spark, d)))
@@ -259,8 +261,8 @@ ORACLE["judge_summary"] = sql.query(
     round(avg(relevance) FILTER (WHERE valid), 6) AS avg_relevance,
     round(avg((accuracy + completeness + clarity + relevance) / 4.0::DOUBLE) FILTER (WHERE valid), 6) AS avg_overall_score
     FROM verdicts""",
-    sql.VERDICTS,
-)
+    sql.REPLIES, sql.VERDICTS,
+)
 
 # Loan applications.
 

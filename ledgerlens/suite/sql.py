@@ -194,29 +194,27 @@ generated AS (
 
 VERDICTS = """
 verdicts AS (
-  SELECT item_id, 'item-' || item_id AS document,
-         item_id % 11 AS accuracy, (item_id * 3) % 11 AS completeness,
-         (item_id * 5) % 12 AS clarity, (item_id * 7) % 11 AS relevance,
-         item_id % 7 <> 6 AND (item_id * 5) % 12 <= 10 AS valid
-  FROM benchmark
+  SELECT key, document, answer_id, key % 11 AS accuracy, (key * 3) % 11 AS completeness,
+         (key * 5) % 12 AS clarity, length(reply) % 11 AS relevance,
+         key % 7 <> 6 AND (key * 5) % 12 <= 10 AS valid
+  FROM (SELECT conv_id * 5 + turn AS key, 'item-' || conv_id AS document, turn AS answer_id, reply FROM generated)
 )"""
 
 EVAL = """
 results AS (
-  SELECT s.qa_id, s.question, s.category, s.estimated_difficulty AS difficulty, s.answer AS expected_answer,
-         g.generated_answer, v.evaluation
+  SELECT s.qa_id, g.turn AS answer_id, s.question, s.category, s.estimated_difficulty AS difficulty,
+         s.answer AS expected_answer, g.reply AS generated_answer, v.evaluation
   FROM silver s
-  LEFT JOIN (SELECT 'item-' || conv_id AS document, min(reply) AS generated_answer FROM generated GROUP BY conv_id) g
-    ON g.document = s.document
+  LEFT JOIN generated g ON 'item-' || g.conv_id = s.document
   LEFT JOIN (
-    SELECT document,
-           CASE WHEN item_id % 7 = 6 THEN 'The answer is good.'
-                WHEN item_id % 3 = 0 THEN '```json' || chr(10) || body || chr(10) || '```'
+    SELECT document, answer_id,
+           CASE WHEN key % 7 = 6 THEN 'The answer is good.'
+                WHEN key % 3 = 0 THEN '```json' || chr(10) || body || chr(10) || '```'
                 ELSE body END AS evaluation
     FROM (SELECT *, '{"accuracy": ' || accuracy || ', "completeness": ' || completeness || ', "clarity": ' || clarity ||
-                    ', "relevance": ' || relevance || ', "overall_score": 5, "reasoning": "item ' || item_id || '"}' AS body
+                    ', "relevance": ' || relevance || ', "overall_score": 5, "reasoning": "answer ' || key || '"}' AS body
           FROM verdicts)
-  ) v ON v.document = s.document
+  ) v ON v.document = s.document AND v.answer_id = g.turn
   WHERE s.split = 'eval'
 )"""
 

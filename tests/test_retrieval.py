@@ -229,17 +229,20 @@ def test_unusable_replies_are_kept_but_not_counted(spark, text):
     assert judge_summary(parsed).first()["replies"] == 1
 
 
-def test_eval_results_has_one_row_per_question(spark):
+def test_eval_results_keep_every_answer_with_its_own_verdict(spark):
     questions = spark.createDataFrame(
         [("a", "q1", "x1", "c", "easy"), ("b", "q2", "x2", "c", "hard")],
         "qa_id string, question string, answer string, category string, estimated_difficulty string",
     )
-    answers = spark.createDataFrame([("a", "g2"), ("a", "g1"), ("z", "g")], "qa_id string, generated_answer string")
-    verdicts = spark.createDataFrame([("a", "v")], "qa_id string, evaluation string")
-    got = by(eval_results(questions, answers, verdicts), "qa_id")
-    assert len(got) == 2 and got["a"]["generated_answer"] == "g1" and got["a"]["difficulty"] == "easy"
-    assert got["b"]["generated_answer"] is None and got["b"]["evaluation"] is None
-    chat = by(judge_prompts(eval_results(questions, answers, verdicts)), "qa_id")["b"]["messages"]
+    answers = spark.createDataFrame(
+        [("a", 1, "g1"), ("a", 2, "g2"), ("a", 3, "g0"), ("z", 1, "g")], "qa_id string, answer_id int, generated_answer string"
+    )
+    verdicts = spark.createDataFrame([("a", 2, "v"), ("a", 3, "a verdict")], "qa_id string, answer_id int, evaluation string")
+    got = eval_results(questions, answers, verdicts)
+    found = {(r["qa_id"], r["answer_id"], r["generated_answer"], r["evaluation"]) for r in rows(got)}
+    assert found == {("a", 1, "g1", None), ("a", 2, "g2", "v"), ("a", 3, "g0", "a verdict"), ("b", None, None, None)}
+    assert {r["difficulty"] for r in rows(got)} == {"easy", "hard"}
+    chat = by(judge_prompts(got), "qa_id")["b"]["messages"]
     assert "Generated Answer:\nNone\n" in chat[1]["content"] and "Expected Answer:\nx2\n" in chat[1]["content"]
 
 
