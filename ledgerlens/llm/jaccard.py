@@ -289,13 +289,16 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     )
     members = stored(ranged.join(groups, ["token", "band"]), "jaccard-members")
 
-    texts = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("tid", "doc_id").alias("tid"))
+    # One text of each node that has a neighbour; equal texts have equal sets, so the text's hash finds it.
+    texts = nodes.groupBy("node").agg(F.min("tid").alias("tid"))
     wanted = members.select("node").distinct().join(texts, "node")
+    # Partitioned by tid already, so that dropping repeated rows moves no text again.
+    found = wanted.join(given.select("tid", "text"), "tid").dropDuplicates(["tid"])
     sets = stored(
-        wanted.withColumnRenamed("doc_id", "_doc").join(given.dropDuplicates(["doc_id", "tid"]), "tid")
-        .filter(col("doc_id").eqNullSafe(col("_doc"))).select("node", "text")
-        .mapInArrow(full_sets(levels, k, percent), "node long, n long, tokens binary, sketch binary, "
-                    + ", ".join(f"other{o} array<long>" for o in range(1, ORDERS + 1))),
+        found.select("node", "text").mapInArrow(
+            full_sets(levels, k, percent),
+            "node long, n long, tokens binary, sketch binary, " + ", ".join(f"other{o} array<long>" for o in range(1, ORDERS + 1)),
+        ),
         "jaccard-sets",
     )
 
