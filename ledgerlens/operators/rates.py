@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import flag
-from ledgerlens.session import written
 
 # Fixed value: a state above this share of fraud is a high-fraud state.
 HIGH_RATE = 0.05
@@ -25,24 +22,20 @@ def attach_rate(df: DataFrame, rates: DataFrame, key: str = "state") -> DataFram
     return joined.withColumn("high_fraud_state_flag", flag(F.col("fraud_rate") > HIGH_RATE))
 
 
-class StateRateModel(Model):
-    def __init__(self, rates: DataFrame, key: str):
-        super().__init__()
-        self.rates = rates
-        self.key = key
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return attach_rate(dataset, self.rates, self.key)
-
-
-class StateRateEncoder(Estimator):
-    """``fit_rate`` as a pipeline stage, so that cross-validation fits it on each fold."""
-
-    @keyword_only
-    def __init__(self, *, key: str = "state", label: str = "is_fraud"):
-        super().__init__()
-        self.key = key
-        self.label = label
-
-    def _fit(self, dataset: DataFrame) -> StateRateModel:
-        return StateRateModel(written(fit_rate(dataset, self.key, self.label), "fold-rates"), self.key)
+def fold_rates(rows: DataFrame, key: str = "state", label: str = "is_fraud", fold: str = "fold") -> DataFrame:
+    """Mean label per fold and key over the rows of all *other* folds.
+
+    One grouping by fold and key; a fold's rows are subtracted from the key's
+    totals. Keys that only one fold has get no row for it.
+    """
+    part = rows.groupBy(fold, key).agg(F.sum(label).alias("_sum"), F.count(label).alias("_n"))
+    whole = part.groupBy(key).agg(F.sum("_sum").alias("_all"), F.sum("_n").alias("_rows"))
+    folds = part.select(fold).distinct()
+    # Folds are few, so every key meets each of them.
+    listed = whole.withColumn(fold, F.explode(folds.agg(F.collect_set(fold)).scalar()))
+    kept = listed.alias("a").join(
+        part.alias("b"), (F.col(f"a.{fold}") == F.col(f"b.{fold}")) & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")), "left"
+    )
+    others = F.col("_rows") - F.coalesce("_n", F.lit(0))
+    rate = (F.col("_all") - F.coalesce("_sum", F.lit(0))) / others
+    return kept.filter(others > 0).select(F.col(f"a.{fold}"), F.col(f"a.{key}"), rate.alias("fraud_rate"))

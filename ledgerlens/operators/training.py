@@ -121,15 +121,6 @@ def grid_table(spark: SparkSession, fitted: CrossValidatorModel, grid: list[dict
     return spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names) + ", metric double, best boolean")
 
 
-def fraud_grid(encoder: Estimator, train: DataFrame, key: str, trees=(50, 100), depths=(5, 10), folds: int = 3):
-    """Forest size and depth by AUC; state rates are fitted inside each fold."""
-    rf = forest()
-    pipeline = Pipeline(stages=[encoder, *scaled_features(NUMERIC_FEATURES, ["type"]), rf])
-    grid = ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths)).build()
-    evaluator = BinaryClassificationEvaluator(labelCol="is_fraud", rawPredictionCol="rawPrediction")
-    return cross_validate(pipeline, grid, train, evaluator, key, folds), grid
-
-
 def forest_importances(spark: SparkSession, model: PipelineModel, names: list[str]) -> DataFrame:
     """Importance per feature with its running share, largest first."""
     values = model.stages[-1].featureImportances.toArray()

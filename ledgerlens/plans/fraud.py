@@ -5,16 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import TYPE_CODES
 from ledgerlens.operators.infrastructure import infra_by_state, normalise_infra
 from ledgerlens.operators.metrics import best_threshold, threshold_sweep
-from ledgerlens.operators.rates import attach_rate, fit_rate
-from ledgerlens.operators.sampling import balanced_train, split
+from ledgerlens.operators.quality import dedup_full
+from ledgerlens.operators.rates import attach_rate, fit_rate, fold_rates
+from ledgerlens.operators.sampling import balanced_train, split, with_fold
 from ledgerlens.operators.training import fraud_pipeline, with_probability
-from ledgerlens.operators.transactions import detect_input, enrich, rename_labels, txn_features
+from ledgerlens.operators.transactions import NUMERIC_FEATURES, detect_input, enrich, rename_labels, txn_features
 from ledgerlens.plans.lookup import as_lookup, assign_state
 from ledgerlens.session import written
 
@@ -67,7 +69,8 @@ def prepare(
     fitting and testing read them instead of repeating the joins.
     """
     infra = state_infra(raw_infra)
-    stored = written(features(txn, states, infra), "features")
+    # Repeated rows of the log are one row, so that no copy of a training row is tested on.
+    stored = written(dedup_full(features(txn, states, infra)), "features")
     known, test = split(stored, key)
     train, checked = split(known, key, 1 - validation, seed=142)
     rates = as_lookup(fit_rate(train), "rates")
@@ -79,6 +82,42 @@ def fit(training: Training, trees: int = 100, depth: int = 10) -> PipelineModel:
     return fraud_pipeline(trees, depth).fit(training.balanced)
 
 
+@dataclass
+class GridSearch:
+    """The winner of a grid, fitted on all rows, and the mean area of every point."""
+
+    model: PipelineModel
+    table: DataFrame
+
+
+def grid_search(train: DataFrame, key: str, trees=(50, 100), depths=(5, 10), folds: int = 3) -> GridSearch:
+    """Forest size and depth by cross-validated AUC.
+
+    Folds are assigned on the unbalanced training rows. A fold's state rates
+    come from the other folds' rows, all of them; only then is the training
+    part balanced, and the measured part stays as it is. ``train`` is a stored
+    table of prepared rows.
+    """
+    spark = train.sparkSession
+    bare = train.drop("fraud_rate", "high_fraud_state_flag")
+    folded = with_fold(bare, key, folds, seed=7)
+    rates = as_lookup(fold_rates(folded), "fold-rates")
+    areas: dict[tuple[int, int], list[float]] = {(t, d): [] for t in trees for d in depths}
+    evaluator = BinaryClassificationEvaluator(labelCol="is_fraud", rawPredictionCol="rawPrediction")
+    for fold in range(folds):
+        own = rates.filter(F.col("fold") == fold).drop("fold")
+        learn = training_table(balanced_train(attach_rate(folded.filter(F.col("fold") != fold), own), key), key)
+        tested = written(attach_rate(folded.filter(F.col("fold") == fold), own), "fold-tested")
+        for (t, d), found in areas.items():
+            found.append(evaluator.evaluate(fraud_pipeline(t, d).fit(learn).transform(tested)))
+    means = {point: sum(found) / len(found) for point, found in areas.items()}
+    best = max(means, key=means.get)
+    lines = [(float(t), float(d), float(m), (t, d) == best) for (t, d), m in means.items()]
+    table = spark.createDataFrame(lines, "numTrees double, maxDepth double, metric double, best boolean")
+    whole = attach_rate(bare, as_lookup(fit_rate(bare), "rates"))
+    return GridSearch(fraud_pipeline(*best).fit(training_table(balanced_train(whole, key), key)), table)
+
+
 def score(
     txn: DataFrame,
     states: DataFrame | list[str],
@@ -88,10 +127,30 @@ def score(
     threshold: float,
     keep: list[str] = (),
 ) -> DataFrame:
-    """Score raw transactions, batch or stream. Starts no job of its own but for the state list."""
+    """Score raw transactions, batch or stream; every row given comes back.
+
+    A row with a missing or NaN input can't be scored: its probability and flag
+    are NULL. Numbering the states runs jobs while the plan is built.
+    """
     ready = attach_rate(features(txn, states, infra), rates)
-    scored = with_probability(model.transform(ready), threshold)
-    return scored.withColumn("fraud_flag", F.col("prediction").cast("int")).select(*keep, *SCORED_COLUMNS)
+    return score_ready(ready, model, threshold).select(*keep, *SCORED_COLUMNS)
+
+
+def score_ready(ready: DataFrame, model: PipelineModel, threshold: float) -> DataFrame:
+    """Add probability and flag to rows with features; NULL where an input is missing."""
+    usable = F.lit(True)
+    for name in NUMERIC_FEATURES:
+        usable = usable & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
+    # A stand-in lets the row through the model; what the model says of it is not used.
+    filled = ready.withColumn("_usable", usable).withColumns(
+        {f"_given_{c}": F.col(c) for c in NUMERIC_FEATURES}
+        | {c: F.when(usable, F.col(c)).otherwise(F.lit(0).cast(ready.schema[c].dataType)) for c in NUMERIC_FEATURES}
+    )
+    scored = with_probability(model.transform(filled), threshold)
+    scored = scored.withColumn("fraud_probability", F.when(F.col("_usable"), F.col("fraud_probability")))
+    scored = scored.withColumn("fraud_flag", F.when(F.col("_usable"), F.col("prediction").cast("int")))
+    given = {c: F.col(f"_given_{c}") for c in NUMERIC_FEATURES}
+    return scored.withColumns(given).drop("_usable", *[f"_given_{c}" for c in NUMERIC_FEATURES])
 
 
 def score_batch(
@@ -116,8 +175,7 @@ def score_batch(
     for name, default in (("state", F.lit("N/A")), ("nameOrig", F.lit(None).cast("string"))):
         if name not in df.columns:
             df = df.withColumn(name, default)
-    scored = with_probability(model.transform(df.drop("type_index")), threshold)
-    return scored.withColumn("fraud_flag", F.col("prediction").cast("int")).select(*SCORED_COLUMNS)
+    return score_ready(df.drop("type_index"), model, threshold).select(*SCORED_COLUMNS)
 
 
 def score_held_out(rows: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:

@@ -1,18 +1,14 @@
-"""Left joins to lookup tables, and the list of states."""
+"""Left joins to lookup tables, and the assignment of states."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.hashing import md5_mod
 from ledgerlens.plans.running import running_sum
 from ledgerlens.session import written
 
-# A list of regions up to this length becomes a literal in the plan; a longer one is joined.
-MAX_LITERAL_STATES = 4096
-
-
 def as_lookup(df: DataFrame, name: str = "lookup") -> DataFrame:
     """Store an aggregated table so that its real size decides how it is joined.
 
@@ -23,37 +19,27 @@ def as_lookup(df: DataFrame, name: str = "lookup") -> DataFrame:
     return written(df, name)
 
 
-def short_list(values: DataFrame, col: str, longest: int = MAX_LITERAL_STATES) -> list[str] | None:
-    """The sorted distinct values, or None when there are more than ``longest``."""
-    rows = values.select(col).dropna().distinct().orderBy(col).limit(longest + 1).collect()
-    return [r[0] for r in rows] if len(rows) <= longest else None
-
-
-def bucket_of(key: Column, values: list[str]) -> Column:
-    """One of ``values``, chosen by the md5 of the key; NULL for a NULL key."""
-    choices = F.array(*[F.lit(v) for v in values])
-    # element_at over an array without nulls does not look for a NULL position.
-    return F.when(key.isNotNull(), F.element_at(choices, md5_mod(key, len(values)) + 1))
+def numbered_states(states: DataFrame) -> tuple[DataFrame, int]:
+    """The sorted distinct states with their numbers from 0, stored, and how many there are."""
+    distinct = written(states.select("state").dropna().distinct(), "states")
+    numbered = running_sum(distinct.withColumn("one", F.lit(1)), "state", ["one"])
+    table = as_lookup(numbered.select("state", (F.col("sum_one") - 1).cast("int").alias("_bucket")), "numbered-states")
+    return table, distinct.count()
 
 
 def assign_state(df: DataFrame, key: str, states: DataFrame | list[str]) -> DataFrame:
-    """Add ``state``, a stable choice per key out of the sorted states."""
-    if isinstance(states, DataFrame):
-        listed = short_list(states, "state")
-        if listed is None:
-            return assign_by_join(df, key, states)
-        states = listed
-    return df.withColumn("state", bucket_of(F.col(key), sorted(states)))
-
+    """Add ``state``, a stable choice per key out of the sorted states; NULL for a NULL key.
 
-def assign_by_join(df: DataFrame, key: str, states: DataFrame) -> DataFrame:
-    """``assign_state`` for any number of states: number them, then join on the number."""
-    distinct = written(states.select("state").dropna().distinct(), "states")
-    numbered = running_sum(distinct.withColumn("one", F.lit(1)), "state", ["one"]).select(
-        "state", (F.col("sum_one") - 1).cast("int").alias("_bucket")
-    )
-    bucketed = df.withColumn("_bucket", md5_mod(F.col(key), distinct.count()))
-    return bucketed.join(as_lookup(numbered, "numbered-states"), "_bucket", "left").drop("_bucket")
+    The states are numbered in a stored table, and the md5 of the key modulo
+    their number is joined to it: the same for few and many, for batches and
+    streams. Numbering runs jobs while the plan is built.
+    """
+    if not isinstance(states, DataFrame):
+        states = df.sparkSession.createDataFrame([(s,) for s in states], "state string")
+    table, n = numbered_states(states)
+    if not n:
+        return df.withColumn("state", F.lit(None).cast("string"))
+    return df.withColumn("_bucket", md5_mod(F.col(key), n)).join(table, "_bucket", "left").drop("_bucket")
 
 
 def lookup_default(df: DataFrame, table: DataFrame, on: str, defaults: dict[str, object]) -> DataFrame:

@@ -9,10 +9,8 @@ from pyspark.sql.functions import col
 
 from ledgerlens.operators import loans, training
 from ledgerlens.operators.metrics import pr_threshold
-from ledgerlens.operators.rates import StateRateEncoder
 from ledgerlens.operators.sampling import split, stratified_split
 from ledgerlens.plans import fraud
-from ledgerlens.plans.lookup import short_list
 from ledgerlens.session import written
 from ledgerlens.sources import roles
 from ledgerlens.sources.roles import load
@@ -51,14 +49,12 @@ QUERIES["model_metrics"] = _model_metrics
 
 QUERIES["feature_importance"] = lambda spark, d: training.forest_importances(
     spark, fraud.fit(prepared(spark, d)), training.fraud_feature_names()
-).filter(col("rank") <= 15)
+)
 
 
 def _cv_grid(spark, d):
     data = prepared(spark, d)
-    train = data.balanced.drop("fraud_rate", "high_fraud_state_flag")
-    fitted, grid = training.fraud_grid(StateRateEncoder(), train, "txn_id")
-    return training.grid_table(spark, fitted, grid, ["numTrees", "maxDepth"])
+    return fraud.grid_search(data.train, "txn_id").table
 
 
 QUERIES["cv_grid"] = _cv_grid
@@ -138,9 +134,10 @@ def _stream_input(spark, d):
 
 def _stream_score(spark, d):
     data = prepared(spark, d)
-    model = fraud.fit(data, trees=20, depth=6)
-    states = short_list(roles.states(spark, d), "state")
-    stream = scoring.score_stream(_stream_input(spark, d), states, data.infra, data.rates, model, 0.5, ["txn_id"])
+    model = fraud.fit(data)
+    threshold = fraud.choose_threshold(data, model)
+    states = roles.states(spark, d)
+    stream = scoring.score_stream(_stream_input(spark, d), states, data.infra, data.rates, model, threshold, ["txn_id"])
     return scoring.drain_to_table(stream, "scored")
 
 
@@ -162,8 +159,7 @@ count(*) AS n FROM events GROUP BY 1"""
 def _stream_features(spark, d):
     """The scorer's inputs computed on a stream: assignment, enrichment and features."""
     infra = fraud.state_infra(roles.infra(spark, d))
-    states = short_list(roles.states(spark, d), "state")
-    rows = rounded(fraud.features(_stream_input(spark, d), states, infra).select(*FEATURES))
+    rows = rounded(fraud.features(_stream_input(spark, d), roles.states(spark, d), infra).select(*FEATURES))
     return scoring.drain_to_table(rows, "stream-features")
 
 

@@ -3,11 +3,11 @@ import random
 
 import pytest
 from helpers import FORM_STATES, by, rows
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import loans, training
-from ledgerlens.operators.rates import StateRateEncoder
+from ledgerlens.operators.rates import fold_rates
 from ledgerlens.operators.sampling import split
 from ledgerlens.operators.transactions import NUMERIC_FEATURES
 from ledgerlens.plans import fraud
@@ -35,7 +35,7 @@ def txn(spark):
 
 @pytest.fixture(scope="module")
 def infra(spark):
-    data = [(s, str(d), str(a)) for s, (d, a, _) in FORM_STATES.items() if s != "AP"]
+    data = [(s, str(d), str(a)) for s, (d, a, _) in FORM_STATES.items() if s != "isle"]
     return spark.createDataFrame(data, "`State/UT` string, `No. of PoS devices sanctioned` string, `Amount sanctioned in lakh` string")
 
 
@@ -122,21 +122,36 @@ def test_unknown_types_are_scored_and_missing_numbers_skipped(spark, trained):
     assert (skipped["n_rows"], skipped["skipped"]) == (3, 3 - model.transform(holes).count())
 
 
-def test_cross_validation_fits_rates_per_fold(trained):
+def test_grid_search_uses_rates_of_the_unbalanced_rows(trained, tmp_path):
     data, _ = trained
-    train = data.balanced.drop("fraud_rate", "high_fraud_state_flag")
-    fitted, grid = training.fraud_grid(StateRateEncoder(), train, "txn_id", trees=(2, 5), depths=(2, 4))
-    table = rows(training.grid_table(train.sparkSession, fitted, grid, ["numTrees", "maxDepth"]))
+    found = fraud.grid_search(data.train, "txn_id", trees=(2, 5), depths=(2, 4))
+    table = rows(found.table)
     assert len(table) == 4 and sum(t["best"] for t in table) == 1
     assert max(t["metric"] for t in table) == next(t["metric"] for t in table if t["best"]) > 0.8
     assert {(t["numTrees"], t["maxDepth"]) for t in table} == {(2, 2), (2, 4), (5, 2), (5, 4)}
+    found.model.write().overwrite().save(str(tmp_path / "winner"))
+    again = PipelineModel.load(str(tmp_path / "winner"))
+    assert again.transform(data.test).count() == found.model.transform(data.test).count()
 
 
-def test_encoder_uses_only_the_rows_it_is_fitted_on(spark):
-    df = spark.createDataFrame([("A", 1), ("A", 0), ("B", 1)], "state string, is_fraud int")
-    fitted = Pipeline(stages=[StateRateEncoder()]).fit(df.filter("state = 'A'"))
-    got = by(fitted.transform(df.dropDuplicates(["state"])), "state")
-    assert got["A"]["fraud_rate"] == 0.5 and got["B"]["fraud_rate"] == 0.0
+def test_fold_rates(spark):
+    data = [(i % 3, "AB"[i % 2] if i % 7 else None, int(i % 5 == 0)) for i in range(200)] + [(1, "only", 1)]
+    found = {(r["fold"], r["state"]): r["fraud_rate"] for r in fold_rates(spark.createDataFrame(data, "fold int, state string, is_fraud int")).collect()}
+    want = {}
+    for fold in range(3):
+        for state in ("A", "B", None, "only"):
+            rest = [y for f, s, y in data if f != fold and s == state]
+            if rest:
+                want[fold, state] = sum(rest) / len(rest)
+    assert found == pytest.approx(want)
+
+
+def test_every_row_is_scored_or_says_why_not(spark, txn, trained):
+    data, model = trained
+    given = txn.drop("isFraud", "isFlaggedFraud").withColumn("amount", F.when(F.col("txn_id") % 10 > 0, F.col("amount")))
+    got = rows(fraud.score(given, list(FORM_STATES), data.infra, data.rates, model, 0.5, ["txn_id"]))
+    assert len(got) == 3000
+    assert all((g["fraud_probability"] is None) == (g["txn_id"] % 10 == 0) == (g["fraud_flag"] is None) for g in got)
 
 
 def auc_by_pairs(data):

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from helpers import FIVE, FIVE_SCHEMA, FORM_STATES, by, plan, rows
 from pyspark.sql import functions as F
@@ -27,11 +29,8 @@ from ledgerlens.operators.transactions import (
 )
 from ledgerlens.plans.lookup import (
     as_lookup,
-    assign_by_join,
     assign_state,
-    bucket_of,
     lookup_default,
-    short_list,
 )
 
 
@@ -48,17 +47,18 @@ def form_table(spark):
 
 # Worked out by hand: state, ratio plain, ratio plus one, few devices, log amount, log devices, differences.
 GOLDEN = {
-    "C12345": ("UP", 3333.333333, 3125.000000, 1, 2.772589, 6.685861, 50000, 50000),
-    "C67890": ("MP", 25000.000000, 22727.272727, 1, 2.397895, 6.398595, 1000, 250000),
-    "C24680": ("MH", 480.000000, 461.538462, 0, 3.258097, 7.601402, 12000, 12000),
-    "C11111": ("UP", 53333.333333, 50000.000000, 1, 2.772589, 6.685861, 800000, 800000),
-    "C22222": ("KA", 277.777778, 263.157895, 0, 2.944439, 7.090910, 5000, 5000),
+    "P-ada": ("north", 10.0, 9.0, 1, 2.302585, 6.907755, 90, 90),
+    "P-bo": ("south", 0.404040, 0.4, 1, 4.605170, 2.302585, 40, 40),
+    "P-cy": ("east", 104.210526, 99.0, 0, 2.995732, 9.210340, 1980, 1980),
+    "P-di": ("west", 2.25, 1.8, 1, 1.609438, 4.605170, 9, 9),
+    "P-ed": ("delta", 500.0, 250.0, 0, 0.693147, 6.908755, 500, 0),
 }
 
 
 @pytest.mark.parametrize("ratio,column", [("plain", 1), ("plus_one", 2)])
 def test_five_transactions(five, form_table, ratio, column):
-    with_state = five.withColumn("state", bucket_of(F.col("nameOrig"), list(FORM_STATES)))
+    states = F.create_map(*[F.lit(x) for name, want in GOLDEN.items() for x in (name, want[0])])
+    with_state = five.withColumn("state", states[F.col("nameOrig")])
     got = by(txn_features(enrich(with_state, form_table), ratio=ratio), "nameOrig")
     for name, want in GOLDEN.items():
         row = got[name]
@@ -114,18 +114,19 @@ def test_infra(spark):
     assert len(got) == 2
 
 
-def test_state_assignment_is_the_same_by_list_and_by_join(spark):
-    states = spark.createDataFrame([(f"S{i:03d}",) for i in range(97)], "state string")
+def test_state_assignment(spark):
+    names = [f"S{i:03d}" for i in range(97)]
     keys = spark.range(3000).select(F.concat(F.lit("C"), "id").alias("nameOrig")).union(
         spark.createDataFrame([(None,)], "nameOrig string")
     )
-    listed = by(assign_state(keys, "nameOrig", states), "nameOrig")
-    joined = by(assign_by_join(keys, "nameOrig", states), "nameOrig")
-    assert listed == joined and listed[None]["state"] is None
-    assert short_list(states, "state", longest=96) is None and len(short_list(states, "state", longest=97)) == 97
-    # The order in which states arrive does not matter.
-    backwards = [f"S{i:03d}" for i in reversed(range(97))]
-    assert by(assign_state(keys, "nameOrig", backwards), "nameOrig") == listed
+    found = by(assign_state(keys, "nameOrig", spark.createDataFrame([(n,) for n in [*names, names[3], None]], "state string")), "nameOrig")
+    assert found[None]["state"] is None and len(found) == 3001
+    for key in ("C0", "C17", "C2999"):
+        assert found[key]["state"] == names[int(hashlib.md5(key.encode()).hexdigest(), 16) % 97]
+    # The order in which states arrive does not matter, nor how many there are.
+    assert by(assign_state(keys, "nameOrig", names[::-1]), "nameOrig") == found
+    many = by(assign_state(keys, "nameOrig", spark.range(6000).select(F.format_string("S%05d", "id").alias("state"))), "nameOrig")
+    assert many["C5"]["state"] == f"S{int(hashlib.md5(b'C5').hexdigest(), 16) % 6000:05d}"
 
 
 def test_lookup_is_broadcast_only_while_it_is_small(spark, form_table):
@@ -143,9 +144,9 @@ def test_lookup_is_broadcast_only_while_it_is_small(spark, form_table):
 
 
 def test_lookup_default(spark, form_table):
-    df = spark.createDataFrame([("UP",), ("ZZ",)], "state string")
+    df = spark.createDataFrame([("north",), ("ZZ",)], "state string")
     got = by(lookup_default(df, form_table, "state", {"total_pos_devices": 500, "total_gov_amount_lakh": 10.0, "fraud_rate": 0.02}), "state")
-    assert got["UP"]["total_pos_devices"] == 800
+    assert got["north"]["total_pos_devices"] == 999
     assert got["ZZ"] == {"state": "ZZ", "total_pos_devices": 500, "total_gov_amount_lakh": 10.0, "fraud_rate": 0.02}
 
 
