@@ -31,9 +31,9 @@ from ledgerlens.functions.nearest import as_numpy, best, nearest, unit_rows
 from ledgerlens.functions.templates import fill, messages
 from ledgerlens.session import written
 
-# Query matrices up to this size are sent whole to every task.
-MAX_QUERY_BYTES = 64 << 20
-# Beyond it, queries and vectors meet in blocks of about this many rows.
+# Queries of one pass over the vectors; their matrix is sent to every task.
+SLICE_ROWS = 4096
+# Queries and vectors of one hash bucket meet in blocks of about this many rows.
 BLOCK_ROWS = 4096
 # Columns of a retrieval hit.
 HIT_COLUMNS = ["chunk_id", "document", "chunks_text", "issued_on", "regulation_area", "applicable_to"]
@@ -143,30 +143,58 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def vector_problem(embedding: Column, width: int) -> Column:
+    """Why a vector cannot be compared with queries of ``width`` entries; NULL if it can."""
+    whole = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return (
+        F.when(embedding.isNull() | (F.size(embedding) <= 0), "missing")
+        .when(F.size(embedding) != width, "width")
+        .when(~F.coalesce(whole, F.lit(False)), "not finite")
+    )
+
+
+def query_width(queries: DataFrame) -> int:
+    """The width that all queries with a vector have; 0 without any."""
+    widths = queries.filter(F.size("embedding") > 0).select(F.size("embedding").alias("n")).distinct().limit(2).collect()
+    if len(widths) > 1:
+        raise ValueError("the queries' vectors have several widths")
+    return widths[0]["n"] if widths else 0
+
+
+def rejected(queries: DataFrame, vectors: DataFrame, id_col: str = "vec_id") -> DataFrame:
+    """Rows that ``similar`` leaves out, with the reason: (id, side, reason)."""
+    width = query_width(queries)
+    sides = [
+        df.select(F.col(key).cast("string").alias("id"), F.lit(side).alias("side"), vector_problem(F.col("embedding"), width).alias("reason"))
+        for df, key, side in ((queries, "query_id", "query"), (vectors, id_col, "vector"))
+    ]
+    return sides[0].unionByName(sides[1]).filter(F.col("reason").isNotNull())
+
+
 def _inputs(queries: DataFrame, vectors: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """Both sides with known names; rows without a vector cannot match."""
-    q = queries.select("query_id", "embedding").filter(F.size("embedding") > 0)
-    v = vectors.select(F.col(id_col).alias("id"), "embedding").filter(F.size("embedding") > 0)
+    """Both sides with known names, without the rows that ``rejected`` names."""
+    width = query_width(queries)
+    usable = vector_problem(F.col("embedding"), width).isNull()
+    q = queries.select("query_id", "embedding").filter(usable)
+    v = vectors.select(F.col(id_col).alias("id"), "embedding").filter(usable)
     return q, v
 
 
 def similar(
-    queries: DataFrame,
-    vectors: DataFrame,
-    k: int = 3,
-    id_col: str = "vec_id",
-    max_query_bytes: int = MAX_QUERY_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    queries: DataFrame, vectors: DataFrame, k: int = 3, id_col: str = "vec_id", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """The exact ``k`` nearest vectors of each query by cosine: query_id, id, score, rank."""
+    """The exact ``k`` nearest vectors of each query by cosine: query_id, id, score, rank.
+
+    Queries go in slices of bounded size, one pass over the vectors for each;
+    a task gives ``k`` rows per query at most. ``rejected`` lists what takes no
+    part: vectors that are missing, not finite, or of another width.
+    """
     q, v = _inputs(queries, vectors, id_col)
     q = written(q, "queries")
-    size = q.agg(F.sum(F.size("embedding").cast("bigint")) * 8).first()[0] or 0
-    if size <= max_query_bytes:
-        hits = _scan_topk(q, v, k)
-    else:
-        one = F.lit(0).alias("_bucket")
-        hits = _block_topk(q.select("*", one), v.select("*", one), ["_bucket"], k, block_rows)
+    parts = max(1, -(-q.count() // slice_rows))
+    hits = _scan_topk(q.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == 0), v, k)
+    for part in range(1, parts):
+        hits = hits.unionByName(_scan_topk(q.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part), v, k))
     return _ranked(hits, k).withColumnRenamed("id", id_col)
 
 

@@ -23,14 +23,12 @@ def load(
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Deal a scan's rows over all cores, if it comes in fewer pieces than there are.
+    """Deal a scan's rows out by the hash of a unique key: the caller's choice.
 
-    A file with one row group is one task, however heavy the work on its rows.
-    A table of many files is returned as it is, without a shuffle. Dealing by
-    the hash of a unique key is the same after a retry.
+    For a file with one row group, which is one task however heavy the work on
+    its rows. A table of many files needs no such shuffle.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(F.col(key))
 
 
 def save(df: DataFrame, target: str, format: str = "parquet", mode: str = "overwrite", **options: str) -> None:
@@ -63,7 +61,8 @@ def explode_records(df: DataFrame, col: str, schema: T.StructType, keep: list[st
     ``{"dataframe_split": {"columns": [..], "data": [[..], ..]}}``. In the
     split form a column is found by its position in ``columns``, so the order
     does not matter and missing columns are NULL. ``pos`` is the index of the
-    record in its payload. Payloads that cannot be read give no rows.
+    record in its payload. A payload that cannot be read gives one row with
+    ``valid`` false and nothing else; one that lists no records gives none.
     """
     payload_type = T.StructType(
         [
@@ -96,9 +95,10 @@ def explode_records(df: DataFrame, col: str, schema: T.StructType, keep: list[st
     return (
         df.select(*keep, payload.alias("_payload"))
         .select(*keep, F.coalesce(F.col("_payload.dataframe_records"), from_split).alias("_rows"))
-        .select(*keep, F.posexplode_outer("_rows").alias("pos", "_row"))
-        .filter(F.col("pos").isNotNull())
-        .select(*keep, "pos", "_row.*")
+        .withColumn("valid", F.col("_rows").isNotNull())
+        .select(*keep, "valid", F.posexplode_outer("_rows").alias("pos", "_row"))
+        .filter(F.col("pos").isNotNull() | ~F.col("valid"))
+        .select(*keep, "valid", "pos", "_row.*")
     )
 
 

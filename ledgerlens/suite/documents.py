@@ -83,7 +83,7 @@ QUERIES["similar_topk"] = lambda spark, d: rounded(_hits(spark, d))
 ORACLE["similar_topk"] = sql.query("SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits", sql.HITS)
 
 QUERIES["similar_topk_blocks"] = lambda spark, d: rounded(
-    retrieval.similar(roles.centroids(spark, d), roles.vectors(spark, d), max_query_bytes=0, block_rows=256)
+    retrieval.similar(roles.centroids(spark, d), roles.vectors(spark, d), slice_rows=3)
 )
 ORACLE["similar_topk_blocks"] = ORACLE["similar_topk"]
 

@@ -291,6 +291,9 @@ def _json_records(spark, d):
     payloads = events.select(
         F.col("event_id").alias("payload_id"), F.explode(F.array(records, by_position)).alias("payload")
     )
+    # Every tenth event comes with a payload that is cut off.
+    cut = events.filter("event_id % 10 = 0").select(F.col("event_id").alias("payload_id"), F.expr("left('{\"dataframe_records\": [', 12)").alias("payload"))
+    payloads = payloads.unionByName(cut)
     schema = T.StructType(
         [
             T.StructField("event_id", T.LongType()),
@@ -303,11 +306,13 @@ def _json_records(spark, d):
 
 QUERIES["json_records"] = _json_records
 ORACLE["json_records"] = """
-SELECT event_id AS payload_id, 0 AS pos, event_id, value, user_id AS k FROM events
+SELECT event_id AS payload_id, true AS valid, 0 AS pos, event_id, value, user_id AS k FROM events
 UNION ALL
-SELECT event_id, 1, NULL, NULL, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events
+SELECT event_id, true, 1, NULL, NULL, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events
 UNION ALL
-SELECT event_id, 0, event_id, NULL, user_id FROM events"""
+SELECT event_id, true, 0, event_id, NULL, user_id FROM events
+UNION ALL
+SELECT event_id, false, NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 = 0"""
 
 
 def _csv_roundtrip(spark, d):

@@ -35,18 +35,18 @@ def ranked(df, id_col="vec_id"):
 
 
 @pytest.mark.parametrize("k", [1, 3, 10])
-@pytest.mark.parametrize("limit", [retrieval.MAX_QUERY_BYTES, 0])
+@pytest.mark.parametrize("limit", [retrieval.SLICE_ROWS, 2])
 def test_exact_topk_equals_brute_force(data, k, limit):
     vectors, queries, want = data
-    got = ranked(retrieval.similar(queries, vectors, k, max_query_bytes=limit, block_rows=64))
+    got = ranked(retrieval.similar(queries, vectors, k, slice_rows=limit))
     assert got == {q: ids[:k] for q, ids in want.items()}
 
 
 def test_ties_go_to_the_smaller_id(spark):
     vectors = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(50)], "vec_id bigint, embedding array<float>").repartition(5)
     queries = spark.createDataFrame([(1, [2.0, 0.0])], Q)
-    for limit in (retrieval.MAX_QUERY_BYTES, 0):
-        assert ranked(retrieval.similar(queries, vectors, 3, max_query_bytes=limit, block_rows=8)) == {1: [0, 1, 2]}
+    for limit in (retrieval.SLICE_ROWS, 1):
+        assert ranked(retrieval.similar(queries, vectors, 3, slice_rows=limit)) == {1: [0, 1, 2]}
 
 
 def test_fewer_vectors_than_k_and_no_queries(spark):
@@ -78,11 +78,23 @@ def test_copies_of_one_id_are_dealt_into_several_blocks(spark):
     others = [(i, [1.0, i / 1000]) for i in range(1, 600)]
     vectors = spark.createDataFrame(hot + others, "vec_id bigint, embedding array<float>").repartition(6)
     queries = spark.createDataFrame([(1, [1.0, 0.0])], Q)
-    for limit in (retrieval.MAX_QUERY_BYTES, 0):
-        got = retrieval.similar(queries, vectors, 302, max_query_bytes=limit, block_rows=50)
+    for limit in (retrieval.SLICE_ROWS, 1):
+        got = retrieval.similar(queries, vectors, 302, slice_rows=limit)
         assert ranked(got)[1] == [0] * 300 + [1, 2]
 
 
+def test_uneven_and_broken_vectors_are_rejected(spark):
+    rows_ = [(1, [1.0, 0.0, 0.0, 1.0]), (2, [1.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.0, 0.0, 1.0]), (4, [float("nan"), 0.0, 0.0, 1.0])]
+    rows_ += [(5, [None, 0.0, 0.0, 1.0]), (6, [float("inf"), 0.0, 0.0, 1.0]), (7, None), (8, [])]
+    vectors = spark.createDataFrame(rows_, "vec_id bigint, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 1.0])], Q)
+    assert ranked(retrieval.similar(queries, vectors, 5)) == {1: [1]}
+    found = {r["id"]: r["reason"] for r in rows(retrieval.rejected(queries, vectors))}
+    assert found == {"2": "width", "3": "width", "4": "not finite", "5": "not finite", "6": "not finite", "7": "missing", "8": "missing"}
+    with pytest.raises(ValueError, match="several widths"):
+        retrieval.similar(queries.union(spark.createDataFrame([(2, [1.0])], Q)), vectors)
+
+
 def test_lsh_finds_most_of_the_neighbours(spark):
     """Queries close to a stored vector: their own vector must be found, and most of the top ten."""
     v = random_vectors(1500, 16, 3)

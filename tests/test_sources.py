@@ -1,5 +1,5 @@
 import pytest
-from helpers import FIVE, FIVE_SCHEMA, by, rows
+from helpers import FIVE, FIVE_SCHEMA, by, plan, rows
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import types as T
@@ -21,13 +21,14 @@ RECORD = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T
         ('{"dataframe_split": {"columns": ["b", "a"], "data": [[2.5]]}}', [(0, None, 2.5, None)]),
         ('{"dataframe_split": {"columns": ["a"], "data": [["not a number"]]}}', [(0, None, None, None)]),
         ('{"dataframe_records": []}', []),
-        ("not json", []),
-        (None, []),
+        ("not json", None),
+        (None, None),
     ],
 )
 def test_payloads(spark, payload, want):
     got = explode_records(spark.createDataFrame([(7, payload)], "id int, p string"), "p", RECORD, ["id"])
-    assert [tuple(r) for r in got.collect()] == [(7, *w) for w in want]
+    # A payload that cannot be read is a row of its own.
+    assert [tuple(r) for r in got.collect()] == ([(7, False, *[None] * 4)] if want is None else [(7, True, *w) for w in want])
 
 
 def test_csv_round_trip_and_bad_values(spark, tmp_path):
@@ -84,10 +85,9 @@ def test_scratch_is_under_the_configured_folder(spark):
     assert stored.count() == 10 and stored.inputFiles()
 
 
-def test_spread_only_when_there_are_too_few_pieces(spark):
-    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id") is many
+def test_spread_deals_rows_out(spark):
+    one = spark.range(0, 100, 1, 1)
+    assert spread(one, "id").count() == 100 and "hashpartitioning(id" in plan(spread(one, "id"))
 
 
 def test_model_with_metadata(spark, tmp_path):
