@@ -20,6 +20,7 @@ empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -36,14 +37,16 @@ from ledgerlens.llm.common import by_value, crc_mod, slices
 
 by_value(__name__)
 
-MAX_LABELLED = 5000
-MAX_BYTES = 32_000_000
+MAX_LABELLED = 3000
+MAX_BYTES = 24_000_000
 GRAM = 5
 # A gram or word marks toxic text if it is in so many toxic texts, and so many times likelier there.
 MIN_TEXTS = 8
 GRAM_RATIO = 40.0
 WORD_RATIO = 10.0
 BASE_BYTES = 12_000
+# Bytes of ordinary text that the trainer sees, in pieces taken evenly.
+TRAINED_BYTES = 4_000_000
 TOXIC_BYTES = 12_000
 MARKS = (bytes(range(1, 9)), bytes(range(14, 24)))
 CLEAR_GAIN = 5
@@ -78,6 +81,17 @@ def text_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
+def marked_words(text: bytes, marked: np.ndarray) -> set[bytes]:
+    """Words with a marked gram, of a text with a blank before and after each word."""
+    hit = np.isin(grams(text), marked)
+    before = np.concatenate([[0], np.cumsum(hit)])
+    blanks = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+    # Grams that lie between a word's blanks, those included.
+    first, last = np.minimum(blanks[:-1], len(hit)), np.clip(blanks[1:] - GRAM + 2, 0, len(hit))
+    has = before[np.maximum(first, last)] > before[first]
+    return {text[a + 1 : b] for a, b in zip(blanks[:-1][has].tolist(), blanks[1:][has].tolist())}
+
+
 def marking_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Words of toxic texts with a gram that ordinary texts lack, rarest first."""
     have, counts = text_counts(toxic)
@@ -92,7 +106,7 @@ def marking_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     marked = have[(counts >= least) & (ratio >= min(GRAM_RATIO, (len(ordinary) + 1) * least / len(toxic)))]
     found: Counter = Counter()
     for text in toxic:
-        found.update(w for w in set(text.split()) if np.isin(grams(b" " + w + b" "), marked).any())
+        found.update(marked_words(text, marked))
     common: Counter = Counter()
     for text in ordinary:
         common.update(w for w in set(text.split()) if w in found)
@@ -106,6 +120,7 @@ def marking_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
 def trained_content(texts: list[bytes]) -> bytes:
     """What the zstandard trainer picks from texts, or their ends where they are too few for it."""
     parts = [t[i : i + 256] for t in texts for i in range(0, len(t), 256)]
+    parts = parts[:: max(1, 256 * len(parts) // TRAINED_BYTES)]
     try:
         return zstandard.train_dictionary(BASE_BYTES + 4096, parts).as_bytes()[-BASE_BYTES:]
     except zstandard.ZstdError:
@@ -145,11 +160,13 @@ class Gains:
         words = distinct_words(text)
         if not words:
             return [0.0, 0.0, 0.0, 0.0], b""
-        gains = sorted(((self[w], w) for w in words), reverse=True)
-        shares = max(g / (len(w) + 2) for g, w in gains[:8])
-        clear = sum(g >= CLEAR_GAIN for g, _ in gains)
-        top = [g for g, _ in gains[:3]]
-        return [float(top[0]), sum(top) / len(top), shares, math.log1p(clear) - 0.3 * math.log1p(len(words))], gains[0][1]
+        gains = [self[w] for w in words]
+        least = heapq.nlargest(8, gains)[-1]
+        best = sorted(((g, w) for g, w in zip(gains, words) if g >= least), reverse=True)[:8]
+        shares = max(g / (len(w) + 2) for g, w in best)
+        clear = sum(g >= CLEAR_GAIN for g in gains)
+        top = [g for g, _ in best[:3]]
+        return [float(top[0]), sum(top) / len(top), shares, math.log1p(clear) - 0.3 * math.log1p(len(words))], best[0][1]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, float]:
