@@ -60,8 +60,10 @@ def stratified_side(
     # One row per class; stored so that its size is known to the planner.
     marks = written(marks, "strata")
     ranked = Window.partitionBy(label, "_bucket").orderBy("_hash", key)
+    # Missing labels are a class of their own.
+    found = marks.select(F.col(label).alias("_class"), F.col("_bucket").alias("_b"), "_rest")
     cuts = (
-        slim.join(marks, [label, "_bucket"])
+        slim.join(found, F.col(label).eqNullSafe(F.col("_class")) & (F.col("_bucket") == F.col("_b")))
         .withColumn("_rank", F.row_number().over(ranked))
         .filter(F.col("_rank") == F.col("_rest"))
         .select(F.col(label).alias("_label"), F.struct("_hash", key).alias("_cut"))

@@ -20,9 +20,6 @@ from ledgerlens.operators.metrics import class_report, ranking_areas
 from ledgerlens.operators.sampling import with_fold
 from ledgerlens.operators.transactions import NUMERIC_FEATURES
 
-# Bins of a score in [0, 1] when an area under the curve is computed per group.
-SCORE_BINS = 1000
-
 
 def scaled_features(numeric: list[str], categorical: list[str] = (), centre: bool = False) -> list:
     """Index, assemble and scale. Unknown categories are kept, rows with missing numbers skipped."""
@@ -155,13 +152,17 @@ def logistic_grid(numeric: list[str], train: DataFrame, label: str, key: str, st
     return cross_validate(pipeline, grid, train, evaluator, key, folds), grid
 
 
-def grouped_auc(scored: DataFrame, group: str, label: str, score: str, bins: int = SCORE_BINS) -> DataFrame:
-    """AUC-ROC per group from score bins; rows of the same bin count as ties."""
-    binned = scored.groupBy(group, F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).alias("_bin")).agg(
+def grouped_auc(scored: DataFrame, group: str, label: str, score: str) -> DataFrame:
+    """Exact AUC-ROC per group: the share of pairs of both classes in the right order, ties counting half.
+
+    Rows of one score are summed before they are ordered, so a group's window
+    goes over its distinct scores.
+    """
+    by_score = scored.groupBy(group, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    below = Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    won = binned.withColumn("_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    below = Window.partitionBy(group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    won = by_score.withColumn("_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     return won.groupBy(group).agg(
         F.try_divide(
             F.sum(F.col("pos") * (F.col("_below") + F.col("neg") / 2)),

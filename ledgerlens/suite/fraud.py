@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 from ledgerlens.operators import quality
 from ledgerlens.operators.infrastructure import infra_by_state, normalise_infra
-from ledgerlens.operators.rates import attach_rate, fit_rate
-from ledgerlens.operators.sampling import balanced_train, split, stratified_side
+from ledgerlens.operators.rates import attach_rate, fit_rate, fold_rates
+from ledgerlens.operators.sampling import balanced_train, split, stratified_side, with_fold
 from ledgerlens.operators.transactions import rename_labels, type_codes
 from ledgerlens.plans.lookup import as_lookup, lookup_default
 from ledgerlens.session import scratch_path, written
@@ -258,6 +258,17 @@ ORACLE["target_encode"] = sql.query(
     *_TO_STATE, _SPLIT,
 )
 
+QUERIES["fold_rates"] = lambda spark, d: rounded(
+    fold_rates(with_fold(txn_with_state(spark, d, labels=True).select("txn_id", "state", "is_fraud"), "txn_id", 3, seed=7))
+)
+ORACLE["fold_rates"] = sql.query(
+    f"""SELECT d.fold, s.state, round(avg(s.is_fraud), 6) AS fraud_rate
+    FROM (SELECT DISTINCT CAST({sql.word("txn_id", 7)} % 3 AS INTEGER) AS fold FROM txn_state) d
+    JOIN (SELECT state, is_fraud, CAST({sql.word("txn_id", 7)} % 3 AS INTEGER) AS fold FROM txn_state) s ON s.fold <> d.fold
+    GROUP BY ALL""",
+    *_TO_STATE,
+)
+
 QUERIES["describe_rate"] = lambda spark, d: rounded(
     quality.describe(_encoded(spark, d).filter("is_train"), "fraud_rate"), 8
 )

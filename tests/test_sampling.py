@@ -36,6 +36,13 @@ def test_stratified_split_is_exact_per_class(labelled):
     assert test.count() == 10000 - sum(got.values())
 
 
+def test_missing_labels_are_a_class_of_their_own(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 5 > 0, (F.col("id") % 2).cast("int")).alias("is_fraud"))
+    train, test = stratified_split(df, "id", "is_fraud")
+    assert train.filter("is_fraud IS NULL").count() == 16 and test.filter("is_fraud IS NULL").count() == 4
+    assert train.count() + test.count() == 100
+
+
 @pytest.mark.parametrize("share", [0.0, 0.5, 1.0])
 def test_stratified_shares(spark, share):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(10)] + [(99, "c")], "id int, y string")
