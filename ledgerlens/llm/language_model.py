@@ -56,8 +56,8 @@ PER_FILE = 1_000_000
 # Steps of a quantised probability for a factor of 2.
 STEPS = 12.0
 # Tokens that a task gathers before it sums them, and bytes of text scored at a time.
-GATHER = 4_000_000
-SCORE_BYTES = 6_000_000
+GATHER = 2_000_000
+SCORE_BYTES = 2_000_000
 
 
 def shared_write(folder: str, name: str, parts: list[np.ndarray]) -> None:
