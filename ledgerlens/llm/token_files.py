@@ -18,11 +18,13 @@ text. An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ledgerlens.llm.common import by_value, pieces, stored
+from ledgerlens.llm.common import by_value, pieces, slices, stored
 from ledgerlens.llm.language_model import shared_read, shared_write
 from ledgerlens.session import scratch_path
 
@@ -41,8 +43,8 @@ END_ID = 0
 # Longest code word, ids between checkpoints, ids of a block, and bytes of text in one range of documents.
 LIMIT = 18
 EVERY = 1024
-BLOCK_IDS = 2_000_000
-RANGE_BYTES = 32_000_000
+BLOCK_IDS = 1_000_000
+RANGE_BYTES = 64_000_000
 # Pieces of text whose ids a task remembers.
 REMEMBERED = 400_000
 MAGIC = 0x31464854
@@ -68,10 +70,16 @@ class Encoder:
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of its own would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.lengths[list(vocabulary.values())] = [len(name) for name in vocabulary]
         self.pieces_known = "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
 
     def whole(self, text: str) -> bytes:
@@ -82,23 +90,42 @@ class Encoder:
             return False
         return self.pieces_known and not ODD_SPACE.search(text) and not any(a in text for a in self.added)
 
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.regular(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
+    def learn(self, missing: list[str]) -> None:
+        """Remember the ids of pieces, each with the blank before it, many in one text.
+
+        A byte-level token stands for as many bytes as its name has letters, and
+        no token crosses a blank, so running lengths tell where a piece ends.
+        """
+        groups = [missing[i : i + 50] for i in range(0, len(missing), 50)]
+        joined = [" " + " ".join(g) for g in groups]
+        unit = np.dtype(self.kind).itemsize
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
+            ends = np.cumsum([len(w.encode()) + 1 for w in group])
+            cuts = (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * unit
+            body, start = ids.tobytes(), 0
+            for word, stop in zip(group, cuts.tolist()):
+                self.known[word] = body[start:stop]
+                start = stop
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cut = [t.split(" ") if t and self.regular(t) else None for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         known = self.known
-        try:
-            body = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            missing = [w for w in dict.fromkeys(rest) if w not in known]
-            for w, e in zip(missing, self.tokenizer.encode_batch_fast([" " + w for w in missing], add_special_tokens=False)):
-                known[w] = np.array(e.ids, self.kind).tobytes()
-            body = b"".join(map(known.__getitem__, rest))
-        return (self.whole(first) if first else b"") + body
+        self.learn([w for w in set(chain.from_iterable(c[1:] for c in cut if c)) if w not in known])
+        out = []
+        for text, pieces_ in zip(texts, cut):
+            if pieces_ is None:
+                out.append(self.whole(text) if text else b"")
+                continue
+            first = pieces_[0]
+            if first not in self.heads:
+                if len(self.heads) > REMEMBERED // 8:
+                    self.heads.clear()
+                self.heads[first] = self.whole(first) if first else b""
+            out.append(self.heads[first] + b"".join(map(known.__getitem__, pieces_[1:])))
+        return out
 
 
 BLOCKS = "part long, seq long, doc_ids array<long>, sizes array<long>, ids binary"
@@ -118,9 +145,14 @@ def tokenised(definition: str, per_block: int) -> Callable[[Iterator[pa.RecordBa
         doc_ids: list = []
         sizes: list[int] = []
         held: list[bytes] = []
+
+        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+            for some, texts in slices(batch, "text"):
+                found = encode([t.decode("utf-8", "replace") for t in texts])
+                yield from zip(some.column("doc_id").to_pylist(), (ids + end for ids in found))
+
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in encoded(batch):
                 doc_ids.append(doc_id)
                 sizes.append(len(ids) // unit)
                 held.append(ids)
