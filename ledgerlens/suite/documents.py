@@ -211,6 +211,23 @@ ORACLE["translation_prompts"] = sql.query(
     sql.REPLIES, _TRANSLATED,
 )
 
+
+
+def _final_answers(spark, d):
+    """Answers in the language asked for; the question stands in for an outside translator's reply."""
+    key = F.concat_ws("-", "conv_id", "turn").alias("query_id")
+    given = _hindi_answers(spark, d).select(key, "hindi_answer", "target_language")
+    replies = roles.generated_answers(spark, d).select(key, F.col("question").alias("translated_answer"))
+    return retrieval.final_answers(given, replies)
+
+
+QUERIES["final_answers"] = _final_answers
+ORACLE["final_answers"] = sql.query(
+    """SELECT conv_id || '-' || turn AS query_id, reply AS hindi_answer, target_language,
+    CASE WHEN lower(target_language) = 'hindi' THEN reply ELSE question END AS translated_answer FROM asked""",
+    sql.REPLIES, _TRANSLATED,
+)
+
 # Evaluation.
 
 

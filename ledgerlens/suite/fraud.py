@@ -13,8 +13,9 @@ from ledgerlens.operators.transactions import rename_labels, type_codes
 from ledgerlens.plans.lookup import as_lookup, lookup_default
 from ledgerlens.session import scratch_path, written
 from ledgerlens.sources import roles
+from ledgerlens.sources.models import log_run, read_runs
 from ledgerlens.sources.roles import load
-from ledgerlens.sources.tables import explode_records, load_csv, save_csv, spread
+from ledgerlens.sources.tables import explode_records, load_csv, save, save_csv, spread
 from ledgerlens.suite import sql
 from ledgerlens.suite.common import (
     Query,
@@ -77,17 +78,21 @@ ORACLE["enrich_left"] = sql.query(
     *_TO_STATE, sql.INFRA, sql.ENRICHED,
 )
 
-QUERIES["state_lookup"] = lambda spark, d: rounded(
-    lookup_default(
-        txn_with_state(spark, d).select("txn_id", "state"),
-        infra_table(spark, d),
-        "state",
-        {"total_pos_devices": 500, "total_gov_amount_lakh": 10.0},
-    )
-)
+def _state_lookup(spark, d):
+    """The three features of an entered state; states without a known rate get the default."""
+    labelled = txn_with_state(spark, d, labels=True).select("txn_id", "state", "is_fraud")
+    rates = as_lookup(fit_rate(labelled).filter("fraud_rate > 0"), "rates")
+    infra = {"total_pos_devices": 500, "total_gov_amount_lakh": 10.0}
+    found = lookup_default(labelled.drop("is_fraud"), infra_table(spark, d), "state", infra)
+    return rounded(lookup_default(found, rates, "state", {"fraud_rate": 0.02}))
+
+
+QUERIES["state_lookup"] = _state_lookup
 ORACLE["state_lookup"] = sql.query(
-    """SELECT txn_id, state, coalesce(total_pos_devices, 500) AS total_pos_devices,
-    round(coalesce(total_gov_amount_lakh, 10), 6) AS total_gov_amount_lakh FROM enriched""",
+    """SELECT txn_id, e.state, coalesce(total_pos_devices, 500) AS total_pos_devices,
+    round(coalesce(total_gov_amount_lakh, 10), 6) AS total_gov_amount_lakh, round(coalesce(fraud_rate, 0.02::DOUBLE), 6) AS fraud_rate
+    FROM enriched e LEFT JOIN (SELECT state, avg(is_fraud) AS fraud_rate FROM txn_state GROUP BY 1 HAVING avg(is_fraud) > 0) r
+      ON r.state = e.state""",
     *_TO_STATE, sql.INFRA, sql.ENRICHED,
 )
 
@@ -326,6 +331,31 @@ UNION ALL
 SELECT event_id, false, NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 = 0"""
 
 
+def _table_roundtrip(spark, d):
+    """A table that is replaced by another schema and read back."""
+    rows = roles.txn(spark, d, labels=False).select("txn_id", *RAW)
+    path = scratch_path(spark, "table")
+    save(rows.select("txn_id"), path)
+    save(rows, path)
+    return spark.read.parquet(path)
+
+
+def _run_log(spark, d):
+    """Two runs logged one after the other."""
+    path = scratch_path(spark, "runs")
+    orders = load(spark, "orders", d).agg(F.count("*").alias("n"), F.max("o_totalprice").alias("top")).first()
+    log_run(spark, path, "first", {"trees": 100, "depth": 10}, {"rows": orders["n"]})
+    log_run(spark, path, "second", metrics={"largest": round(orders["top"], 2)})
+    return read_runs(spark, path)
+
+
+QUERIES["run_log"] = _run_log
+ORACLE["run_log"] = """SELECT 'first' AS run_id, 'param' AS kind, 'trees' AS name, '100' AS value
+UNION ALL SELECT 'first', 'param', 'depth', '10'
+UNION ALL SELECT 'first', 'metric', 'rows', CAST(CAST(count(*) AS DOUBLE) AS VARCHAR) FROM orders
+UNION ALL SELECT 'second', 'metric', 'largest', CAST(round(max(o_totalprice), 2) AS VARCHAR) FROM orders"""
+
+
 def _csv_roundtrip(spark, d):
     rows = roles.txn(spark, d, labels=False).select("txn_id", *RAW)
     path = scratch_path(spark, "csv")
@@ -335,3 +365,6 @@ def _csv_roundtrip(spark, d):
 
 QUERIES["csv_roundtrip"] = _csv_roundtrip
 ORACLE["csv_roundtrip"] = sql.query(f"SELECT txn_id, {', '.join(RAW)} FROM txn", sql.TXN)
+
+QUERIES["table_roundtrip"] = _table_roundtrip
+ORACLE["table_roundtrip"] = ORACLE["csv_roundtrip"]
