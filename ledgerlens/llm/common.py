@@ -39,6 +39,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Keys that are sent to all tasks, at most: 32 MB of two numbers each.
+MOST_KEYS = 2_000_000
+
+
+def narrowed(df: DataFrame, keys: DataFrame, on: list[str], most: int = MOST_KEYS) -> DataFrame:
+    """Rows of ``df`` joined to a stored table of distinct keys.
+
+    Few keys are broadcast, so that the wide side isn't shuffled; their number
+    is counted first, and beyond the bound both sides are shuffled.
+    """
+    return df.join(F.broadcast(keys) if keys.count() <= most else keys, on)
+
+
 def pieces(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))
 

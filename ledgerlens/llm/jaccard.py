@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ledgerlens.llm.common import bucket, by_value, hashed_words, mix64, rolling, slices, stored
+from ledgerlens.llm.common import bucket, by_value, hashed_words, mix64, narrowed, rolling, slices, stored
 from ledgerlens.llm.components import components
 
 by_value(__name__)
@@ -252,10 +252,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     for o in range(1, ORDERS + 1):
         shared = shared & F.arrays_overlap(f"_o{o}", f"_p{o}")
     kept = stored(pairs.join(a, "u").join(b, "v").filter(shared).select("u", "v"), "jaccard-kept")
-    full = kept.join(sets.select(col("node").alias("u"), col("tokens").alias("ta")), "u").join(
-        sets.select(col("node").alias("v"), col("tokens").alias("tb")), "v"
-    )
-    return full.select("u", "v", "ta", "tb").mapInArrow(linked(percent), "u long, v long, same boolean")
+    return compare_all(kept, sets, percent)
 
 
 def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -289,13 +286,16 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     )
     members = stored(ranged.join(groups, ["token", "band"]), "jaccard-members")
 
-    # One text of each node that has a neighbour; equal texts have equal sets, so the text's hash finds it.
-    texts = nodes.groupBy("node").agg(F.min("tid").alias("tid"))
-    wanted = members.select("node").distinct().join(texts, "node")
-    # Partitioned by tid already, so that dropping repeated rows moves no text again.
-    found = wanted.join(given.select("tid", "text"), "tid").dropDuplicates(["tid"])
+    # The text of one document of each node that has a neighbour.
+    number = F.coalesce("doc_id", F.lit(-(2**63))).alias("_doc")
+    texts = nodes.select("node", "tid", number).groupBy("node").agg(F.min("_doc").alias("_doc"), F.min_by("tid", "_doc").alias("tid"))
+    wanted = stored(members.select("node").distinct().join(texts, "node"), "jaccard-wanted")
+    found = narrowed(given.select(number, "tid", "text"), wanted, ["_doc", "tid"]).select("node", "text")
+    if rows.select("doc_id", "tid").distinct().count() < rows.count():
+        # Repeated rows: one of them is enough.
+        found = found.dropDuplicates(["node"])
     sets = stored(
-        found.select("node", "text").mapInArrow(
+        found.mapInArrow(
             full_sets(levels, k, percent),
             "node long, n long, tokens binary, sketch binary, " + ", ".join(f"other{o} array<long>" for o in range(1, ORDERS + 1)),
         ),
@@ -354,8 +354,12 @@ def with_roots(df: DataFrame, roots: DataFrame) -> DataFrame:
 
 def compare_all(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Like ``compare`` for pairs that passed the filters already."""
-    full = pairs.join(sets.select(col("node").alias("u"), col("tokens").alias("ta")), "u").join(
-        sets.select(col("node").alias("v"), col("tokens").alias("tb")), "v"
+    pairs = stored(pairs, "jaccard-pairs")
+    asked = stored(pairs.select(col("u").alias("node")).union(pairs.select("v")).distinct(), "jaccard-asked")
+    # Only the sets that take part are shuffled.
+    some = stored(narrowed(sets.select("node", "tokens"), asked, ["node"]), "jaccard-some")
+    full = pairs.join(some.select(col("node").alias("u"), col("tokens").alias("ta")), "u").join(
+        some.select(col("node").alias("v"), col("tokens").alias("tb")), "v"
     )
     return full.select("u", "v", "ta", "tb").mapInArrow(linked(percent), "u long, v long, same boolean")
 
@@ -369,7 +373,8 @@ def across_blocks(large: DataFrame, sets: DataFrame, roots: DataFrame, percent:
     # A block meets every block of its group once.
     paired = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     paired = paired.withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")}).drop("_other", "size")
-    full = paired.join(sets.drop("tokens"), "node")
+    inside = stored(large.select("node").distinct(), "jaccard-inside")
+    full = paired.join(narrowed(sets.drop("tokens"), inside, ["node"]), "node")
     found = stored(
         full.groupBy("token", "band", "_i", "_j").applyInPandas(close_blocks(percent, most), "u long, v long, more boolean"),
         "jaccard-blocks",
