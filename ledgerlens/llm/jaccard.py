@@ -203,6 +203,23 @@ def linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
+def near(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs whose parity sketches differ by no more than two linked sets can."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            sizes = zip(batch.column("_n").to_pylist(), batch.column("_m").to_pylist())
+            for (n, m), a, b in zip(sizes, batch.column("_sa"), batch.column("_sb")):
+                a, b = np.frombuffer(a.as_buffer(), np.uint8), np.frombuffer(b.as_buffer(), np.uint8)
+                size = min(len(a), len(b))
+                a, b = (np.bitwise_xor.reduce(x.reshape(-1, size)) for x in (a, b))
+                keep.append(int(np.bitwise_count(a ^ b).sum(dtype=np.int64)) <= most_apart(n, m, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def close_blocks(percent: int, most: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Candidates across components among the nodes of two blocks of one group.
 
@@ -244,15 +261,18 @@ def close_blocks(percent: int, most: int) -> Callable[[pd.DataFrame], pd.DataFra
 
 
 def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v, same): whether each candidate pair is linked. Filters by size and by the other orders come first."""
-    a = sets.select(col("node").alias("u"), col("n").alias("_n"), *[col(f"other{o}").alias(f"_o{o}") for o in range(1, ORDERS + 1)])
-    b = sets.select(col("node").alias("v"), col("n").alias("_m"), *[col(f"other{o}").alias(f"_p{o}") for o in range(1, ORDERS + 1)])
+    """(u, v, same): whether each candidate pair is linked; pairs that a filter drops are left out.
+
+    Filters are the sizes, a shared prefix token under each of the other orders, and the parity sketches.
+    """
+    a = sets.select(col("node").alias("u"), col("n").alias("_n"), col("sketch").alias("_sa"), *[col(f"other{o}").alias(f"_o{o}") for o in range(1, ORDERS + 1)])
+    b = sets.select(col("node").alias("v"), col("n").alias("_m"), col("sketch").alias("_sb"), *[col(f"other{o}").alias(f"_p{o}") for o in range(1, ORDERS + 1)])
     sized = F.least("_n", "_m") * 100 >= F.greatest("_n", "_m") * percent
     shared = sized
     for o in range(1, ORDERS + 1):
         shared = shared & F.arrays_overlap(f"_o{o}", f"_p{o}")
-    kept = stored(pairs.join(a, "u").join(b, "v").filter(shared).select("u", "v"), "jaccard-kept")
-    return compare_all(kept, sets, percent)
+    met = pairs.join(a, "u").join(b, "v").filter(shared).select("u", "v", "_n", "_m", "_sa", "_sb")
+    return compare_all(met.mapInArrow(near(percent), "u long, v long"), sets, percent)
 
 
 def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
