@@ -52,8 +52,9 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """The document with the smallest id stays of each component, once; documents without words all stay."""
     members = jaccard.similar_components(docs)
     first = members.filter((col("n_shingles") == 0) | col("doc_id").eqNullSafe(col("component_id")))
-    # An id with several texts in one component keeps the text of the smallest hash.
-    first = first.groupBy("doc_id", F.when(col("n_shingles") > 0, col("component_id")).alias("__c"), F.when(col("n_shingles") == 0, col("tid")).alias("__e"))
+    # An id with several texts in one component keeps the text of the smallest hash. The root tells components apart:
+    # ids are null in some, and an id with unlike texts can be the smallest of several.
+    first = first.groupBy("doc_id", F.when(col("n_shingles") > 0, col("root")).alias("__c"), F.when(col("n_shingles") == 0, col("tid")).alias("__e"))
     stay = first.agg(F.min("tid").alias("tid")).select(*identity(col("doc_id"), col("tid")))
     # Repeated rows are copies as well.
     return keyed(docs).join(stay, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)

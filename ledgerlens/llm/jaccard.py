@@ -360,9 +360,9 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
     named = with_roots(nodes.select("node", "doc_id"), roots)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = stored(with_roots(nodes.select("node").distinct(), roots).join(least, "root").select("node", "component_id"), "jaccard-named")
+    by_node = stored(with_roots(nodes.select("node").distinct(), roots).join(least, "root").select("node", "root", "component_id"), "jaccard-named")
     return rows.join(by_node, "node", "left").select(
-        "doc_id", "tid", col("n").alias("n_shingles"),
+        "doc_id", "tid", col("n").alias("n_shingles"), "root",
         F.when(col("n") > 0, col("component_id")).otherwise(col("doc_id")).alias("component_id"),
     )
 

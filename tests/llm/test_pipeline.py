@@ -49,6 +49,19 @@ def test_one_document_of_each_group_stays(spark, smoke_dir):
     assert listed(kept) == Counter(want)
 
 
+def test_unlike_texts_without_an_id_or_under_one_id_stay(spark, smoke_dir):
+    rng = random.Random(11)
+    texts = [sentence(rng, 40) for _ in range(6)]
+    near = texts[0].split() + ["tail"]
+    # Two unlike texts without an id, a near copy of one and a repeated row; two unlike texts under id 1, one of them again under id 5.
+    pairs = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, " ".join(near)), (1, texts[2]), (1, texts[3]), (5, texts[3]), (None, texts[2])]
+    rows = [(i, t, "en", "s", 0, 1, 0.5, 7, "t", 1) for i, t in pairs]
+    kept = listed(pipeline.one_of_similar(spark, spark.createDataFrame(rows, SCHEMA), smoke_dir))
+    one = {(None, texts[0]), (None, " ".join(near))} & set(kept)
+    assert len(one) == 1
+    assert kept == Counter([*one, (None, texts[1]), (1, texts[2]), (1, texts[3])])
+
+
 def n_shingles(text):
     words = (text or "").encode().lower().split()
     return len({tuple(words[p : p + 3]) for p in range(len(words) - 2)}) if len(words) >= 3 else int(bool(words))
