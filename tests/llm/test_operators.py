@@ -269,6 +269,29 @@ def test_decontamination_recall(spark, empty):
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.op6_contamination(short, bench).collect()) == [(1, 102), (2, 103)]
 
 
+def test_short_items_with_the_most_edits(spark):
+    rng = random.Random(66)
+    items, rows = [], []
+    for i in range(300):
+        n = 16 + i % 5
+        w = [f"{rng.choice('abc')}{rng.randrange(3000)}" for _ in range(n)]
+        items.append((i, " ".join(w)))
+        # Anywhere, spread evenly, and the first and last word among them; floor(n / 5) of each.
+        k = n // 5
+        at = [rng.sample(range(n), k), [(j + 1) * n // (k + 1) for j in range(k)], [0, n - 1, *rng.sample(range(1, n - 1), k - 2)]][i % 3]
+        changed = [f"edit{i}" if p in at else x for p, x in enumerate(w)]
+        rows.append((i, " ".join([sentence(rng, 10), *changed, sentence(rng, 10)])))
+    # A text that is an item without its first and its last word.
+    rows += [(1000 + i, " ".join(items[i][1].split()[1:-1])) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    have = {(r.doc_id, r.item_id): r.distance for r in decontaminate.op6_contamination(docs, bench).collect()}
+    for kind in range(3):
+        assert sum((i, i) in have for i in range(kind, 300, 3)) >= 98
+    assert sum(have.get((1000 + i, i)) == 2 for i in range(50)) >= 49
+    assert all(d <= len(items[i][1].split()) // 5 for (_, i), d in have.items())
+
+
 def test_best_stretch():
     rng = random.Random(8)
     for _ in range(300):
