@@ -10,7 +10,8 @@ Gains of a document give a few numbers, which a logistic curve turns into a
 score; the curve is calibrated on labelled texts that no dictionary was made of.
 
 The model is fitted on a bounded sample of labelled rows (``MAX_LABELLED`` a
-class, those with the smallest hash of their id; ``MAX_BYTES`` of text a class).
+class, those with the smallest hash of their id; ``MAX_BYTES`` of text a class,
+of which a text that no longer fits is left out).
 Scoring reads every whole text and needs no shuffle.
 
 Null and empty texts have no window and get the score of no gain. Repeated rows
@@ -221,15 +222,18 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, most_bytes
     texts = docs.select(col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"])
     sides: list[list[bytes]] = [[], []]
     sizes = [0, 0]
-    ranked = texts.select("toxic", "text", F.xxhash64(F.lit("tox"), "doc_id").alias("_h"), F.octet_length("text").alias("_b"))
-    kept = [(r["toxic"], r["_h"], r["_b"] or 0) for r in ranked.select("toxic", "_h", "_b").collect()]
-    last = [2**63, 2**63]
-    for toxic, key, size in sorted(kept, key=lambda r: r[1]):
-        sizes[toxic] += size
-        if sizes[toxic] > most_bytes:
-            last[toxic] = min(last[toxic], key)
-    limit = F.when(col("toxic") == 1, F.lit(min(last[1], 2**63 - 1))).otherwise(F.lit(min(last[0], 2**63 - 1)))
-    for row in ranked.filter(col("_h") < limit).select("toxic", "text").toLocalIterator():
+    ranked = texts.select("toxic", "text", F.xxhash64(F.lit("tox"), "doc_id").alias("_h"), F.octet_length("text").alias("_b"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_t"))
+    # A text that does not fit is left out alone; those after it in hash order still count.
+    skipped = []
+    for toxic, key, size, text in sorted((r["toxic"], r["_h"], r["_b"] or 0, r["_t"]) for r in ranked.select("toxic", "_h", "_b", "_t").collect()):
+        if sizes[toxic] + size > most_bytes:
+            skipped.append((key, text))
+        else:
+            sizes[toxic] += size
+    if skipped:
+        left_out = docs.sparkSession.createDataFrame(skipped, "_h long, _t long")
+        ranked = ranked.join(F.broadcast(left_out), ["_h", "_t"], "left_anti")
+    for row in ranked.select("toxic", "text").toLocalIterator():
         sides[row["toxic"]].append((row["text"] or "").encode())
     return fit_texts(sides[1], sides[0], counts[1], counts[0])
 

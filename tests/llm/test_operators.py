@@ -231,6 +231,27 @@ def test_toxicity(spark, odd, empty):
     assert len(none) == len(odd_texts()) and {(r.score, r.predicted) for r in none} == {(0.0, 0)}
 
 
+def test_a_long_labelled_text_leaves_the_others_in(spark):
+    rng = random.Random(55)
+    rows = []
+    for i in range(300):
+        text = sentence(rng, 40) + (" zorgling vextumous krabnoid" if i % 3 == 0 else "")
+        rows.append((i, text, int(i % 3 == 0)))
+    frame = spark.createDataFrame([(i,) for i, _, _ in rows], "doc_id long")
+    order = {r.doc_id: r.h for r in frame.selectExpr("doc_id", "xxhash64('tox', doc_id) h").collect()}
+    known = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    # The row that comes first in each class is longer than the bound.
+    first = {min((r for r in known if r[2] == t), key=lambda r: order[r[0]])[0] for t in (0, 1)}
+    most = 60_000
+    docs = spark.createDataFrame([(i, t + " filler" * 20_000 if i in first else t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, most_bytes=most)
+    assert model is not None and b"zorgling" in model.toxic and b"filler" not in model.toxic
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    held = [(scores[i] >= toxicity.THRESHOLD) == (y == 1) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(held) >= 0.97 * len(held)
+
+
 # 6
 
 
