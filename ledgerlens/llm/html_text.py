@@ -7,9 +7,12 @@ deleted. Elements whose tag, role, class or id name a menu, header, footer,
 sidebar, notice, advert, form, script or comment list are left out on any page.
 
 Where a page marks its article (``article``, ``main`` or role ``main``), the
-article's own blocks are its text however often they recur: copies of an
-article on one host are not a template. Elsewhere the body's blocks count,
-less the template.
+article's own blocks are its text, less containers (``div``, lists, tables) that
+recur there with many different texts of the host. Copies of an article have
+one text, and near copies share more than half of it, so neither are a template;
+nor is a paragraph or heading, which articles may quote. Elsewhere the body's
+blocks count, less the template, and so they do beside a marked element that
+holds only a small part of the text (a teaser or a comment).
 
 Pages are parsed once, each on its own, into a stored table. Hash counts are
 summed per task before they are shuffled, so a hot host or subtree sends one
@@ -40,6 +43,12 @@ by_value(__name__)
 # A subtree is template from so many pages of its host on, if it is on this share of them.
 MIN_PAGES = 5
 MIN_SHARE = 0.3
+# On so many pages it is one whatever their share.
+MANY_PAGES = 100
+# A marked element with less than this share of the text isn't all of the article.
+MAIN_SHARE = 0.2
+# Template blocks hold this share of an article at most; where more recurs it is a near copy.
+INNER_SHARE = 0.5
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +58,7 @@ INLINE = frozenset(
     "span strike strong sub sup time tt u var wbr".split()
 )
 ROOTS = frozenset("html body article main".split())
+CONTAINERS = frozenset("center details div dl ol section table ul".split())
 BOILERPLATE = frozenset(
     "head nav header footer aside form menu dialog button select option fieldset object canvas svg math audio video "
     "map applet".split()
@@ -106,16 +116,18 @@ def left_out(tag: str, attrs: dict[str, str]) -> bool:
 
 
 class Page:
-    """Blocks of text of one page, and the subtrees outside its article.
+    """Blocks of text of one page, and the subtrees outside and inside its article.
 
-    ``blocks``: (text, whether in the article, hashes of the subtrees around it);
-    ``subtrees``: hashes of all block elements outside the article.
+    ``blocks``: (text, whether in the article, hashes of the subtrees around it,
+    on its side of the article's border); ``subtrees``: hashes of all block
+    elements outside the article; ``inner``: of the containers inside.
     """
 
     def __init__(self, html: str):
         self.html = html
         self.blocks: list[tuple[str, bool, list[int]]] = []
         self.subtrees: list[int] = []
+        self.inner: list[int] = []
         # Open elements: [tag, start, left out, in article, number of the first block inside].
         self.open: list[list] = []
         self.text: list[str] = []
@@ -203,26 +215,28 @@ class Page:
             if not out:
                 self.flush()
             # A root is the page, not a part of it.
-            if not inside and tag not in ROOTS:
-                mark = xxhash.xxh3_64_intdigest(self.html[start:at].encode("utf-8", "surrogatepass")) - 2**63
-                self.subtrees.append(mark)
+            if tag not in ROOTS and (not inside or tag in CONTAINERS and not out and len(self.blocks) > first):
+                mark = xxhash.xxh3_64_intdigest(self.html[start:at].encode("utf-8", "surrogatepass"), seed=int(inside)) - 2**63
+                (self.inner if inside else self.subtrees).append(mark)
                 for block in self.blocks[first:]:
-                    block[2].append(mark)
+                    if block[1] == inside:
+                        block[2].append(mark)
         self.open.pop()
 
 
 PARSED = (
     "uid long, page_id long, url string, host string, main boolean, text string, "
-    "blocks array<struct<text:string,marks:array<long>>>, subtrees array<long>"
+    "blocks array<struct<text:string,inside:boolean,marks:array<long>>>, subtrees array<long>, inner array<long>, digest long"
 )
 
 
 def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per page: its article's text, or else its blocks with the subtrees around them."""
+    """One row per page: its article's text, or its blocks with the subtrees around them where templates can change it."""
     marks = pa.list_(pa.int64())
     schema = pa.schema([
         ("uid", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("main", pa.bool_()),
-        ("text", pa.string()), ("blocks", pa.list_(pa.struct([("text", pa.string()), ("marks", marks)]))), ("subtrees", marks),
+        ("text", pa.string()), ("blocks", pa.list_(pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("marks", marks)]))),
+        ("subtrees", marks), ("inner", marks), ("digest", pa.int64()),
     ])
     for batch in batches:
         for part, texts in slices(batch, "html"):
@@ -230,13 +244,15 @@ def parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = zip(part.column("page_id").to_pylist(), part.column("url").to_pylist(), texts)
             for page_id, url, raw in keys:
                 page = Page(raw.decode("utf-8", "replace"))
-                main = any(inside for _, inside, _ in page.blocks)
+                own = sum(len(t) for t, inside, _ in page.blocks if inside)
+                main = own > 0 and not page.inner and own >= MAIN_SHARE * sum(len(t) for t, _, _ in page.blocks)
                 uid = xxhash.xxh3_64_intdigest(f"{page_id}\n{url}\n".encode() + raw) - 2**63
                 text = "\n".join(t for t, inside, _ in page.blocks if inside)
-                rest = [] if main else [{"text": t, "marks": m} for t, _, m in page.blocks]
+                rest = [] if main else [{"text": t, "inside": i, "marks": m} for t, i, m in page.blocks]
+                digest = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
                 rows.append({
-                    "uid": uid, "page_id": page_id, "url": url, "host": host_of(url), "main": main, "text": text,
-                    "blocks": rest, "subtrees": sorted(set(page.subtrees)),
+                    "uid": uid, "page_id": page_id, "url": url, "host": host_of(url), "main": main, "text": text if main else "",
+                    "blocks": rest, "subtrees": sorted(set(page.subtrees)), "inner": sorted(set(page.inner)), "digest": digest,
                 })
             yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -269,9 +285,34 @@ def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: flo
     # One row per (host, mark) that is on enough pages, and one row per host.
     summed = stored(summed.filter(col("mark").isNull() | (col("pages") >= min_pages)), "html-counts")
     hosts = summed.filter(col("mark").isNull()).select("host", col("pages").alias("_all"))
-    return summed.filter(col("mark").isNotNull()).join(hosts, "host").filter(
-        col("pages") >= F.greatest(F.lit(float(min_pages)), min_share * col("_all"))
-    ).select("host", "mark")
+    outer = summed.filter(col("mark").isNotNull())
+    # Inside articles different texts are counted, not pages: copies are one.
+    articles = parsed.select("host", "digest").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_all"))
+    inner = parsed.select("host", "digest", F.explode("inner").alias("mark")).distinct().groupBy("host", "mark").agg(F.count(F.lit(1)).alias("pages"))
+    enough = (col("pages") >= min_pages) & ((col("pages") >= min_share * col("_all")) | (col("pages") >= MANY_PAGES))
+    found = [side.join(total, "host").filter(enough).select("host", "mark") for side, total in ((outer, hosts), (inner, articles))]
+    return found[0].unionByName(found[1])
+
+
+def chosen_text(blocks: list[dict], deleted: set[int]) -> str:
+    """The text of a page, less the subtrees to be deleted."""
+    keep = [not deleted.intersection(b["marks"]) for b in blocks]
+    size = [len(b["text"]) for b in blocks]
+    own = sum(n for n, b in zip(size, blocks) if b["inside"])
+    left = sum(n for n, b, k in zip(size, blocks, keep) if b["inside"] and k)
+    if left < (1 - INNER_SHARE) * own:
+        keep = [k or b["inside"] for k, b in zip(keep, blocks)]
+        left = own
+    total = sum(n for n, k in zip(size, keep) if k)
+    alone = left > 0 and left >= MAIN_SHARE * total
+    return "\n".join(b["text"] for b, k in zip(blocks, keep) if k and (b["inside"] or not alone))
+
+
+def choose_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        deleted = batch.column("_deleted").to_pylist()
+        texts = [chosen_text(b, set(d or ())) for b, d in zip(batch.column("blocks").to_pylist(), deleted)]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -280,16 +321,14 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     parsed = stored(given.mapInArrow(parse_pages, PARSED), "html-parsed")
     templates = stored(site_templates(parsed, min_pages, min_share), "html-templates")
     whole = parsed.filter("main").select("page_id", "url", "text")
-    # Pages without a marked article: their blocks, less those inside a template subtree.
+    # Pages that templates can change: their blocks, less those inside a template subtree.
     open_pages = parsed.filter(~col("main"))
     marks = open_pages.select("uid", "host", F.explode("blocks").alias("_b")).select(
         "uid", "host", F.explode("_b.marks").alias("mark")
     ).distinct()
     deleted = marks.join(templates, ["host", "mark"]).groupBy("uid").agg(F.collect_set("mark").alias("_deleted"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["marks"], F.coalesce(col("_deleted"), F.array().cast("array<long>"))))
-    bare = open_pages.join(deleted, "uid", "left").select(
-        "page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text")
-    )
+    bare = open_pages.join(deleted, "uid", "left").select("page_id", "url", "blocks", "_deleted")
+    bare = bare.mapInArrow(choose_text, "page_id long, url string, text string")
     return whole.unionByName(bare)
 
 

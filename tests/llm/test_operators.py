@@ -146,6 +146,26 @@ def test_html(spark):
     assert html_text.op2_html_text(df.limit(0)).count() == 0
 
 
+def test_html_templates_inside_articles(spark):
+    rng = random.Random(22)
+    box = "<div class='x7'><p>Read all our stories</p><ul><li>one</li><li>two</li></ul></div>"
+    story = [sentence(rng, 30) for _ in range(8)]
+    rows = [(i, "http://a.example/", f"<main><h1>Daily</h1><p>{t}</p>{box}</main>") for i, t in enumerate(story)]
+    # Copies and near copies of an article with its own box, on a host of their own.
+    rows += [(20 + i, "http://b.example/", f"<article><div><p>{story[0]}</p></div></article>") for i in range(8)]
+    rows += [(40 + i, "http://c.example/", f"<article><p>Page {i}</p><div><p>{story[0]}</p></div></article>") for i in range(8)]
+    # The story is outside; a teaser is marked.
+    rows += [(60, "http://d.example/", f"<div><p>{story[1]}</p></div><article><p>Next</p></article>")]
+    # On a hundred of many pages.
+    rows += [(100 + i, "http://e.example/", f"<article><p>Own text {i}</p>{box if i % 4 == 0 else ''}<p>{story[i % 8]}</p></article>") for i in range(440)]
+    found = {r.page_id: r.text for r in html_text.op2_html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    flat = [" ".join(t.split()) for t in story]
+    assert [found[i] for i in range(8)] == [f"Daily\n{t}" for t in flat]
+    assert all(found[20 + i] == flat[0] and found[40 + i] == f"Page {i}\n{flat[0]}" for i in range(8))
+    assert found[60] == f"{flat[1]}\nNext"
+    assert all(found[100 + i] == f"Own text {i}\n{flat[i % 8]}" for i in range(440))
+
+
 # 3
 
 
