@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, licenses, mixing, repeats, token_files, topk, toxicity
+from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, licenses, mixing, repeats, sentence_pieces, token_files, topk, toxicity
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,8 @@ QUERIES["op8_lm_scores"] = lambda spark, d: language_model.op8_lm_scores(table(s
 
 QUERIES["op3_token_files"] = lambda spark, d: token_files.op3_token_files(table(spark, "documents", d))
 
+QUERIES["op11_sentence_pieces"] = lambda spark, d: sentence_pieces.op11_pieces(table(spark, "documents", d))
+
 QUERIES["op4_licenses"] = lambda spark, d: licenses.op4_licenses(table(spark, "documents", d))
 
 
