@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, licenses, mixing, repeats, sentence_pieces, token_files, topk, toxicity
+from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, licenses, merkle, mixing, repeats, sentence_pieces, token_files, topk, toxicity
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,38 @@ QUERIES["op3_token_files"] = lambda spark, d: token_files.op3_token_files(table(
 
 QUERIES["op11_sentence_pieces"] = lambda spark, d: sentence_pieces.op11_pieces(table(spark, "documents", d))
 
+QUERIES["op13_merkle"] = lambda spark, d: merkle.op13_merkle(table(spark, "documents", d))
+# crc32 bit by bit: a byte is mixed in, then eight steps follow, marked by -1.
+ORACLE["op13_merkle"] = """WITH RECURSIVE c AS (SELECT *, CAST(doc_id AS VARCHAR) AS name FROM documents),
+d AS (SELECT *, xor(4294967295, list_reduce(
+        flatten(list_transform(string_split(name, ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a // 2, 3988292384 * (a % 2)) END, CAST(4294967295 AS BIGINT))) AS crc FROM c),
+v AS (SELECT doc_id, lang, concat(
+        CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(name) || ':' || name END,
+        CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+        CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END) AS head,
+    CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS size,
+    CASE WHEN n_chars IS NULL OR doc_id IS NULL OR crc % 7 <> 0 THEN NULL ELSE strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) END AS more,
+    CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail FROM d),
+h AS (SELECT doc_id, lang, sha256(head || size || tail) AS leaf, sha256(head || coalesce(more, size) || tail) AS given FROM v),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM h),
+t AS (SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM p GROUP BY lang
+    UNION ALL SELECT lang, level + 1,
+        list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM t WHERE len(nodes) > 1),
+s AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM t WHERE len(nodes) = 1),
+u AS (SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM s
+    UNION ALL SELECT level + 1,
+        list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM u WHERE len(nodes) > 1),
+b AS (SELECT p.doc_id, p.leaf, t.level, (p.place // power(2, t.level)::BIGINT) % 2 AS side, t.nodes[xor(p.place // power(2, t.level)::BIGINT, 1) + 1] AS other
+        FROM p JOIN t ON p.lang IS NOT DISTINCT FROM t.lang AND len(t.nodes) > 1
+    UNION ALL SELECT p.doc_id, p.leaf, 1000 + u.level, (s.place // power(2, u.level)::BIGINT) % 2, u.nodes[xor(s.place // power(2, u.level)::BIGINT, 1) + 1]
+        FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang JOIN u ON len(u.nodes) > 1),
+w AS (SELECT doc_id, leaf, list(side || coalesce(other, '') ORDER BY level) AS turns, string_agg(other, '' ORDER BY level) AS proof FROM b GROUP BY doc_id, leaf),
+f AS (SELECT p.doc_id, p.leaf, s.subroot, (SELECT nodes[1] FROM u WHERE len(nodes) = 1) AS root, sha256(coalesce(w.proof, '')) AS proof_sha256,
+    list_reduce(coalesce(w.turns, []), lambda a, x: sha256(CASE WHEN x[1] = '1' THEN x[2:] || a ELSE a || x[2:] END), p.given) AS folded_root
+    FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang LEFT JOIN w ON p.doc_id IS NOT DISTINCT FROM w.doc_id AND p.leaf = w.leaf)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f"""
+
 QUERIES["op4_licenses"] = lambda spark, d: licenses.op4_licenses(table(spark, "documents", d))
 
 
