@@ -160,3 +160,21 @@ def rolling(words: np.ndarray, k: int) -> np.ndarray:
             have = mix64(have[:m] * odd + have[power : power + m])
             power *= 2
     return done[:n]
+
+
+def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers begin[i] to begin[i] + length[i] - 1 of all i, one after another."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)
+
+
+def distinct(points: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of each group of equal stretches of ``points``, and the group of every stretch."""
+    up, down = powers(len(points))
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=sums[1:])
+    hashes = mix64((sums[begin + length] - sums[begin]) * down[begin])
+    _, chosen, same = np.unique(hashes, return_index=True, return_inverse=True)
+    # Equal hashes prove nothing: compare with the stretch that stands for the group.
+    equal = (length == length[chosen][same]).all() and (points[spread(begin, length)] == points[spread(begin[chosen][same], length)]).all()
+    return (chosen, same) if equal else (np.arange(len(begin)), np.arange(len(begin)))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ledgerlens.llm.common import by_value, mix64, powers, slices
+from ledgerlens.llm.common import by_value, distinct, slices, spread
 
 by_value(__name__)
 
@@ -59,12 +59,6 @@ def model_file(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
-def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The numbers begin[i] to begin[i] + length[i] - 1 of all i, one after another."""
-    ends = np.cumsum(length)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)
-
-
 @dataclass
 class PieceModel:
     """Tables made from a model file; their size follows the vocabulary."""
@@ -319,7 +313,7 @@ class Encoder:
         opens[text_begin[:-1][np.diff(text_begin) > 0]] = True
         begin = np.flatnonzero(opens)
         length = np.diff(np.append(begin, len(points)))
-        chosen, same = self.distinct(points, begin, length)
+        chosen, same = distinct(points, begin, length)
         symbols = self.t["symbol"][points[spread(begin[chosen], length[chosen])]]
         ids, word = self.as_ids(*self.merger.merged(symbols, np.repeat(np.arange(len(chosen)), length[chosen])))
         count = np.bincount(word, minlength=len(chosen))
@@ -327,18 +321,6 @@ class Encoder:
         ends = np.concatenate([[0], np.cumsum(count[same])])
         return out, ends[np.searchsorted(begin, text_begin)]
 
-    @staticmethod
-    def distinct(points: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One of each group of equal words, and the group of every word."""
-        up, down = powers(len(points))
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=sums[1:])
-        hashes = mix64((sums[begin + length] - sums[begin]) * down[begin])
-        _, chosen, same = np.unique(hashes, return_index=True, return_inverse=True)
-        # Equal hashes prove nothing: compare with the word that stands for the group.
-        equal = (length == length[chosen][same]).all() and (points == points[spread(begin[chosen][same], length)]).all()
-        return (chosen, same) if equal else (np.arange(len(begin)), np.arange(len(begin)))
-
     def as_ids(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Write the bytes of characters that are no piece."""
         other = np.flatnonzero(symbols >= self.size)

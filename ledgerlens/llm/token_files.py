@@ -8,8 +8,9 @@ block is a file of its own: an index of its documents, a bit offset for every
 inside a block all stretches between checkpoints at once, by a table over the
 next ``LIMIT`` bits.
 
-Documents that a hash or an id range can't split are never together in one
-task beyond a block: blocks are rows, and rows are encoded and decoded alone.
+Tasks exchange rows that stand for blocks, and map the blocks from files: no
+task holds more than a block and one part of a text. A document longer than a
+block goes on in the next; its checksum is joined from those of its pieces.
 
 Null and empty texts have only the end id. A null id is sorted last and kept.
 Repeated rows and texts under one id follow one another, by the hash of their
@@ -20,11 +21,9 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +32,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ledgerlens.llm.common import by_value, pieces, slices, stored
+from ledgerlens.llm.common import by_value, distinct, pieces, slices, spread, stored
 from ledgerlens.llm.language_model import shared_read, shared_write
 from ledgerlens.session import scratch_path
 
 by_value(__name__)
 
 END_ID = 0
-# Longest code word, ids between checkpoints, ids of a block, and bytes of text in one range of documents.
+# Longest code word, ids between checkpoints and of one step of encoding, ids of a block, bytes of text in one range of documents,
+# and blocks that a task packs or reads.
 LIMIT = 18
 EVERY = 1024
+STRETCH = 64 * EVERY
 BLOCK_IDS = 1_000_000
 RANGE_BYTES = 64_000_000
-# Pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
-MAGIC = 0x31464854
+TASK_BLOCKS = 4
+# Characters of a long text that are encoded at once.
+PART = 250_000
+# Bytes of pieces whose ids a task remembers, what an entry takes besides its text and ids, and pieces learnt at once.
+REMEMBERED_BYTES = 80_000_000
+ENTRY = 160
+LEARNED = 20_000
+MAGIC = 0x32464854
 # White space that a tokenizer's pattern may join with a neighbouring blank, apart from blank and line feed.
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
@@ -75,8 +81,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.lengths[list(vocabulary.values())] = [len(name) for name in vocabulary]
@@ -90,89 +96,194 @@ class Encoder:
             return False
         return self.pieces_known and not ODD_SPACE.search(text) and not any(a in text for a in self.added)
 
-    def learn(self, missing: list[str]) -> None:
+    def learn(self, missing: list[bytes]) -> None:
         """Remember the ids of pieces, each with the blank before it, many in one text.
 
         A byte-level token stands for as many bytes as its name has letters, and
         no token crosses a blank, so running lengths tell where a piece ends.
         """
-        groups = [missing[i : i + 50] for i in range(0, len(missing), 50)]
-        joined = [" " + " ".join(g) for g in groups]
         unit = np.dtype(self.kind).itemsize
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(found.ids, self.kind)
-            ends = np.cumsum([len(w.encode()) + 1 for w in group])
-            cuts = (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * unit
-            body, start = ids.tobytes(), 0
-            for word, stop in zip(group, cuts.tolist()):
-                self.known[word] = body[start:stop]
-                start = stop
+        for at in range(0, len(missing), LEARNED):
+            groups = [missing[i : i + 50] for i in range(at, min(at + LEARNED, len(missing)), 50)]
+            joined = [b"".join(g).decode() for g in groups]
+            for group, text, found in zip(groups, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(found.ids, self.kind)
+                ends = np.cumsum([len(w) for w in group])
+                cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * unit).tolist()
+                body = ids.tobytes()
+                self.known.update(zip(group, (body[a:b] for a, b in zip([0, *cuts], cuts))))
+                self.held += len(text) + len(body) + len(group) * ENTRY
+
+    def parts(self, text: str) -> Iterator[str]:
+        """A text in parts of about ``PART`` characters, cut where the tokenizer's pattern always cuts.
+
+        Without such a place, or with a pattern that isn't known, a part is longer.
+        """
+        start = 0
+        while self.pieces_known and len(text) - start > PART:
+            at = text.find(" ", start + PART)
+            while 0 < at < len(text) - 1 and (text[at - 1].isspace() or text[at + 1].isspace()):
+                at = text.find(" ", at + 1)
+            if not 0 < at < len(text) - 1:
+                break
+            yield text[start:at]
+            start = at
+        yield text[start:]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if t and self.regular(t) else None for t in texts]
-        if len(self.known) > REMEMBERED:
+        regular = [bool(t) and self.regular(t) for t in texts]
+        found = iter(self.by_pieces([t.encode() for t, r in zip(texts, regular) if r]))
+        return [next(found) if r else self.whole(t) if t else b"" for t, r in zip(texts, regular)]
+
+    def by_pieces(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of regular texts: those of their distinct pieces, put in their places."""
+        data = b"".join(texts)
+        if not data:
+            return []
+        points = np.frombuffer(data, np.uint8)
+        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        # A piece begins with its blank; the first of a text may have none.
+        opens = points == 32
+        opens[edges[:-1]] = True
+        begin = np.flatnonzero(opens)
+        length = np.diff(np.append(begin, len(data)))
+        chosen, same = distinct(points, begin, length)
+        pieces_ = [data[a:b] for a, b in zip(begin[chosen].tolist(), (begin + length)[chosen].tolist())]
+        if self.held > REMEMBERED_BYTES:
             self.known.clear()
-        known = self.known
-        self.learn([w for w in set(chain.from_iterable(c[1:] for c in cut if c)) if w not in known])
-        out = []
-        for text, pieces_ in zip(texts, cut):
-            if pieces_ is None:
-                out.append(self.whole(text) if text else b"")
-                continue
-            first = pieces_[0]
-            if first not in self.heads:
-                if len(self.heads) > REMEMBERED // 8:
-                    self.heads.clear()
-                self.heads[first] = self.whole(first) if first else b""
-            out.append(self.heads[first] + b"".join(map(known.__getitem__, pieces_[1:])))
-        return out
-
-
-BLOCKS = "part long, seq long, doc_ids array<long>, sizes array<long>, ids binary"
-
-
-def tokenised(definition: str, per_block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Blocks of whole documents in their order, each with the ids of all of them."""
+            self.held = 0
+        missing = [p for p in pieces_ if p not in self.known]
+        self.learn([p for p in missing if p[0] == 32])
+        for piece in missing:
+            if piece[0] != 32:
+                self.known[piece] = self.whole(piece.decode())
+                self.held += 2 * len(piece) + ENTRY
+        bodies = [self.known[p] for p in pieces_]
+        ids = np.frombuffer(b"".join(bodies), self.kind)
+        size = np.array([len(b) for b in bodies]) // np.dtype(self.kind).itemsize
+        out = ids[spread((np.cumsum(size) - size)[same], size[same])]
+        ends = np.concatenate([[0], np.cumsum(size[same])])[np.searchsorted(begin, edges)].tolist()
+        return [out[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+
+# Blocks, and with seq -1 how often a task has met each id.
+BLOCKS = "part long, seq long, docs long, ids long, id array<int>, n array<long>"
+HEADER = 6
+
+
+def block_name(part: int, seq: int) -> str:
+    return f"block-{part:08d}-{seq:08d}"
+
+
+@dataclass
+class Block:
+    """Ids of consecutive documents; of the first one ``before`` ids are in earlier blocks, the last goes on if ``more``."""
+
+    doc_ids: list
+    sizes: list[int]
+    ids: np.ndarray
+    before: int
+    more: bool
+
+    def index(self) -> list[np.ndarray]:
+        known, null = [d or 0 for d in self.doc_ids], [d is None for d in self.doc_ids]
+        return [np.array(known, np.int64), np.array(null, np.uint64), np.array(self.sizes, np.uint64)]
+
+    def header(self, size: int) -> np.ndarray:
+        return np.array([MAGIC, len(self.doc_ids), len(self.ids), size, self.before, int(self.more)], np.uint64)
+
+
+class Open:
+    """The block that a task is filling."""
+
+    def __init__(self, kind: str):
+        self.kind, self.doc_ids, self.sizes, self.held, self.size, self.before = kind, [], [], [], 0, 0
+
+    def begin(self, doc_id: int | None) -> None:
+        self.doc_ids.append(doc_id)
+        self.sizes.append(0)
+
+    def add(self, ids: bytes) -> None:
+        n = len(ids) // np.dtype(self.kind).itemsize
+        self.held.append(ids)
+        self.sizes[-1] += n
+        self.size += n
+
+    def close(self, more: bool) -> Block:
+        """What is there; a document that goes on stays open."""
+        block = Block(self.doc_ids, self.sizes, np.frombuffer(b"".join(self.held), self.kind), self.before, more)
+        last, had = self.doc_ids[-1], self.sizes[-1] + (self.before if len(self.sizes) == 1 else 0)
+        self.__init__(self.kind)
+        if more:
+            self.begin(last)
+            self.before = had
+        return block
+
+
+def tokenised(definition: str, per_block: int, folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Write the ids of all documents in their order, block by block, and count them.
+
+    A block ends with the document, or the part of a long text, that reaches
+    ``per_block`` ids, so it holds no more than that and one part.
+    """
     schema = pa.schema([
-        ("part", pa.int64()), ("seq", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary()),
+        ("part", pa.int64()), ("seq", pa.int64()), ("docs", pa.int64()), ("ids", pa.int64()), ("id", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(definition)
-        unit = np.dtype(encode.kind).itemsize
         end = np.array([END_ID], encode.kind).tobytes()
-        part, seq = TaskContext.get().partitionId(), 0
-        doc_ids: list = []
-        sizes: list[int] = []
-        held: list[bytes] = []
-
-        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        part, seq, now = TaskContext.get().partitionId(), 0, Open(encode.kind)
+        counts = np.zeros(len(encode.lengths), np.int64)
+
+        def written(block: Block) -> pa.RecordBatch:
+            nonlocal counts, seq
+            # Ids at two or four bytes each, filled up to whole words.
+            body = block.ids.tobytes()
+            body += bytes(-len(body) % 8)
+            shared_write(f"{folder}/raw", block_name(part, seq), [block.header(len(body) // 8), *block.index(), np.frombuffer(body, np.uint64)])
+            counts += np.bincount(block.ids, minlength=len(counts))
+            row = {"part": part, "seq": seq, "docs": len(block.doc_ids), "ids": len(block.ids), "id": None, "n": None}
+            seq += 1
+            return pa.RecordBatch.from_pylist([row], schema)
+
+        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, Iterator[bytes]]]:
             for some, texts in slices(batch, "text"):
-                found = encode([t.decode("utf-8", "replace") for t in texts])
-                yield from zip(some.column("doc_id").to_pylist(), (ids + end for ids in found))
+                doc_ids, read = some.column("doc_id").to_pylist(), [t.decode("utf-8", "replace") for t in texts]
+                if len(read) == 1 and len(read[0]) > PART:
+                    yield doc_ids[0], (encode([t])[0] for t in encode.parts(read[0]))
+                else:
+                    yield from zip(doc_ids, ([ids] for ids in encode(read)))
 
         for batch in batches:
-            for doc_id, ids in encoded(batch):
-                doc_ids.append(doc_id)
-                sizes.append(len(ids) // unit)
-                held.append(ids)
-                if sum(sizes[-1:]) >= per_block or len(sizes) % 64 == 0 and sum(sizes) >= per_block:
-                    yield pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "doc_ids": doc_ids, "sizes": sizes, "ids": b"".join(held)}], schema)
-                    seq, doc_ids, sizes, held = seq + 1, [], [], []
-        if held:
-            yield pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "doc_ids": doc_ids, "sizes": sizes, "ids": b"".join(held)}], schema)
+            for doc_id, found in encoded(batch):
+                now.begin(doc_id)
+                for ids in found:
+                    if now.size >= per_block:
+                        yield written(now.close(True))
+                    now.add(ids)
+                now.add(end)
+                if now.size >= per_block:
+                    yield written(now.close(False))
+        if now.doc_ids:
+            yield written(now.close(False))
+        some = np.flatnonzero(counts)
+        total = {"part": part, "seq": -1, "docs": 0, "ids": 0, "id": some.tolist(), "n": counts[some].tolist()}
+        yield pa.RecordBatch.from_pylist([total], schema)
 
     return run
 
 
-def count_ids(kind: str, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def summed(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The counts of many tasks, added up."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        counts = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
+            ids, n = (batch.column(c).flatten().to_numpy() for c in ("id", "n"))
+            np.add.at(counts, ids, n)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], ["id", "n"])
 
     return run
 
@@ -233,19 +344,24 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits in 64-bit words, first bit highest, and the bit offset of every ``EVERY``-th id."""
-        length = self.lengths[ids].astype(np.int64)
-        ends = np.cumsum(length)
-        begin = ends - length
-        out = np.zeros(int(ends[-1] if len(ends) else 0) // 64 + 2, np.uint64)
-        if len(ids):
+        total = int(np.bincount(ids, minlength=len(self.lengths)) @ self.lengths.astype(np.int64))
+        out, done, checkpoints = np.zeros(total // 64 + 2, np.uint64), 0, []
+        for at in range(0, len(ids), STRETCH):
+            some = ids[at : at + STRETCH]
+            length = self.lengths[some].astype(np.int64)
+            begin = np.cumsum(length) - length + done
+            done = int(begin[-1] + length[-1])
             word, room = begin >> 6, 64 - (begin & 63) - length
-            value = self.words[ids]
-            part = np.where(room >= 0, value << np.maximum(room, 0).astype(np.uint64), value >> np.maximum(-room, 0).astype(np.uint64))
+            value = self.words[some]
+            # A word of bits that overruns is cut in two.
+            part = value << np.maximum(room, 0).astype(np.uint64)
+            over = np.flatnonzero(room < 0)
+            part[over] = value[over] >> (-room[over]).astype(np.uint64)
             first = np.flatnonzero(np.diff(word, prepend=-1))
             out[word[first]] |= np.bitwise_or.reduceat(part, first)
-            over = np.flatnonzero(room < 0)
             out[word[over] + 1] |= value[over] << (64 + room[over]).astype(np.uint64)
-        return out, begin[::EVERY].astype(np.uint64)
+            checkpoints.append(begin[::EVERY])
+        return out, np.concatenate([np.empty(0, np.int64), *checkpoints]).astype(np.uint64)
 
     def decode(self, bits: np.ndarray, checkpoints: np.ndarray, n: int) -> np.ndarray:
         """All ids of a block: one id of every stretch per step."""
@@ -265,8 +381,24 @@ class Code:
         return out.ravel()[:n]
 
 
-def block_name(part: int, seq: int) -> str:
-    return f"block-{part:08d}-{seq:08d}"
+def raw_block(folder: str, part: int, seq: int, kind: str) -> Block:
+    """The ids of a block as they were written first."""
+    words = shared_read(f"{folder}/raw", block_name(part, seq))
+    doc_ids, sizes, (_, _, n, _, before, more), body = parsed(words)
+    return Block(doc_ids, sizes.tolist(), np.asarray(body).view(kind)[:n], before, bool(more))
+
+
+def parsed(words: np.ndarray) -> tuple[list, np.ndarray, list[int], np.ndarray]:
+    """Document ids, sizes, header and what follows the index."""
+    header = [int(x) for x in words[:HEADER]]
+    if header[0] != MAGIC:
+        raise ValueError("not a block of token ids")
+    docs, at, index = header[1], HEADER, []
+    for _ in range(3):
+        index.append(words[at : at + docs])
+        at += docs
+    doc_ids = [None if null else d for d, null in zip(index[0].view(np.int64).tolist(), index[1].tolist())]
+    return doc_ids, index[2].astype(np.int64), header, words[at:]
 
 
 def write_blocks(folder: str, lengths: bytes, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -276,56 +408,89 @@ def write_blocks(folder: str, lengths: bytes, kind: str) -> Callable[[Iterator[p
         code = Code(np.frombuffer(lengths, np.uint8))
         for batch in batches:
             rows = []
-            for i in range(batch.num_rows):
-                part, seq = (batch.column(c)[i].as_py() for c in ("part", "seq"))
-                ids = np.frombuffer(batch.column("ids")[i].as_buffer(), kind)
-                doc_ids = batch.column("doc_ids")[i].as_py()
-                bits, checkpoints = code.encode(ids)
-                header = np.frombuffer(struct.pack("<QQQQ", MAGIC, len(doc_ids), len(ids), len(bits)), np.uint64)
-                shared_write(folder, block_name(part, seq), [
-                    header, np.array([d or 0 for d in doc_ids], np.int64), np.array([d is None for d in doc_ids], np.uint64),
-                    np.array(batch.column("sizes")[i].as_py(), np.uint64), checkpoints, bits,
-                ])
-                rows.append({"part": part, "seq": seq, "docs": len(doc_ids), "ids": len(ids), "bits": len(bits) * 64})
+            for part, seq in zip(batch.column("part").to_pylist(), batch.column("seq").to_pylist()):
+                block = raw_block(folder, part, seq, kind)
+                bits, checkpoints = code.encode(block.ids)
+                shared_write(folder, block_name(part, seq), [block.header(len(bits)), *block.index(), checkpoints, bits])
+                rows.append({"part": part, "seq": seq, "docs": len(block.doc_ids), "ids": len(block.ids), "bits": len(bits) * 64})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, pa.int64()) for n in ("part", "seq", "docs", "ids", "bits")]))
 
     return run
 
 
-def read_block(folder: str, part: int, seq: int, code: Code) -> tuple[list, np.ndarray, np.ndarray]:
-    """Document ids, sizes and all ids of one file."""
-    words = shared_read(folder, block_name(part, seq))
-    magic, docs, n, size = (int(x) for x in words[:4])
-    if magic != MAGIC:
-        raise ValueError("not a block of token ids")
-    at = 4
-    parts = []
-    for length in (docs, docs, docs, -(-n // EVERY), size):
-        parts.append(words[at : at + length])
-        at += length
-    doc_ids = [None if null else d for d, null in zip(parts[0].view(np.int64).tolist(), parts[1].tolist())]
-    return doc_ids, parts[2].astype(np.int64), code.decode(np.asarray(parts[4]), parts[3], n)
+def read_block(folder: str, part: int, seq: int, code: Code) -> Block:
+    """All ids of one file."""
+    doc_ids, sizes, (_, _, n, size, before, more), rest = parsed(shared_read(folder, block_name(part, seq)))
+    stretches = -(-n // EVERY)
+    ids = code.decode(np.asarray(rest[stretches : stretches + size]), rest[:stretches], n)
+    return Block(doc_ids, sizes.tolist(), ids, before, bool(more))
+
+
+READ = "doc_id long, start long, n_tokens long, ids_crc32 long, at long, whole boolean"
 
 
 def read_blocks(folder: str, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Every document of the files listed, with the checksum of its ids."""
+    """Every document of the files listed, or what a file has of it, with the checksum of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(shared_read(folder, "code", np.uint8)[:size])
         for batch in batches:
             for part, seq, start in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "start"))):
-                doc_ids, sizes, ids = read_block(folder, part, seq, code)
+                block = read_block(folder, part, seq, code)
+                sizes = np.array(block.sizes, np.int64)
                 ends = np.cumsum(sizes)
-                body = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+                body = memoryview(np.ascontiguousarray(block.ids, "<u4")).cast("B")
                 crc = [zlib.crc32(body[4 * (e - s) : 4 * e]) for e, s in zip(ends.tolist(), sizes.tolist())]
+                at = start + ends - sizes
+                begin, whole = at.copy(), np.ones(len(sizes), bool)
+                begin[0] -= block.before
+                whole[0] &= not block.before
+                whole[-1] &= not block.more
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(start + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [pa.array(block.doc_ids, pa.int64()), pa.array(begin), pa.array(sizes), pa.array(crc, pa.int64()), pa.array(at), pa.array(whole)],
+                    ["doc_id", "start", "n_tokens", "ids_crc32", "at", "whole"],
                 )
 
     return run
 
 
+# The polynomial of crc32, lowest power in the highest bit; in that order 1 is the highest bit, and x ** 8 is:
+CRC_POLYNOMIAL, CRC_ONE, CRC_BYTE = 0xEDB88320, 1 << 31, 1 << 23
+
+
+def crc_times(a: int, b: int) -> int:
+    """Product of two remainders."""
+    out = 0
+    while a:
+        if a & CRC_ONE:
+            out ^= b
+        a = a << 1 & 0xFFFFFFFF
+        b = b >> 1 ^ (CRC_POLYNOMIAL if b & 1 else 0)
+    return out
+
+
+def crc_joined(first: int, second: int, size: int) -> int:
+    """crc32 of two byte strings one after the other, from their checksums and the second one's size."""
+    shift, power = CRC_ONE, CRC_BYTE
+    while size:
+        if size & 1:
+            shift = crc_times(shift, power)
+        power, size = crc_times(power, power), size >> 1
+    return crc_times(shift, first) ^ second
+
+
+def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        crc = []
+        for pieces_ in batch.column("pieces").to_pylist():
+            joined = 0
+            for piece in pieces_:
+                joined = crc_joined(joined, piece["crc"], 4 * piece["n"])
+            crc.append(joined)
+        kept = [batch.column(c) for c in ("doc_id", "start", "n_tokens")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
 @dataclass
 class TokenFiles:
     """Files of token ids: their folder, a row per block in order (part, seq, docs, ids, bits, start), and the code's size."""
@@ -335,6 +500,11 @@ class TokenFiles:
     size: int
 
 
+def dealt(blocks: DataFrame) -> DataFrame:
+    """Rows that stand for files are dealt out by number, a few files a task; files are larger than their rows."""
+    return blocks.repartition(pieces(blocks.count(), TASK_BLOCKS), "part", "seq")
+
+
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, per_block: int = BLOCK_IDS) -> TokenFiles:
     """Tokenise every text, append the end id, and write all ids by ascending document id."""
     spark = docs.sparkSession
@@ -346,36 +516,39 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
     given = docs.select(col("doc_id").cast("long"), "text")
     chars = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = [col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
-    blocks = stored(
-        given.repartitionByRange(pieces(chars, RANGE_BYTES), *order).sortWithinPartitions(*order).mapInArrow(tokenised(definition, per_block), BLOCKS),
-        "token-blocks",
-    )
-    counted = blocks.select("ids").mapInArrow(count_ids(kind, size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    ranged = given.repartitionByRange(pieces(chars, RANGE_BYTES), *order).sortWithinPartitions(*order)
+    listed = stored(ranged.mapInArrow(tokenised(definition, per_block, folder), BLOCKS), "token-blocks")
+    met = listed.filter("seq < 0").select("id", "n").mapInArrow(summed(size), "id int, n long")
     counts = np.zeros(size, np.int64)
     # One row per id of the vocabulary.
-    for row in counted.collect():
+    for row in met.groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row["id"]] = row["n"]
     lengths = code_lengths(counts, LIMIT)
     padded = np.zeros(-(-size // 8) * 8, np.uint8)
     padded[:size] = lengths
     shared_write(folder, "code", [padded])
-    listed = stored(blocks.mapInArrow(write_blocks(folder, lengths.tobytes(), kind), "part long, seq long, docs long, ids long, bits long"), "token-list")
+    blocks = dealt(listed.filter("seq >= 0").select("part", "seq"))
+    written = stored(blocks.mapInArrow(write_blocks(folder, lengths.tobytes(), kind), "part long, seq long, docs long, ids long, bits long"), "token-list")
     # Two steps: blocks of a part, then one row per part.
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    parts = listed.groupBy("part").agg(F.sum("ids").alias("_all"))
+    parts = written.groupBy("part").agg(F.sum("ids").alias("_all"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_offset"))
-    started = listed.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0))).join(offsets, "part")
+    started = written.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0))).join(offsets, "part")
     started = started.withColumn("start", col("start") + col("_offset")).drop("_offset")
     return TokenFiles(folder, stored(started, "token-starts"), size)
 
 
 def read_token_files(files: TokenFiles) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files."""
-    # Files are larger than their rows here, so they are dealt out by number.
-    listed = files.blocks.select("part", "seq", "start")
-    dealt = listed.repartition(max(1, min(listed.count(), 4096)), "part", "seq")
-    return dealt.mapInArrow(read_blocks(files.folder, files.size), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    listed = dealt(files.blocks.select("part", "seq", "start"))
+    read = stored(listed.mapInArrow(read_blocks(files.folder, files.size), READ), "token-read")
+    result = "doc_id", "start", "n_tokens", "ids_crc32"
+    # A document longer than a block is in several: as many pieces as blocks, joined in order.
+    piece = F.struct("at", col("n_tokens").alias("n"), col("ids_crc32").alias("crc"))
+    split = read.filter("not whole").groupBy("doc_id", "start").agg(F.sum("n_tokens").alias("n_tokens"), F.array_sort(F.collect_list(piece)).alias("pieces"))
+    joined = split.mapInArrow(join_pieces, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read.filter("whole").select(*result).unionByName(joined)
 
 
 def op3_token_files(docs: DataFrame) -> DataFrame:

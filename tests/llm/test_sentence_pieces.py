@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from test_operators import SCHEMA, odd_texts
 
-from ledgerlens.llm import sentence_pieces
+from ledgerlens.llm import common, sentence_pieces
 
 ODD = [
     " ", "  ", " " * 15, " " * 16, " " * 29, " " * 300, "▁", "\n", "\t", "the", "ing", "!=", "==", "=====", "###", "$('#", "日本", "🙂", "é", "é",
@@ -58,7 +58,7 @@ def test_long_words_and_parts(model, library, monkeypatch):
 
 def test_words_of_equal_hash(model, library, monkeypatch):
     """Words are merged by themselves if hashes of unlike ones agree."""
-    monkeypatch.setattr(sentence_pieces, "mix64", lambda x: x % np.uint64(3))
+    monkeypatch.setattr(common, "mix64", lambda x: x % np.uint64(3))
     same(model, library, ["some words that share three hashes", "and some other words"])
 
 
