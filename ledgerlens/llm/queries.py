@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, html_text, jaccard, language_model, licenses, merkle, mixing, repeats, sentence_pieces, token_files, topk, toxicity
+from ledgerlens.llm import (
+    alignment, decontaminate, html_text, jaccard, language_model, licenses, merkle, mixing, repeats, sentence_pieces, token_files, topk,
+    toxicity,
+)
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +45,8 @@ QUERIES["op3_token_files"] = lambda spark, d: token_files.op3_token_files(table(
 
 QUERIES["op11_sentence_pieces"] = lambda spark, d: sentence_pieces.op11_pieces(table(spark, "documents", d))
 
+QUERIES["op12_alignment"] = lambda spark, d: alignment.op12_alignment(table(spark, "documents", d))
+
 QUERIES["op13_merkle"] = lambda spark, d: merkle.op13_merkle(table(spark, "documents", d))
 # crc32 bit by bit: a byte is mixed in, then eight steps follow, marked by -1.
 ORACLE["op13_merkle"] = """WITH RECURSIVE c AS (SELECT *, CAST(doc_id AS VARCHAR) AS name FROM documents),
