@@ -41,8 +41,11 @@ from ledgerlens.session import scratch_path
 
 by_value(__name__)
 
-# Pairs that a task gathers before it adds them up, pairs of a file, files that a task holds open.
-GATHERED = 4_000_000
+# Bytes of text that one step holds, bytes of pieces that a task remembers; pairs that it gathers before it adds them up,
+# pairs of a file, files that a task holds open.
+STEP_BYTES = 1_000_000
+REMEMBERED_BYTES = 40_000_000
+GATHERED = 1_000_000
 PER_FILE = 1_000_000
 OPEN_FILES = 256
 # Texts with more than this share of all rows are dealt out over several tasks: fewer than its inverse.
@@ -113,7 +116,7 @@ class Aligner:
     def __init__(self, definition: str, model: sentence_pieces.PieceModel):
         self.first = token_files.Encoder(definition)
         self.first.tokenizer.encode_special_tokens = True
-        self.first.added = []
+        self.first.added, self.first.most = [], REMEMBERED_BYTES
         self.second = sentence_pieces.Encoder(model)
         letters, names = byte_of_letter(), self.first.tokenizer.get_vocab()
         bytes_of = [b""] * len(self.first.lengths)
@@ -296,7 +299,7 @@ def align_texts(definition: str, model: sentence_pieces.PieceModel, full: bool)
                 yield pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", STEP_BYTES):
                 found = align([t.decode("utf-8", "replace") for t in texts])
                 n = part.column("n").to_numpy()
                 tally.add(np.concatenate(found.pairs), np.repeat(n, [len(p) for p in found.pairs]))
@@ -373,7 +376,7 @@ def weigh(folder: str, files: list[tuple[int, str]], best: np.ndarray, width: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(folder, files)
         for batch in batches:
-            for part, rows in slices(batch, "pairs", 8 * GATHERED // 4):
+            for part, rows in slices(batch, "pairs", 8 * GATHERED // 2):
                 pairs = np.frombuffer(b"".join(rows), "<i8")
                 times = np.frombuffer(b"".join(part.column("times").to_pylist()), "<u4").astype(np.int64)
                 asked, back = np.unique(pairs, return_inverse=True)

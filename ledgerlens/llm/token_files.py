@@ -82,7 +82,7 @@ class Encoder:
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.held, self.most = 0, REMEMBERED_BYTES
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.lengths[list(vocabulary.values())] = [len(name) for name in vocabulary]
@@ -149,7 +149,7 @@ class Encoder:
         length = np.diff(np.append(begin, len(data)))
         chosen, same = distinct(points, begin, length)
         pieces_ = [data[a:b] for a, b in zip(begin[chosen].tolist(), (begin + length)[chosen].tolist())]
-        if self.held > REMEMBERED_BYTES:
+        if self.held > self.most:
             self.known.clear()
             self.held = 0
         missing = [p for p in pieces_ if p not in self.known]
