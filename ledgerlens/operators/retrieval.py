@@ -94,12 +94,13 @@ def _scan_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     return vectors.mapInArrow(scan, schema)
 
 
-def _block_topk(queries: DataFrame, vectors: DataFrame, bucket: list[str], k: int, block_rows: int) -> DataFrame:
+def _block_topk(queries: DataFrame, vectors: DataFrame, bucket: list[str], k: int, block_rows: int, compare=None) -> DataFrame:
     """Top-k among rows of the same bucket, for query sets of any size.
 
     A bucket's queries and vectors are dealt into blocks by hash, and each
     pair of blocks is one task. A bucket that holds a third of all rows is so
-    many more blocks, not one large group.
+    many more blocks, not one large group. ``compare`` gives the best hits of
+    two such blocks as a frame (query_id, id, score); cosines by default.
     """
     schema = _hit_type(queries, vectors)
     arrow_schema = to_arrow_schema(schema)
@@ -126,7 +127,7 @@ def _block_topk(queries: DataFrame, vectors: DataFrame, bucket: list[str], k: in
     def meet(some_queries: pa.Table, some_vectors: pa.Table) -> pa.Table:
         if some_queries.num_rows == 0 or some_vectors.num_rows == 0:
             return arrow_schema.empty_table()
-        found = nearest(
+        found = compare(some_queries, some_vectors, k) if compare else nearest(
             as_numpy(some_queries.column("query_id")),
             unit_rows(some_queries.column("embedding")),
             as_numpy(some_vectors.column("id")),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import prompts
-from ledgerlens.operators import documents, evaluation, loans, retrieval
+from ledgerlens.operators import documents, evaluation, loans, retrieval, vector_index
 from ledgerlens.operators.quality import first_rows
 from ledgerlens.plans import answers
 from ledgerlens.plans.documents import build_layers
@@ -90,6 +90,51 @@ ORACLE["similar_topk_blocks"] = ORACLE["similar_topk"]
 QUERIES["similar_lsh"] = lambda spark, d: retrieval.similar_lsh(roles.centroids(spark, d), roles.vectors(spark, d))
 
 
+def _contents(spark, d):
+    """Vectors with a content id."""
+    return roles.vectors(spark, d).select(F.col("vec_id").alias("id"), F.md5(F.to_json("embedding")).alias("content"), "embedding")
+
+
+def _index_recall(spark, d):
+    """Recall of the stored index against exact search, for every hundredth vector, and the share of codes read."""
+    index = vector_index.build_index(_contents(spark, d))
+    asked = roles.vectors(spark, d).filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    probes = vector_index.choose_probes(index, spark)
+    found = written(vector_index.search_index(index, asked, 10, probes), "found")
+    exact = retrieval.similar(asked, roles.vectors(spark, d), 10).withColumnRenamed("vec_id", "id")
+    return vector_index.recall(found, exact).join(vector_index.scanned_share(index, asked, probes), "query_id")
+
+
+QUERIES["vector_index_recall"] = _index_recall
+QUERIES["vector_index_enough"] = lambda spark, d: _index_recall(spark, d).agg(
+    F.count("*").alias("n_queries"), (F.avg("recall") >= 0.9).alias("enough")
+)
+ORACLE["vector_index_enough"] = "SELECT count(*) AS n_queries, true AS enough FROM embeddings WHERE vec_id % 100 = 0"
+
+
+def _index_sync(spark, d):
+    """Three syncs: rows come, change and go. Which changes each made, and whether the index equals one built anew."""
+    whole = _contents(spark, d)
+    turned = whole.withColumn("embedding", F.when(F.expr("id % 7 = 0"), F.reverse("embedding")).otherwise(F.col("embedding")))
+    turned = turned.withColumn("content", F.md5(F.to_json("embedding")))
+    index = vector_index.build_index(written(whole.filter("id % 5 <> 0"), "first"))
+    made = []
+    for i, state in enumerate((whole, turned, turned.filter("id % 3 <> 0"))):
+        index, found = vector_index.sync_index(index, state)
+        made.append(found.groupBy("change").agg(F.count("*").alias("n")).withColumn("sync", F.lit(i + 1)))
+    anew = vector_index.build_index(turned.filter("id % 3 <> 0"), codec=index.codec).rows(spark)
+    ours = index.rows(spark)
+    differs = ours.exceptAll(anew).agg(F.count("*")).scalar() + anew.exceptAll(ours).agg(F.count("*")).scalar()
+    return made[0].unionByName(made[1]).unionByName(made[2]).select("sync", "change", "n", (differs == 0).alias("as_built_anew"))
+
+
+QUERIES["index_sync"] = _index_sync
+ORACLE["index_sync"] = """SELECT CAST(sync AS INTEGER) AS sync, change, count(*) AS n, true AS as_built_anew FROM (
+    SELECT 1 AS sync, 'new' AS change FROM embeddings WHERE vec_id % 5 = 0
+    UNION ALL SELECT 2, 'changed' FROM embeddings WHERE vec_id % 7 = 0 AND embedding <> list_reverse(embedding)
+    UNION ALL SELECT 3, 'gone' FROM embeddings WHERE vec_id % 3 = 0) GROUP BY ALL"""
+
+
 def _indexed(spark, d):
     """The stored chunks, the term weights fitted on them, and the benchmark passages as questions."""
     chunks = spread(written(_gold(spark, d), "chunks"), "chunk_id")
