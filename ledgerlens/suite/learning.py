@@ -14,10 +14,10 @@ from ledgerlens.operators.metrics import pr_threshold
 from ledgerlens.operators.rates import ordered_rates
 from ledgerlens.operators.sampling import split, stratified_split
 from ledgerlens.plans import fraud
-from ledgerlens.session import written
+from ledgerlens.session import scratch_path, written
 from ledgerlens.sources import roles
 from ledgerlens.sources.roles import load
-from ledgerlens.streaming import scoring
+from ledgerlens.streaming import scoring, state
 from ledgerlens.suite import sql
 from ledgerlens.suite.common import Query, rounded, txn_with_state
 from ledgerlens.suite.fraud import FEATURES
@@ -236,3 +236,39 @@ def _stream_features(spark, d):
 
 QUERIES["stream_features"] = _stream_features
 ORACLE["stream_features"] = FRAUD_ORACLE["txn_features"]
+
+
+def _stream_dedup(spark, d):
+    """A log whose rows come again, within a part and late in the next one, each row once."""
+    events = load(spark, "events", d).select("event_id", "ts", "user_id", "event_type", "value")
+    folder, table, out = scratch_path(spark, "log"), scratch_path(spark, "log-once"), None
+    slices = [events.filter(f"dayofmonth(ts) {bound}") for bound in ("<= 10", "between 11 and 20", "> 20")]
+    for i, part in enumerate(slices):
+        again = part.filter("event_id % 3 = 0")
+        late = slices[i - 1].filter("event_id % 4 = 0") if i else part.limit(0)
+        part.unionByName(again).unionByName(late).write.mode("append").parquet(folder)
+        # Each run goes on where the last one ended.
+        stream = state.distinct_stream(scoring.read_files(spark, folder, events.schema), "ts", "12 days")
+        out = scoring.drain_to_table(stream, "log-once", table)
+    return out.select("event_id", "user_id", "event_type", "value")
+
+
+QUERIES["stream_dedup"] = _stream_dedup
+ORACLE["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value FROM events"
+
+
+def _stream_history(spark, d):
+    """The newest 30 rows of each client after a stream in three parts, neither in order nor in one run."""
+    events = load(spark, "events", d).select("event_id", "ts", "user_id", "event_type", "value")
+    folder, table, out = scratch_path(spark, "history"), scratch_path(spark, "history-lists"), None
+    for part in (1, 0, 2):
+        events.filter(f"event_id % 3 = {part}").write.mode("append").parquet(folder)
+        stream = state.newest_stream(scoring.read_files(spark, folder, events.schema), "user_id", ["ts", "event_id"])
+        with state.keyed_state(spark):
+            out = scoring.drain_to_table(stream, "history-lists", table)
+    return state.last_versions(out, "user_id").select("user_id", "rank", "event_id", "value")
+
+
+QUERIES["stream_history"] = _stream_history
+ORACLE["stream_history"] = """SELECT user_id, rank, event_id, value FROM (SELECT *,
+row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank FROM events) WHERE rank <= 30"""
