@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.expressions import TYPE_CODES
 from ledgerlens.operators.infrastructure import infra_by_state, normalise_infra
 from ledgerlens.operators.metrics import best_threshold, threshold_sweep
-from ledgerlens.operators.quality import dedup_full
+from ledgerlens.operators.quality import dedup_full, state_summary, tier_distribution
 from ledgerlens.operators.rates import attach_rate, fit_rate, fold_rates
 from ledgerlens.operators.sampling import balanced_train, split, with_fold
-from ledgerlens.operators.training import fraud_pipeline, with_probability
+from ledgerlens.operators.training import fraud_feature_names, fraud_pipeline, with_probability
 from ledgerlens.operators.transactions import NUMERIC_FEATURES, detect_input, enrich, rename_labels, txn_features
-from ledgerlens.plans.lookup import as_lookup, assign_state
+from ledgerlens.plans.lookup import NumberedStates, as_lookup, assign_state, number_states
 from ledgerlens.session import written
+from ledgerlens.sources.models import SavedModel, load_model, save_model
+from ledgerlens.sources.tables import save
 
 SCORED_COLUMNS = ["nameOrig", "amount", "type", "state", "fraud_probability", "fraud_flag"]
 
@@ -33,6 +35,7 @@ class Training:
     balanced: DataFrame
     rates: DataFrame
     infra: DataFrame
+    states: NumberedStates
 
 
 def training_table(df: DataFrame, key: str) -> DataFrame:
@@ -49,14 +52,14 @@ def state_infra(raw_infra: DataFrame) -> DataFrame:
     return as_lookup(infra_by_state(normalise_infra(raw_infra)), "infra")
 
 
-def features(txn: DataFrame, states: DataFrame | list[str], infra: DataFrame) -> DataFrame:
+def features(txn: DataFrame, states: DataFrame | list[str] | NumberedStates, infra: DataFrame) -> DataFrame:
     """Assign, enrich and derive. Only joins to lookup tables: works on streams too."""
     return txn_features(enrich(assign_state(rename_labels(txn), "nameOrig", states), infra))
 
 
 def prepare(
     txn: DataFrame,
-    states: DataFrame | list[str],
+    states: DataFrame | list[str] | NumberedStates,
     raw_infra: DataFrame,
     key: str = "txn_id",
     validation: float = 0.1,
@@ -68,14 +71,14 @@ def prepare(
     test rows stay unseen. The features are stored once; rates, balancing,
     fitting and testing read them instead of repeating the joins.
     """
-    infra = state_infra(raw_infra)
+    infra, states = state_infra(raw_infra), number_states(states, txn.sparkSession)
     # Repeated rows of the log are one row, so that no copy of a training row is tested on.
     stored = written(dedup_full(features(txn, states, infra)), "features")
     known, test = split(stored, key)
     train, checked = split(known, key, 1 - validation, seed=142)
     rates = as_lookup(fit_rate(train), "rates")
     train, checked, test = (attach_rate(side, rates) for side in (train, checked, test))
-    return Training(train, checked, test, training_table(balanced_train(train, key), key), rates, infra)
+    return Training(train, checked, test, training_table(balanced_train(train, key), key), rates, infra, states)
 
 
 def fit(training: Training, trees: int = 100, depth: int = 10) -> PipelineModel:
@@ -120,7 +123,7 @@ def grid_search(train: DataFrame, key: str, trees=(50, 100), depths=(5, 10), fol
 
 def score(
     txn: DataFrame,
-    states: DataFrame | list[str],
+    states: DataFrame | list[str] | NumberedStates,
     infra: DataFrame,
     rates: DataFrame,
     model: PipelineModel,
@@ -130,7 +133,8 @@ def score(
     """Score raw transactions, batch or stream; every row given comes back.
 
     A row with a missing or NaN input can't be scored: its probability and flag
-    are NULL. Numbering the states runs jobs while the plan is built.
+    are NULL. States that aren't numbered yet are numbered while the plan is
+    built.
     """
     ready = attach_rate(features(txn, states, infra), rates)
     return score_ready(ready, model, threshold).select(*keep, *SCORED_COLUMNS)
@@ -155,7 +159,7 @@ def score_ready(ready: DataFrame, model: PipelineModel, threshold: float) -> Dat
 
 def score_batch(
     df: DataFrame,
-    states: DataFrame | list[str],
+    states: DataFrame | list[str] | NumberedStates,
     infra: DataFrame,
     rates: DataFrame,
     model: PipelineModel,
@@ -178,6 +182,40 @@ def score_batch(
     return score_ready(df.drop("type_index"), model, threshold).select(*SCORED_COLUMNS)
 
 
+def save_scorer(training: Training, model: PipelineModel, threshold: float, path: str, metrics: dict[str, float] | None = None, version: str = "1") -> None:
+    """Write all that ``score_saved`` needs: pipeline, threshold, rates, infrastructure, states, and what is known of the model."""
+    spark = training.rates.sparkSession
+    names = fraud_feature_names()
+    importances = {n: float(v) for n, v in zip(names, model.stages[-1].featureImportances.toArray())}
+    states = [r["state"] for r in training.states.table.orderBy("_bucket").collect()]
+    saved = SavedModel(model, threshold, names, metrics or {}, states, "", training.rates, training.infra, importances, version, type(model.stages[-1]).__name__)
+    save_model(spark, saved, path)
+
+
+def score_saved(path: str, txn: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Score raw transactions, batch or stream, with a saved model and the states, infrastructure, rates and threshold beside it."""
+    saved = load_model(txn.sparkSession, path)
+    if saved.infra is None:
+        raise ValueError("the model was saved without its infrastructure")
+    return score(txn, saved.states, saved.infra, saved.rates, saved.model, saved.threshold, keep)
+
+
+def result_tables(scored: DataFrame, path: str) -> dict[str, DataFrame]:
+    """Write the three tables of a scored log: the rows, the summary by state, and the distribution of tiers.
+
+    ``scored`` has the label and the state's infrastructure besides the scores.
+    """
+    tables = {"scored": scored}
+    save(scored, f"{path}/scored")
+    held = scored.sparkSession.read.schema(scored.schema).parquet(f"{path}/scored")
+    tables["state_summary"] = state_summary(held)
+    save(tables["state_summary"], f"{path}/state_summary")
+    summary = scored.sparkSession.read.parquet(f"{path}/state_summary")
+    tables["tier_distribution"] = tier_distribution(summary)
+    save(tables["tier_distribution"], f"{path}/tier_distribution")
+    return {name: scored.sparkSession.read.parquet(f"{path}/{name}") for name in tables}
+
+
 def score_held_out(rows: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
     """Prepared rows with their label, features and probability."""
     return with_probability(model.transform(rows), threshold)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -15,6 +16,10 @@ _META = T.StructType(
         T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("states", T.ArrayType(T.StringType())),
         T.StructField("description", T.StringType()),
+        T.StructField("importances", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("version", T.StringType()),
+        T.StructField("model_type", T.StringType()),
+        T.StructField("saved_on", T.DateType()),
     ]
 )
 
@@ -39,10 +44,15 @@ class SavedModel:
     states: list[str] = field(default_factory=list)
     description: str = ""
     rates: DataFrame | None = None
+    infra: DataFrame | None = None
+    importances: dict[str, float] = field(default_factory=dict)
+    version: str = ""
+    model_type: str = ""
+    saved_on: datetime.date | None = None
 
 
 def save_model(spark: SparkSession, saved: SavedModel, path: str) -> None:
-    """Write pipeline, metadata (a one-row table) and state rates under ``path``."""
+    """Write pipeline, metadata (a one-row table), state rates and infrastructure under ``path``."""
     saved.model.write().overwrite().save(f"{path}/pipeline")
     row = (
         saved.features,
@@ -50,10 +60,16 @@ def save_model(spark: SparkSession, saved: SavedModel, path: str) -> None:
         {k: float(v) for k, v in saved.metrics.items()},
         saved.states,
         saved.description,
+        {k: float(v) for k, v in saved.importances.items()},
+        saved.version,
+        saved.model_type or type(saved.model.stages[-1]).__name__,
+        saved.saved_on or datetime.date.today(),
     )
     spark.createDataFrame([row], _META).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     if saved.rates is not None:
         saved.rates.write.mode("overwrite").parquet(f"{path}/rates")
+    if saved.infra is not None:
+        saved.infra.write.mode("overwrite").parquet(f"{path}/infra")
 
 
 def load_model(spark: SparkSession, path: str, with_rates: bool = True) -> SavedModel:
@@ -66,9 +82,21 @@ def load_model(spark: SparkSession, path: str, with_rates: bool = True) -> Saved
         states=list(meta["states"] or []),
         description=meta["description"],
         rates=spark.read.parquet(f"{path}/rates") if with_rates else None,
+        infra=table_if_any(spark, f"{path}/infra"),
+        importances=dict(meta["importances"] or {}),
+        version=meta["version"] or "",
+        model_type=meta["model_type"] or "",
+        saved_on=meta["saved_on"],
     )
 
 
+def table_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table, or None where nothing was written."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return spark.read.parquet(path) if there else None
+
+
 def log_run(
     spark: SparkSession,
     path: str,

@@ -11,15 +11,17 @@ from ledgerlens.operators import loans, training
 from ledgerlens.operators.boosting import Settings, boost
 from ledgerlens.operators.explain import explained, mean_shares
 from ledgerlens.operators.metrics import pr_threshold
-from ledgerlens.operators.rates import ordered_rates
+from ledgerlens.operators.rates import attach_rate, fit_rate, ordered_rates
 from ledgerlens.operators.sampling import split, stratified_split
+from ledgerlens.operators.transactions import detect_input
 from ledgerlens.plans import fraud
 from ledgerlens.session import scratch_path, written
 from ledgerlens.sources import roles
+from ledgerlens.sources.models import load_model
 from ledgerlens.sources.roles import load
 from ledgerlens.streaming import scoring, state
 from ledgerlens.suite import sql
-from ledgerlens.suite.common import Query, rounded, txn_with_state
+from ledgerlens.suite.common import Query, featured, rounded, txn_with_state
 from ledgerlens.suite.fraud import FEATURES
 from ledgerlens.suite.fraud import ORACLE as FRAUD_ORACLE
 
@@ -37,7 +39,7 @@ def fraud_score(spark, d, trees: int = 100, depth: int = 10):
     model = fraud.fit(data, trees, depth)
     threshold = fraud.choose_threshold(data, model)
     log = roles.txn(spark, d, labels=False)
-    return fraud.score(log, roles.states(spark, d), data.infra, data.rates, model, threshold, ["txn_id"])
+    return fraud.score(log, data.states, data.infra, data.rates, model, threshold, ["txn_id"])
 
 
 QUERIES["fraud_score"] = fraud_score
@@ -194,6 +196,83 @@ def _model_compare(spark, d):
 
 QUERIES["model_compare"] = _model_compare
 
+
+def _scores_agree(spark, d):
+    """One model's scores of the whole log: fitted, saved and loaded again, and on a stream. How many rows, and how many differ.
+
+    A flag is right if it is set exactly where the probability reaches the threshold.
+    """
+    data = prepared(spark, d)
+    model = fraud.fit(data, 10, 5)
+    threshold = fraud.choose_threshold(data, model)
+    log = roles.txn(spark, d, labels=False)
+    path = scratch_path(spark, "saved-scorer")
+    fraud.save_scorer(data, model, threshold, path)
+    stream = scoring.drain_to_table(fraud.score_saved(path, _stream_input(spark, d), ["txn_id"]), "scored")
+    ways = {
+        "fitted": written(fraud.score(log, data.states, data.infra, data.rates, model, threshold, ["txn_id"]), "scored"),
+        "saved": fraud.score_saved(path, log, ["txn_id"]), "stream": stream,
+    }
+    p = F.col("fraud_probability")
+    base = ways["fitted"].select("txn_id", F.round(p, 9).alias("_p"))
+    lines = []
+    for name, scored in ways.items():
+        met = base.join(scored, "txn_id", "full_outer")
+        wrong = ~F.round(p, 9).eqNullSafe(F.col("_p")) | ~F.col("fraud_flag").eqNullSafe((p >= threshold).cast("int"))
+        lines.append(met.agg(F.lit(name).alias("way"), F.count("*").alias("n_rows"), F.count_if(wrong).alias("n_wrong")))
+    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+
+
+QUERIES["scores_agree"] = _scores_agree
+ORACLE["scores_agree"] = sql.query(
+    "SELECT way, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM txn, (VALUES ('fitted'), ('saved'), ('stream')) AS w(way) GROUP BY way", sql.TXN
+)
+
+
+def _model_roundtrip(spark, d):
+    """What is saved beside a model and read again."""
+    data = prepared(spark, d)
+    path = scratch_path(spark, "saved-model")
+    fraud.save_scorer(data, fraud.fit(data, 5, 3), 0.4, path, {"auc": 0.5}, "7")
+    saved = load_model(spark, path)
+    shares = sum(saved.importances.values())
+    row = (saved.version, saved.model_type, saved.threshold, len(saved.features), len(saved.importances), abs(shares - 1) < 1e-6, saved.metrics["auc"])
+    line = spark.createDataFrame([row], "version string, model_type string, threshold double, n_features int, n_importances int, sums_to_one boolean, auc double")
+    counts = saved.infra.agg(F.count("*").alias("infra_rows")), data.states.table.agg(F.count("*").alias("states"))
+    return line.withColumns({c.columns[0]: c.scalar() for c in counts}).withColumn("states_saved", F.lit(len(saved.states)).cast("long"))
+
+
+QUERIES["model_roundtrip"] = _model_roundtrip
+ORACLE["model_roundtrip"] = sql.query(
+    """SELECT '7' AS version, 'RandomForestClassificationModel' AS model_type, CAST(0.4 AS DOUBLE) AS threshold, CAST(18 AS INTEGER) AS n_features,
+    CAST(18 AS INTEGER) AS n_importances, true AS sums_to_one, CAST(0.5 AS DOUBLE) AS auc, (SELECT count(*) FROM infra) AS infra_rows,
+    (SELECT n FROM state_names) AS states, (SELECT n FROM state_names) AS states_saved""",
+    sql.TXN, sql.STATES, sql.INFRA,
+)
+
+
+def _input_kind(spark, d):
+    """Which kind of input the raw log, the log with features, and another table are taken for."""
+    log, given = roles.txn(spark, d, labels=False), featured(spark, d)
+    tables = {"raw": log, "features": attach_rate(given, fit_rate(given)).withColumn("type_index", F.lit(0)), "other": load(spark, "region", d)}
+    lines = None
+    for name, table in tables.items():
+        try:
+            kind = detect_input(table)
+        except ValueError:
+            kind = "error"
+        line = table.agg(F.lit(name).alias("given"), F.lit(kind).alias("kind"), F.count("*").alias("n_rows"))
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
+QUERIES["input_kind"] = _input_kind
+ORACLE["input_kind"] = sql.query(
+    """SELECT 'raw' AS given, 'raw' AS kind, count(*) AS n_rows FROM txn
+    UNION ALL SELECT 'features', 'engineered', count(*) FROM txn UNION ALL SELECT 'other', 'error', count(*) FROM region""",
+    sql.TXN,
+)
+
 # Streams.
 
 
@@ -207,8 +286,7 @@ def _stream_score(spark, d):
     data = prepared(spark, d)
     model = fraud.fit(data)
     threshold = fraud.choose_threshold(data, model)
-    states = roles.states(spark, d)
-    stream = scoring.score_stream(_stream_input(spark, d), states, data.infra, data.rates, model, threshold, ["txn_id"])
+    stream = scoring.score_stream(_stream_input(spark, d), data.states, data.infra, data.rates, model, threshold, ["txn_id"])
     return scoring.drain_to_table(stream, "scored")
 
 

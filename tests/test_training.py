@@ -202,3 +202,28 @@ def test_logistic_grid(applications):
     table = rows(training.grid_table(train.sparkSession, fitted, grid, ["regParam"]))
     assert [t["regParam"] for t in table] == pytest.approx([1 / (0.01 * 1200), 1 / (10 * 1200)])
     assert all(0.5 < t["metric"] <= 1.0 and not math.isnan(t["metric"]) for t in table)
+
+
+def test_a_saved_scorer_needs_nothing_else(spark, txn, trained, tmp_path):
+    data, model = trained
+    path = str(tmp_path / "scorer")
+    fraud.save_scorer(data, model, 0.3, path, {"auc_roc": 0.9}, "2")
+    saved = load_model(spark, path)
+    assert (saved.version, saved.model_type, saved.metrics) == ("2", "RandomForestClassificationModel", {"auc_roc": 0.9})
+    assert sum(saved.importances.values()) == pytest.approx(1) and set(saved.importances) == set(training.fraud_feature_names())
+    new = txn.drop("isFraud", "isFlaggedFraud")
+    want = by(fraud.score(new, data.states, data.infra, data.rates, model, 0.3, ["txn_id"]), "txn_id")
+    assert by(fraud.score_saved(path, new, ["txn_id"]), "txn_id") == want
+    save_model(spark, SavedModel(model, 0.4, rates=data.rates), path + "-bare")
+    with pytest.raises(ValueError):
+        fraud.score_saved(path + "-bare", new)
+
+
+def test_result_tables(spark, trained, tmp_path):
+    data, model = trained
+    scored = fraud.score_test(data, model).select(
+        "state", "amount", "is_fraud", "fraud_probability", "total_gov_amount_lakh", "total_pos_devices"
+    )
+    tables = fraud.result_tables(scored, str(tmp_path))
+    assert tables["scored"].count() == scored.count() and tables["state_summary"].count() == scored.select("state").distinct().count()
+    assert sum(r["total_txns"] for r in tables["tier_distribution"].collect()) == scored.count()
