@@ -41,10 +41,9 @@ from ledgerlens.session import scratch_path
 
 by_value(__name__)
 
-# Bytes of text that one step holds, bytes of pieces that a task remembers; pairs that it gathers before it adds them up,
-# pairs of a file, files that a task holds open.
+# Bytes of text that one step holds; pairs that a task gathers before it adds them up, pairs of a file, files that it holds
+# open.
 STEP_BYTES = 1_000_000
-REMEMBERED_BYTES = 40_000_000
 GATHERED = 1_000_000
 PER_FILE = 1_000_000
 OPEN_FILES = 256
@@ -116,7 +115,7 @@ class Aligner:
     def __init__(self, definition: str, model: sentence_pieces.PieceModel):
         self.first = token_files.Encoder(definition)
         self.first.tokenizer.encode_special_tokens = True
-        self.first.added, self.first.most = [], REMEMBERED_BYTES
+        self.first.added = []
         self.second = sentence_pieces.Encoder(model)
         letters, names = byte_of_letter(), self.first.tokenizer.get_vocab()
         bytes_of = [b""] * len(self.first.lengths)

@@ -24,9 +24,11 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +51,10 @@ RANGE_BYTES = 64_000_000
 TASK_BLOCKS = 4
 # Characters of a long text that are encoded at once.
 PART = 250_000
-# Bytes of pieces whose ids a task remembers, what an entry takes besides its text and ids, and pieces learnt at once.
-REMEMBERED_BYTES = 80_000_000
+# Bytes of text of one step; bytes of pieces whose ids a task remembers, what an entry takes besides its text and ids,
+# and pieces learnt at once.
+STEP_BYTES = 500_000
+REMEMBERED_BYTES = 40_000_000
 ENTRY = 160
 LEARNED = 20_000
 MAGIC = 0x32464854
@@ -82,7 +86,7 @@ class Encoder:
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
-        self.held, self.most = 0, REMEMBERED_BYTES
+        self.held = 0
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.lengths[list(vocabulary.values())] = [len(name) for name in vocabulary]
@@ -149,7 +153,7 @@ class Encoder:
         length = np.diff(np.append(begin, len(data)))
         chosen, same = distinct(points, begin, length)
         pieces_ = [data[a:b] for a, b in zip(begin[chosen].tolist(), (begin + length)[chosen].tolist())]
-        if self.held > self.most:
+        if self.held > REMEMBERED_BYTES:
             self.known.clear()
             self.held = 0
         missing = [p for p in pieces_ if p not in self.known]
@@ -238,8 +242,8 @@ def tokenised(definition: str, per_block: int, folder: str) -> Callable[[Iterato
 
         def written(block: Block) -> pa.RecordBatch:
             nonlocal counts, seq
-            # Ids at two or four bytes each, filled up to whole words.
-            body = block.ids.tobytes()
+            # Filled up to whole words.
+            body = zstandard.ZstdCompressor(level=1).compress(block.ids.tobytes())
             body += bytes(-len(body) % 8)
             shared_write(f"{folder}/raw", block_name(part, seq), [block.header(len(body) // 8), *block.index(), np.frombuffer(body, np.uint64)])
             counts += np.bincount(block.ids, minlength=len(counts))
@@ -248,7 +252,7 @@ def tokenised(definition: str, per_block: int, folder: str) -> Callable[[Iterato
             return pa.RecordBatch.from_pylist([row], schema)
 
         def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, Iterator[bytes]]]:
-            for some, texts in slices(batch, "text"):
+            for some, texts in slices(batch, "text", STEP_BYTES):
                 doc_ids, read = some.column("doc_id").to_pylist(), [t.decode("utf-8", "replace") for t in texts]
                 if len(read) == 1 and len(read[0]) > PART:
                     yield doc_ids[0], (encode([t])[0] for t in encode.parts(read[0]))
@@ -381,11 +385,37 @@ class Code:
         return out.ravel()[:n]
 
 
+def shared_exists(folder: str, name: str) -> bool:
+    if urlparse(folder).scheme in ("", "file"):
+        return os.path.exists(f"{urlparse(folder).path}/{name}")
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(folder)
+    return system.get_file_info(f"{path}/{name}").type == fs.FileType.File
+
+
+def shared_delete(folder: str, name: str) -> None:
+    """Delete a file that may be gone already."""
+    if not shared_exists(folder, name):
+        return
+    if urlparse(folder).scheme in ("", "file"):
+        try:
+            os.remove(f"{urlparse(folder).path}/{name}")
+        except FileNotFoundError:
+            pass
+        return
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(folder)
+    system.delete_file(f"{path}/{name}")
+
+
 def raw_block(folder: str, part: int, seq: int, kind: str) -> Block:
     """The ids of a block as they were written first."""
     words = shared_read(f"{folder}/raw", block_name(part, seq))
     doc_ids, sizes, (_, _, n, _, before, more), body = parsed(words)
-    return Block(doc_ids, sizes.tolist(), np.asarray(body).view(kind)[:n], before, bool(more))
+    ids = zstandard.ZstdDecompressor().decompress(np.asarray(body).tobytes(), allow_extra_data=True)
+    return Block(doc_ids, sizes.tolist(), np.frombuffer(ids, kind)[:n], before, bool(more))
 
 
 def parsed(words: np.ndarray) -> tuple[list, np.ndarray, list[int], np.ndarray]:
@@ -402,17 +432,25 @@ def parsed(words: np.ndarray) -> tuple[list, np.ndarray, list[int], np.ndarray]:
 
 
 def write_blocks(folder: str, lengths: bytes, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One file per block: header, document ids, whether they are null, sizes, checkpoints, bits."""
+    """One file per block: header, document ids, whether they are null, sizes, checkpoints, bits.
+
+    The raw ids of a block go once its file is there; a repeated attempt finds
+    the file and takes the row from it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(np.frombuffer(lengths, np.uint8))
         for batch in batches:
             rows = []
             for part, seq in zip(batch.column("part").to_pylist(), batch.column("seq").to_pylist()):
-                block = raw_block(folder, part, seq, kind)
-                bits, checkpoints = code.encode(block.ids)
-                shared_write(folder, block_name(part, seq), [block.header(len(bits)), *block.index(), checkpoints, bits])
-                rows.append({"part": part, "seq": seq, "docs": len(block.doc_ids), "ids": len(block.ids), "bits": len(bits) * 64})
+                name = block_name(part, seq)
+                if not shared_exists(folder, name):
+                    block = raw_block(folder, part, seq, kind)
+                    bits, checkpoints = code.encode(block.ids)
+                    shared_write(folder, name, [block.header(len(bits)), *block.index(), checkpoints, bits])
+                shared_delete(f"{folder}/raw", name)
+                _, docs, n, size = (int(x) for x in shared_read(folder, name)[:4])
+                rows.append({"part": part, "seq": seq, "docs": docs, "ids": n, "bits": size * 64})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, pa.int64()) for n in ("part", "seq", "docs", "ids", "bits")]))
 
     return run

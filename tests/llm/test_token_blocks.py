@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from test_operators import SCHEMA, sentence
 
 from ledgerlens.llm import token_files
@@ -40,7 +41,7 @@ def test_long_texts_keep_the_bound(spark, monkeypatch):
     monkeypatch.setattr(token_files, "PART", 400)
     monkeypatch.setattr(token_files, "RANGE_BYTES", 100_000)
     # A slice of one text, so that each is a long one.
-    monkeypatch.setattr(token_files, "slices", lambda batch, text: one_by_one(batch, text))
+    monkeypatch.setattr(token_files, "slices", lambda batch, text, limit: one_by_one(batch, text))
     files = token_files.write_token_files(df, per_block=1000)
     blocks = files.blocks.collect()
     # A part has 400 characters and what follows up to the next place to cut, but for the text without one.
@@ -49,6 +50,18 @@ def test_long_texts_keep_the_bound(spark, monkeypatch):
     assert found == plain(texts)
 
 
+def test_an_attempt_that_comes_again_takes_the_row_from_the_file(spark):
+    texts = [(i, f"text number {i} " * 50) for i in range(40)]
+    df = spark.createDataFrame([(i, t, None, None, 0, 0, 0.0, 0, "", 0) for i, t in texts], SCHEMA)
+    files = token_files.write_token_files(df, per_block=300)
+    code, row = token_files.shared_read(files.folder, "code", np.uint8)[: files.size], files.blocks.orderBy("part", "seq").first()
+    batch = pa.RecordBatch.from_pylist([{"part": row.part, "seq": row.seq}])
+    [again] = token_files.write_blocks(files.folder, code.tobytes(), "<u2")([batch])
+    assert again.to_pylist() == [{c: row[c] for c in ("part", "seq", "docs", "ids", "bits")}]
+    assert not token_files.shared_exists(f"{files.folder}/raw", token_files.block_name(row.part, row.seq))
+    assert sorted((tuple(r) for r in token_files.read_token_files(files).collect()), key=lambda r: r[1]) == plain(texts)
+
+
 def one_by_one(batch, text):
     for i in range(batch.num_rows):
         value = batch.column(text)[i].as_py()
