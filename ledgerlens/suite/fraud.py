@@ -14,6 +14,7 @@ from ledgerlens.plans.lookup import as_lookup, lookup_default
 from ledgerlens.session import scratch_path, written
 from ledgerlens.sources import roles
 from ledgerlens.sources.models import log_run, read_runs
+from ledgerlens.sources.payloads import open_payloads, payload_schema
 from ledgerlens.sources.roles import load
 from ledgerlens.sources.tables import explode_records, load_csv, save, save_csv, spread
 from ledgerlens.suite import sql
@@ -331,6 +332,33 @@ UNION ALL
 SELECT event_id, false, NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 = 0"""
 
 
+def _event_payloads(spark, d):
+    """Events as payloads: nested, with fields that only some have, and some cut off."""
+    whole = F.to_json(F.struct(
+        F.col("event_id").alias("id"),
+        F.struct(F.col("value").alias("overall"), F.array("user_id", "event_id").alias("ids")).alias("scores"),
+        F.when(F.expr("event_id % 3 = 0"), F.struct(F.col("event_type").alias("kind"))).alias("note"),
+        F.when(F.expr("event_id % 4 = 0"), F.col("user_id")).alias("user"),
+    ))
+    return load(spark, "events", d).select("event_id", F.when(F.expr("event_id % 10 = 0"), F.left(whole, F.lit(15))).otherwise(whole).alias("payload"))
+
+
+QUERIES["open_payloads"] = lambda spark, d: open_payloads(
+    _event_payloads(spark, d), "payload", {"id": ("$.id", "bigint"), "overall": ("$.scores.overall", "double"), "second": ("$.scores.ids[1]", "bigint")}, ["event_id"]
+).select("event_id", "valid", "id", "overall", "second", F.try_element_at("other", F.lit("note")).alias("note"), F.coalesce(F.size("other"), F.lit(-1)).alias("n_other"))
+ORACLE["open_payloads"] = """SELECT event_id, event_id % 10 <> 0 AS valid, CASE WHEN event_id % 10 <> 0 THEN event_id END AS id,
+CASE WHEN event_id % 10 <> 0 THEN value END AS overall, CASE WHEN event_id % 10 <> 0 THEN event_id END AS second,
+CASE WHEN event_id % 10 <> 0 AND event_id % 3 = 0 THEN '{"kind":"' || event_type || '"}' END AS note,
+CASE WHEN event_id % 10 = 0 THEN -1 ELSE (event_id % 3 = 0)::INTEGER + (event_id % 4 = 0)::INTEGER END AS n_other FROM events"""
+
+# How many digits a decimal has follows from the values.
+QUERIES["payload_schema"] = lambda spark, d: payload_schema(_event_payloads(spark, d), "payload").withColumn(
+    "schema", F.regexp_replace("schema", r"DECIMAL\(\d+,\d+\)", "DECIMAL")
+)
+ORACLE["payload_schema"] = """SELECT count(*) AS n_rows, count(*) FILTER (WHERE event_id % 10 <> 0) AS n_valid,
+'OBJECT<id: BIGINT, note: OBJECT<kind: STRING>, scores: OBJECT<ids: ARRAY<BIGINT>, overall: DECIMAL>, user: BIGINT>' AS schema FROM events"""
+
+
 def _table_roundtrip(spark, d):
     """A table that is replaced by another schema and read back."""
     rows = roles.txn(spark, d, labels=False).select("txn_id", *RAW)
