@@ -515,5 +515,5 @@ def test_jaccard_in_hot_groups(spark, monkeypatch):
 
 def test_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)
     assert "corpus_pipeline" in sys.modules or __import__("corpus_pipeline").STAGES
