@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import prompts
-from ledgerlens.operators import documents, evaluation, loans, retrieval, vector_index
+from ledgerlens.operators import documents, evaluation, loans, retrieval, term_index, vector_index
 from ledgerlens.operators.quality import first_rows
 from ledgerlens.plans import answers
 from ledgerlens.plans.documents import build_layers
@@ -135,6 +135,26 @@ ORACLE["index_sync"] = """SELECT CAST(sync AS INTEGER) AS sync, change, count(*)
     UNION ALL SELECT 3, 'gone' FROM embeddings WHERE vec_id % 3 = 0) GROUP BY ALL"""
 
 
+def _term_search(spark, d):
+    """Benchmark items as questions to all documents."""
+    index = term_index.build_terms(roles.load(spark, "documents", d), "doc_id", "text")
+    questions = roles.load(spark, "benchmark", d).withColumnRenamed("item_id", "query_id")
+    return term_index.search_terms(index, questions, "text")
+
+
+QUERIES["term_search"] = lambda spark, d: _term_search(spark, d).hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
+ORACLE["term_search"] = """WITH words AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM documents WHERE doc_id IS NOT NULL),
+p AS (SELECT doc_id, term, count(*) AS n FROM words WHERE term <> '' GROUP BY ALL),
+r AS (SELECT term, CAST(round(1000 * ln(1 + (SELECT count(DISTINCT doc_id) FROM p) / count(*)::DOUBLE)) AS BIGINT) AS rarity FROM p GROUP BY term),
+asked AS (SELECT item_id AS query_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM benchmark),
+q AS (SELECT query_id, term, count(*) AS n FROM asked WHERE term <> '' GROUP BY ALL),
+s AS (SELECT query_id, doc_id, CAST(sum(q.n * p.n * rarity) AS BIGINT) AS score FROM q JOIN p USING (term) JOIN r USING (term) GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM
+(SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10""".replace("\\\\", "\\")
+
+QUERIES["term_search_effort"] = lambda spark, d: _term_search(spark, d).effort
+
+
 def _indexed(spark, d):
     """The stored chunks, the term weights fitted on them, and the benchmark passages as questions."""
     chunks = spread(written(_gold(spark, d), "chunks"), "chunk_id")
