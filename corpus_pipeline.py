@@ -43,6 +43,11 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows but those whose text scores at least the threshold.
+
+    Null and empty texts stay, as do texts that score low under any id, null
+    ids included. Repeated rows stay or go together.
+    """
     model = toxicity.fit(docs, table(spark, "labels", sf_dir))
     scored = toxicity.score(docs, model)
     return without(docs, scored.filter(col("score") >= toxicity.THRESHOLD))
@@ -61,6 +66,11 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows but those in which a passage of a benchmark item is found.
+
+    Null and empty texts stay. An id with several texts loses only those that
+    hold a passage, whether the id is null or not; repeated rows go together.
+    """
     return without(docs, decontaminate.contaminated(docs, table(spark, "benchmark", sf_dir)))
 
 
@@ -75,6 +85,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write the ids of all texts to files, and list what the files hold: a row for every row given, repeated ones too.
+
+    Null and empty texts have the end id only; a null id comes last.
+    """
     return token_files.op3_token_files(docs)
 
 
