@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import decide, preview
-from ledgerlens.operators import metrics, quality
+from ledgerlens.operators import metrics, quality, score_sketch
 from ledgerlens.operators.training import binary_metrics
 from ledgerlens.session import written
 from ledgerlens.sources import roles
@@ -73,6 +73,20 @@ ORACLE["best_threshold"] = sql.query(
     *_SCORED, _SWEEP,
 )
 
+def _sketched_threshold(spark, d):
+    """The threshold from three merged sketches beside the exact one: how many rows, and whether F1 is within the stated error."""
+    rows = scored(spark, d).select("txn_id", "is_fraud", "fraud_probability")
+    whole = score_sketch.merged(*(score_sketch.score_sketch(rows.filter(f"txn_id % 3 = {i}")) for i in range(3)))
+    found = score_sketch.sketched_threshold(whole)
+    exact = metrics.pr_threshold(rows).select("f1").scalar()
+    return found.select(
+        rows.agg(F.count("*")).scalar().alias("n_rows"), ((exact - F.col("f1") <= F.col("f1_error") + 1e-9) & (F.col("f1") <= exact + 1e-9)).alias("within")
+    )
+
+
+QUERIES["sketched_threshold"] = _sketched_threshold
+ORACLE["sketched_threshold"] = sql.query("SELECT count(*) AS n_rows, true AS within FROM txn", sql.TXN)
+
 QUERIES["pr_threshold"] = lambda spark, d: rounded(metrics.pr_threshold(scored(spark, d)))
 ORACLE["pr_threshold"] = sql.query(
     """SELECT round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
