@@ -12,11 +12,13 @@ similar sets can; then the sets themselves are compared.
 Equal sets are one node from the start. Nodes that share a token and a range of
 sizes are compared with one of them first (a star, not all pairs). Links found
 so are contracted to components. What remains are groups that still hold
-several components: small ones give their pairs across components, large ones
-are dealt into blocks and each pair of blocks is compared in a task, which
-gives for a node and a foreign component the closest candidates only. That is
-repeated, with more candidates each time, until none is left that was not
-compared; components are then exact.
+several components: small ones give their pairs across components. Large ones
+are dealt into blocks; a task compares the whole sets of a block, or of two,
+and gives a spanning forest of the links it finds, fewer rows than it has read.
+Blocks by themselves come first, so that families of copies are contracted
+before blocks meet. A group of several blocks is divided by the prefix tokens
+of the further orders where that leaves less to compare, and of groups with
+the same members one is kept.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
@@ -43,9 +45,12 @@ ORDERS = 2
 # Cells of the frequency sketch, at most; one byte each is sent to the tasks.
 MAX_CELLS = 1 << 20
 TOKENS_PER_CELL = 64
-# Groups up to this size give their pairs; larger ones are compared in blocks of BLOCK.
+# Groups up to this size give their pairs; larger ones are compared in blocks of BLOCK nodes and VOLUME tokens.
 SMALL = 64
 BLOCK = 512
+VOLUME = 1 << 19
+# Columns of the matrix in which a task counts shared tokens.
+COLUMNS = 4096
 SEEDS = tuple(np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89))
 
 
@@ -162,8 +167,8 @@ def parity(tokens: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
-def full_sets(levels: np.ndarray, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Set, parity sketch and the prefixes under the other orders."""
+def sketched(levels: np.ndarray, k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Parity sketch and the prefixes under the other orders, of which 32 bits are enough for a filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,18 +176,27 @@ def full_sets(levels: np.ndarray, k: int, percent: int) -> Callable[[Iterator[pa
                 sets = token_sets(part, k)
                 sketches = [parity(s, 1 << max(6, (2 * len(s) - 1).bit_length())).tobytes() for s in sets]
                 others = [
-                    pa.array([prefix(s, levels, o, percent).view(np.int64) for s in sets], pa.list_(pa.int64()))
+                    pa.array([prefix(s, levels, o, percent).astype(np.uint32).view(np.int32) for s in sets], pa.list_(pa.int32()))
                     for o in range(1, ORDERS + 1)
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                     pa.array(sketches, pa.binary()), *others],
-                    ["node", "n", "tokens", "sketch", *[f"other{o}" for o in range(1, ORDERS + 1)]],
+                    [part.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sketches, pa.binary()), *others],
+                    ["node", "n", "sketch", *[f"other{o}" for o in range(1, ORDERS + 1)]],
                 )
 
     return run
 
 
+def whole_sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, _ in slices(batch, "text"):
+                sets = [s.tobytes() for s in token_sets(part, k)]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], ["node", "tokens"])
+
+    return run
+
+
 def linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Compare the sets of each pair."""
 
@@ -220,47 +234,58 @@ def near(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
-def close_blocks(percent: int, most: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Candidates across components among the nodes of two blocks of one group.
-
-    For a node and a foreign component the ``most`` closest by sketch, and
-    whether there were more.
-    """
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = rows["_i"].iloc[0], rows["_j"].iloc[0]
-        sizes = [8 * len(x) for x in rows["sketch"]]
-        bits = min(sizes)
-        # A larger sketch folds onto a smaller one.
-        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, bits // 8)) for x in rows["sketch"]])
-        node, root, n = (rows[c].to_numpy() for c in ("node", "root", "n"))
-        others = [[np.array(x) for x in rows[f"other{o}"]] for o in range(1, ORDERS + 1)]
-        least = -(-percent * (n[:, None] + n[None, :]) // (100 + percent))
-        apart = n[:, None] + n[None, :] - 2 * least
-        block = rows["_block"].to_numpy()
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of every two sets, as a product of 0-1 matrices, some columns at a time."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # A token of one set counts for no pair, a token of all sets for each.
+    total = np.full((len(sets), len(sets)), float((often == len(sets)).sum()), np.float32)
+    columns = np.where((often > 1) & (often < len(sets)), 0, -1)
+    columns[columns == 0] = np.arange((columns == 0).sum())
+    at = columns[at]
+    rows, at = rows[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    rows, at = rows[order], at[order]
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, [start, start + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[rows[a:b], at[a:b] - start] = 1
+        total += held @ held.T
+    return total.astype(np.int64)
+
+
+def forest(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Links across components among the nodes of one block or two, as a spanning forest."""
+
+    def run(given: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in given["tokens"]]
+        node, root, block = (given[c].to_numpy() for c in ("node", "root", "_block"))
+        n = np.array([len(x) for x in sets])
+        shared = shared_counts(sets)
+        same = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+        if given["_i"].iloc[0] != given["_j"].iloc[0]:
+            # What lies in one block has been compared.
+            same &= block[:, None] != block[None, :]
+        tied = root[:, None] == root[None, :]
+        same &= ~tied
+        seen = np.zeros(len(node), bool)
         out = []
-        for a in np.flatnonzero(block == left):
-            rest = np.flatnonzero((block == right) & (root != root[a]) & (node != node[a]))
-            if not len(rest):
-                continue
-            distance = np.bitwise_count(folded[rest] ^ folded[a]).sum(1, dtype=np.int64)
-            close = distance <= apart[a, rest]
-            close &= 100 * np.minimum(n[a], n[rest]) >= percent * np.maximum(n[a], n[rest])
-            rest, distance = rest[close], distance[close]
-            given: dict[int, int] = {}
-            for b in rest[np.argsort(distance, kind="stable")].tolist():
-                have = given.get(root[b], 0)
-                if have > most:
-                    continue
-                if all(len(np.intersect1d(o[a], o[b], assume_unique=True)) for o in others):
-                    given[root[b]] = have + 1
-                    out.append((min(node[a], node[b]), max(node[a], node[b]), have >= most))
-        return pd.DataFrame(out, columns=["u", "v", "more"]).astype({"u": "int64", "v": "int64", "more": "bool"})
+        for start in range(len(node)):
+            queue = [] if seen[start] else [start]
+            seen[start] = True
+            while queue:
+                x = queue.pop()
+                for y in np.flatnonzero((same[x] | tied[x]) & ~seen).tolist():
+                    seen[y] = True
+                    queue.append(y)
+                    if same[x, y]:
+                        out.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pd.DataFrame(out, columns=["u", "v"]).astype({"u": "int64", "v": "int64"})
 
     return run
 
 
-def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def compare(pairs: DataFrame, sets: DataFrame, whole: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """(u, v, same): whether each candidate pair is linked; pairs that a filter drops are left out.
 
     Filters are the sizes, a shared prefix token under each of the other orders, and the parity sketches.
@@ -272,7 +297,7 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     for o in range(1, ORDERS + 1):
         shared = shared & F.arrays_overlap(f"_o{o}", f"_p{o}")
     met = pairs.join(a, "u").join(b, "v").filter(shared).select("u", "v", "_n", "_m", "_sa", "_sb")
-    return compare_all(met.mapInArrow(near(percent), "u long, v long"), sets, percent)
+    return compare_all(met.mapInArrow(near(percent), "u long, v long"), whole, percent)
 
 
 def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -310,20 +335,27 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     number = F.coalesce("doc_id", F.lit(-(2**63))).alias("_doc")
     texts = nodes.select("node", "tid", number).groupBy("node").agg(F.min("_doc").alias("_doc"), F.min_by("tid", "_doc").alias("tid"))
     wanted = stored(members.select("node").distinct().join(texts, "node"), "jaccard-wanted")
-    found = narrowed(given.select(number, "tid", "text"), wanted, ["_doc", "tid"]).select("node", "text")
-    if rows.select("doc_id", "tid").distinct().count() < rows.count():
+    repeated = rows.select("doc_id", "tid").distinct().count() < rows.count()
+
+    def texts(some: DataFrame) -> DataFrame:
+        found = narrowed(given.select(number, "tid", "text"), some, ["_doc", "tid"]).select("node", "text")
         # Repeated rows: one of them is enough.
-        found = found.dropDuplicates(["node"])
+        return found.dropDuplicates(["node"]) if repeated else found
+
+    def whole(some: DataFrame) -> DataFrame:
+        """(node, tokens) of a table of distinct nodes. Sets are larger than their texts, so only those asked for are made."""
+        asked = stored(wanted.join(some, "node"), "jaccard-asked")
+        return stored(texts(asked).mapInArrow(whole_sets(k), "node long, tokens binary"), "jaccard-whole")
+
     sets = stored(
-        found.mapInArrow(
-            full_sets(levels, k, percent),
-            "node long, n long, tokens binary, sketch binary, " + ", ".join(f"other{o} array<long>" for o in range(1, ORDERS + 1)),
+        texts(wanted).mapInArrow(
+            sketched(levels, k, percent), "node long, n long, sketch binary, " + ", ".join(f"other{o} array<int>" for o in range(1, ORDERS + 1))
         ),
         "jaccard-sets",
     )
 
     star = members.filter(col("node") != col("hub")).select(col("hub").alias("u"), col("node").alias("v")).distinct()
-    checked = stored(compare(star, sets, percent), "jaccard-star")
+    checked = stored(compare(star, sets, whole, percent), "jaccard-star")
     links = checked.filter("same").select("u", "v")
     roots = stored(components(links), "jaccard-roots")
 
@@ -336,26 +368,20 @@ def similar_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         .filter((col("u") < col("v")) & (col("_ru") != col("_rv")) & (F.least("_nu", "_nv") * 100 >= F.greatest("_nu", "_nv") * percent))
         .select("u", "v").distinct().join(checked.select("u", "v"), ["u", "v"], "left_anti")
     )
-    found = stored(compare(across, sets, percent).filter("same").select("u", "v"), "jaccard-small")
+    found = stored(compare(across, sets, whole, percent).filter("same").select("u", "v"), "jaccard-small")
     links = links.unionByName(found)
 
-    # Large groups: blocks, until nothing is left to compare.
-    large = stored(members.filter(col("size") > SMALL).select("token", "band", "node", "size"), "jaccard-large")
-    if not large.isEmpty():
-        most = 2
-        while True:
-            roots = stored(components(links), "jaccard-roots")
-            candidates, more = across_blocks(large, sets, roots, percent, most)
-            fresh = candidates.join(checked.select("u", "v"), ["u", "v"], "left_anti")
-            result = stored(compare_all(fresh, sets, percent), "jaccard-round")
-            if result.isEmpty():
-                if not more:
-                    break
-                most *= 4
-                continue
-            checked = checked.unionByName(result)
-            links = links.unionByName(result.filter("same").select("u", "v"))
-            most *= 2
+    # Large groups: each block by itself, then blocks with one another.
+    large = members.filter(col("size") > SMALL).select(F.xxhash64("token", "band").alias("key"), "node", "n")
+    for step in (alone, together):
+        roots = stored(components(links), "jaccard-roots")
+        left = stored(open_groups(large, roots), "jaccard-large")
+        if left.isEmpty():
+            break
+        paired = stored(step(left, sets), "jaccard-blocks")
+        full = paired.join(whole(paired.select("node").distinct()), "node")
+        found = full.groupBy("key", "_i", "_j").applyInPandas(forest(percent), "u long, v long")
+        links = links.unionByName(stored(found.distinct(), "jaccard-forest"))
     roots = stored(components(links), "jaccard-roots")
 
     named = with_roots(nodes.select("node", "doc_id"), roots)
@@ -372,34 +398,71 @@ def with_roots(df: DataFrame, roots: DataFrame) -> DataFrame:
     return df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def compare_all(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def compare_all(pairs: DataFrame, whole: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Like ``compare`` for pairs that passed the filters already."""
     pairs = stored(pairs, "jaccard-pairs")
-    asked = stored(pairs.select(col("u").alias("node")).union(pairs.select("v")).distinct(), "jaccard-asked")
     # Only the sets that take part are shuffled.
-    some = stored(narrowed(sets.select("node", "tokens"), asked, ["node"]), "jaccard-some")
+    some = whole(pairs.select(col("u").alias("node")).union(pairs.select("v")).distinct())
     full = pairs.join(some.select(col("node").alias("u"), col("tokens").alias("ta")), "u").join(
         some.select(col("node").alias("v"), col("tokens").alias("tb")), "v"
     )
     return full.select("u", "v", "ta", "tb").mapInArrow(linked(percent), "u long, v long, same boolean")
 
 
-def across_blocks(large: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, most: int) -> tuple[DataFrame, bool]:
-    """Candidate pairs across components of the large groups, and whether some were left for later."""
-    placed = stored(with_roots(large, roots), "jaccard-placed")
-    open_groups = placed.groupBy("token", "band").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter(col("_a") < col("_b"))
-    blocks = F.ceil(col("size") / F.lit(BLOCK)).cast("int")
-    dealt = placed.join(open_groups.select("token", "band"), ["token", "band"]).withColumn("_block", bucket(blocks, "node"))
-    # A block meets every block of its group once.
-    paired = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    paired = paired.withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")}).drop("_other", "size")
-    inside = stored(large.select("node").distinct(), "jaccard-inside")
-    full = paired.join(narrowed(sets.drop("tokens"), inside, ["node"]), "node")
-    found = stored(
-        full.groupBy("token", "band", "_i", "_j").applyInPandas(close_blocks(percent, most), "u long, v long, more boolean"),
-        "jaccard-blocks",
+def block_count(size: str, volume: str) -> Column:
+    return F.greatest(F.ceil(col(size) / F.lit(BLOCK)), F.ceil(col(volume) / F.lit(VOLUME))).cast("long")
+
+
+def open_groups(members: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """(key, node, n, root, blocks) of the groups that hold several components; of equal groups one."""
+    placed = members if roots is None else with_roots(members, roots)
+    placed = stored(placed.select("key", "node", "n", "root"), "jaccard-placed")
+    mark = F.xxhash64("node")
+    groups = (
+        placed.groupBy("key")
+        .agg(
+            F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("volume"),
+            F.bit_xor(mark).alias("_x"), F.bit_xor(F.xxhash64(mark, F.lit(1))).alias("_y"),
+        )
+        .filter(col("_a") < col("_b"))
     )
-    return found.filter(~col("more")).select("u", "v").distinct(), not found.filter("more").isEmpty()
+    # The same members: the same number of them, and 128 bits of their marks.
+    kept = groups.groupBy("size", "_x", "_y").agg(F.min("key").alias("key"), F.first("volume").alias("volume"))
+    return placed.join(kept.select("key", block_count("size", "volume").alias("blocks"), "size"), "key")
+
+
+def alone(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every node in its own block."""
+    block = F.pmod(F.xxhash64("node"), col("blocks")).cast("int")
+    return groups.select("key", "node", "root", block.alias("_block"), block.alias("_i"), block.alias("_j"))
+
+
+def together(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every node beside each other block of its group; groups are divided first where that leaves less to compare.
+
+    Linked nodes share a prefix token under every order, so they stay together
+    in one of the parts.
+    """
+    columns = ["key", "node", "n", "root", "size", "blocks", "_new"]
+    groups = groups.filter(col("blocks") > 1).withColumn("_new", F.lit(False)).select(*columns)
+    for o in range(1, ORDERS + 1):
+        large = groups.filter(col("blocks") > 1)
+        other = sets.select("node", F.explode(f"other{o}").alias("_t"))
+        parts = large.join(other, "node").select(col("key").alias("_of"), F.xxhash64("key", "_t").alias("key"), "node", "n", "root")
+        sizes = parts.groupBy("_of", "key").agg(F.count(F.lit(1)).alias("_s"), F.sum("n").alias("_v")).filter(col("_s") > 1)
+        cost = sizes.groupBy("_of").agg(F.sum(col("_s") * block_count("_s", "_v")).alias("_cost"))
+        costs = large.select(col("key").alias("_of"), "size", "blocks").distinct().join(cost, "_of", "left")
+        divided = stored(costs.filter(F.coalesce("_cost", F.lit(0)) < col("size") * col("blocks")).select("_of"), "jaccard-divided")
+        if divided.isEmpty():
+            continue
+        rest = groups.join(divided.withColumnRenamed("_of", "key"), "key", "left_anti").select(*columns)
+        fresh = open_groups(parts.join(divided, "_of")).withColumn("_new", F.lit(True)).select(*columns)
+        groups = stored(rest.unionByName(fresh), "jaccard-parts")
+    met = groups.withColumn("_block", F.pmod(F.xxhash64("node"), col("blocks")).cast("int"))
+    # A block meets every other block of its group once; blocks of a new part have not been compared by themselves.
+    met = met.withColumn("_other", F.explode(F.sequence(F.lit(0), (col("blocks") - 1).cast("int"))))
+    met = met.filter((col("_other") != col("_block")) | col("_new"))
+    return met.select("key", "node", "root", "_block", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"))
 
 
 def op10_jaccard(docs: DataFrame) -> DataFrame:

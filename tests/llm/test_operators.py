@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from oracle import connect, differences
 
@@ -513,6 +514,42 @@ def test_jaccard_in_hot_groups(spark, monkeypatch):
     assert sorted((tuple(r) for r in found), key=repr) == brute_components(rows)
 
 
+def test_jaccard_divides_hot_groups(spark, monkeypatch):
+    """Blocks of few rows and columns; families that share a hot token under one order and none under another."""
+    for name, value in (("SMALL", 4), ("BLOCK", 8), ("COLUMNS", 5)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(5)
+    rows = []
+    for family in range(12):
+        base = sentence(rng, 60)
+        rows += [(100 * family + i, edited(rng, base, rng.choice([0, 1, 2, 3, 6])) + " the same last words") for i in range(15)]
+    # One frequency level for all tokens: prefixes hold frequent tokens too.
+    monkeypatch.setattr(jaccard, "token_levels", lambda docs, k: np.zeros(1 << 12, np.uint8))
+    found = jaccard.op10_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute_components(rows)
+
+
+def test_jaccard_of_many_near_copies(spark):
+    """More near copies than a block holds, most of them close to the limit."""
+    rng = random.Random(8)
+    base = sentence(rng, 90)
+    rows = [(i, edited(rng, base, rng.choice([1, 2, 3, 4]))) for i in range(1200)]
+    found = jaccard.op10_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute_components(rows)
+
+
+def test_a_forest_ties_what_is_linked():
+    rng = np.random.default_rng(3)
+    tokens = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
+    sets = [np.sort(rng.choice(tokens, rng.integers(60, 64), replace=False)) for _ in range(20)]
+    sets += [np.sort(np.concatenate([s[:-1], tokens[:1]])) if tokens[0] not in s else s for s in sets]
+    counts = jaccard.shared_counts(sets)
+    assert all(counts[a, b] == len(np.intersect1d(x, y)) for a, x in enumerate(sets) for b, y in enumerate(sets))
+    rows = pd.DataFrame({"tokens": [s.tobytes() for s in sets], "node": range(40), "root": range(40), "_block": 0, "_i": 0, "_j": 0})
+    links = jaccard.forest(90)(rows)
+    assert len(links) < 40 and {(i, i + 20) for i in range(20)} <= set(map(tuple, links.values.tolist()))
+
+
 def test_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)
