@@ -538,6 +538,24 @@ def test_jaccard_of_many_near_copies(spark):
     assert sorted((tuple(r) for r in found), key=repr) == brute_components(rows)
 
 
+def test_a_hot_group_is_divided_by_further_orders(spark, monkeypatch):
+    """Nodes that share a prefix token under every order still meet, and less is read than without dividing."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    sets = [(i, 50, [i % 6, 100 + i % 3], [i % 6 + (i % 12 >= 6) * 50]) for i in range(48)]
+    members = spark.createDataFrame([(1, i, n, i) for i, n, _, _ in sets], "key long, node long, n long, root long")
+    groups = jaccard.stored(jaccard.open_groups(members), "test-groups")
+    met = jaccard.together(groups, spark.createDataFrame(sets, "node long, n long, other1 array<int>, other2 array<int>")).collect()
+    assert met and 1 not in {r["key"] for r in met}
+    tasks = defaultdict(list)
+    for r in met:
+        tasks[r["key"], r["_i"], r["_j"]].append((r["node"], r["_block"]))
+    pairs = {
+        (a, b) for (_, i, j), rows in tasks.items() for a, x in rows for b, y in rows if a < b and (i == j or x != y)
+    }
+    wanted = {(a[0], b[0]) for a in sets for b in sets if a[0] < b[0] and set(a[2]) & set(b[2]) and set(a[3]) & set(b[3])}
+    assert wanted <= pairs and len(pairs) < 48 * 47 / 2
+
+
 def test_a_forest_ties_what_is_linked():
     rng = np.random.default_rng(3)
     tokens = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
