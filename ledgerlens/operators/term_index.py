@@ -5,11 +5,13 @@ term's rarity in whole thousandths, so scores are whole numbers and equal in
 any order of summation. Rows are dealt into blocks by the rarest term they
 have, which keeps rows about one subject together. For every term and block
 the largest weight is stored; the sum over a query's terms bounds the score of
-every row in the block.
+every row in the block. Texts, and then rows with lists of their terms, are
+what is shuffled to build it; single postings are not, but for their maxima.
 
 A search scores a few blocks with the highest bounds, takes the k-th score
-found as the floor, and then scores only blocks whose bound reaches it. Joins
-are by term and block, so postings of skipped blocks meet no query.
+found as the floor, and then scores only blocks whose bound reaches it: every
+block has bits for the queries it is open to, and its postings meet no others.
+A row's scores are summed in one task, which hands on its k best.
 
 Rows and queries without an id or without terms take no part. Ids must be
 unique. Equal scores go to the smaller id.
@@ -27,6 +29,8 @@ from ledgerlens.session import written
 # What stands between terms.
 BETWEEN = r"[^\p{L}\p{N}]+"
 ROWS_PER_BLOCK = 16
+# Parts into which the rows of a block are dealt for scoring, so that a large one is several tasks' work.
+PARTS = 8
 
 
 def terms(text: str) -> Column:
@@ -34,8 +38,9 @@ def terms(text: str) -> Column:
 
 
 def counted(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, n) of every term of a row."""
-    listed = df.filter(F.col(key).isNotNull()).select(key, F.explode(terms(text)).alias("term"))
+    """(key, term, n) of every term of a row; texts of a key meet before they are split, so that no term is shuffled."""
+    met = df.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
+    listed = met.select(key, F.explode(terms(text)).alias("term"))
     return listed.groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
@@ -49,17 +54,21 @@ class TermIndex:
 
 def build_terms(rows: DataFrame, id_col: str, text: str, per_block: int = ROWS_PER_BLOCK) -> TermIndex:
     """Index the texts of all rows."""
-    found = written(counted(rows.select(F.col(id_col).alias("id"), text), "id", text), "terms")
-    held = found.groupBy("term").agg(F.count("*").alias("df"))
-    total = found.agg(F.countDistinct("id")).scalar()
-    weighed = held.select("term", F.round(1000 * F.log(1 + total / F.col("df"))).cast("long").alias("rarity"))
-    met = written(found.join(weighed, "term"), "weighed-terms")
+    found = counted(rows.select(F.col(id_col).alias("id"), text), "id", text)
+    found = written(found.groupBy("id").agg(F.collect_list(F.struct("term", "n")).alias("words")), "terms")
+    words = found.select("id", F.explode("words").alias("_w")).select("id", "_w.term", "_w.n")
+    total = found.agg(F.count("*")).scalar()
+    held = words.groupBy("term").agg(F.count("*").alias("df"))
+    rarity = written(held.select("term", F.round(1000 * F.log(1 + total / F.col("df"))).cast("long").alias("rarity")), "rarity")
     # A row's rarest term, the smallest of equally rare ones.
-    rarest = met.groupBy("id").agg(F.min(F.struct(-F.col("rarity"), "term")).alias("_r"))
+    placed = words.join(rarity, "term").groupBy("id").agg(
+        F.min(F.struct(-F.col("rarity"), "term")).alias("_r"),
+        F.collect_list(F.struct("term", (F.col("n") * F.col("rarity")).alias("weight"))).alias("words"),
+    )
     blocks = F.greatest(F.ceil(total / F.lit(per_block)), F.lit(1)).cast("long")
-    placed = rarest.select("id", F.pmod(F.xxhash64("_r.term"), blocks).alias("block"))
-    postings = met.join(placed, "id").select("term", "block", "id", (F.col("n") * F.col("rarity")).alias("weight"))
-    postings = written(postings.repartitionByRange("term", "block").sortWithinPartitions("term", "block"), "postings")
+    listed = placed.select(F.pmod(F.xxhash64("_r.term"), blocks).alias("block"), "id", F.explode("words").alias("_w"))
+    postings = listed.select("_w.term", "block", "id", "_w.weight")
+    postings = written(postings.sortWithinPartitions("term", "block"), "postings")
     maxima = written(postings.groupBy("term", "block").agg(F.max("weight").alias("most")), "maxima")
     return TermIndex(postings, maxima)
 
@@ -70,11 +79,25 @@ def bounds(index: TermIndex, asked: DataFrame) -> DataFrame:
     return met.groupBy("query_id", "block").agg(F.sum(F.col("n") * F.col("most")).alias("bound"))
 
 
-def scores(index: TermIndex, asked: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(query_id, id, score) of all rows of the given (query_id, block) that have a term of the query."""
-    wanted = asked.join(blocks.select("query_id", "block"), "query_id")
-    met = wanted.join(index.postings, ["term", "block"])
-    return met.groupBy("query_id", "id").agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
+def numbered(asked: DataFrame) -> DataFrame:
+    """(query_id, slot, bit): a place for each query in words of 64 bits. One row a query passes through one task."""
+    at = F.row_number().over(Window.orderBy("query_id")) - 1
+    return asked.select("query_id").distinct().select("query_id", F.floor(at / 64).cast("int").alias("slot"), (at % 64).alias("bit"))
+
+
+def scores(index: TermIndex, asked: DataFrame, places: DataFrame, blocks: DataFrame, many: bool) -> DataFrame:
+    """(query_id, id, score) of all rows of the given (query_id, block) that have a term of the query.
+
+    With ``many`` blocks the postings of asked terms are shuffled once, and no
+    row's parts of a score; with few, the blocks may be sent to all tasks.
+    """
+    open_to = blocks.join(places, "query_id").groupBy("block", "slot").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    open_to = open_to.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    known = index.postings.join(asked.select("term").distinct(), "term", "left_semi")
+    known = known.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int"))
+    near = known.join(open_to.hint("merge") if many else open_to, ["block", "part"])
+    met = near.join(asked.join(places, "query_id"), ["term", "slot"]).filter("(shiftright(bits, bit) & 1) = 1")
+    return met.groupBy("query_id", "block", "part", "id").agg(F.sum(F.col("n") * F.col("weight")).alias("score")).select("query_id", "id", "score")
 
 
 @dataclass
@@ -88,15 +111,16 @@ class Search:
 def search_terms(index: TermIndex, queries: DataFrame, text: str, k: int = 10, first: int = 4) -> Search:
     """The exact ``k`` best rows of each query (query_id, text)."""
     asked = written(counted(queries, "query_id", text), "asked-terms")
+    places = written(numbered(asked), "query-places")
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
     ranked = written(bounds(index, asked).withColumn("_n", F.row_number().over(by_bound)), "bounds")
-    seeds = written(scores(index, asked, ranked.filter(F.col("_n") <= first)), "seeds")
+    seeds = written(scores(index, asked, places, ranked.filter(F.col("_n") <= first), False), "seeds")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     floors = seeds.withColumn("_n", F.row_number().over(by_score)).filter(F.col("_n") == k).select("query_id", F.col("score").alias("floor"))
     # A row that equals the floor may have a smaller id, so its block is read as well.
     open_ = ranked.filter(F.col("_n") > first).join(floors, "query_id", "left").filter(F.col("bound") >= F.coalesce("floor", F.lit(0)))
     open_ = written(open_.select("query_id", "block"), "open-blocks")
-    every = seeds.unionByName(scores(index, asked, open_))
+    every = seeds.unionByName(scores(index, asked, places, open_, True))
     hits = every.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
     read = ranked.filter(F.col("_n") <= first).select("query_id", "block").unionByName(open_).groupBy("query_id").agg(F.count("*").alias("scored"))
     effort = ranked.groupBy("query_id").agg(F.count("*").alias("blocks")).join(read, "query_id")

@@ -43,3 +43,21 @@ def test_nothing_to_find(spark):
     none = spark.createDataFrame([], "doc long, body string")
     asked = spark.createDataFrame([(1, "a")], "query_id long, body string")
     assert term_index.search_terms(term_index.build_terms(none, "doc", "body"), asked, "body").hits.count() == 0
+
+
+def test_queries_beyond_one_word_of_bits(spark):
+    """Places of 150 queries take three words; open blocks and a large block of equal texts are scored in parts."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(6))) for i in range(150)] + [(1000 + i, "same few words w1") for i in range(90)]
+    queries = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(3))) for i in range(149)] + [(900, "same w1")]
+    given, asked = spark.createDataFrame(rows, "doc long, body string"), spark.createDataFrame(queries, "query_id long, body string")
+    found = term_index.search_terms(term_index.build_terms(given, "doc", "body", 4), asked, "body", 3, 1)
+    assert sorted((r.query_id, r["rank"], r.id, r.score) for r in found.hits.collect()) == plain(rows, queries, 3)
+
+
+def test_terms_are_counted_where_their_text_is(spark):
+    given = spark.createDataFrame([(1, "a b a"), (1, "a c"), (2, "b")], "doc long, body string")
+    found = term_index.counted(given, "doc", "body")
+    assert sorted(map(tuple, found.collect())) == [(1, "a", 3), (1, "b", 1), (1, "c", 1), (2, "b", 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(doc#\d+L?, term", plan)
