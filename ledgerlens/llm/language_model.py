@@ -2,8 +2,8 @@
 
 Level 1 holds the words: their 64-bit hashes as a monotone Elias-Fano sequence
 (a word's number is its rank), their exact counts and the share of probability
-that is left to the shorter context. Level 2 holds the word pairs that occur
-often enough: the contexts that have successors, monotone pointers to their
+that is left to the shorter context. Level 2 holds the word pairs, those that
+occur once as well: the contexts that have successors, monotone pointers to their
 ranges, and the successors as one monotone sequence, made so by adding a
 multiple of the vocabulary's size for each context before, so that a pair is
 found by a search relative to its context. Probabilities are quantised to a
@@ -50,7 +50,7 @@ by_value(__name__)
 # The end of a text is a token of its own; no word has this hash.
 END = np.uint64(0x9D39247E33776D41)
 DISCOUNT = 0.75
-MIN_PAIRS = 2
+MIN_PAIRS = 1
 # Entries of a file of a level.
 PER_FILE = 1_000_000
 # Steps of a quantised probability for a factor of 2.

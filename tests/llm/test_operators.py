@@ -572,3 +572,13 @@ def test_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)
     assert "corpus_pipeline" in sys.modules or __import__("corpus_pipeline").STAGES
+
+
+def test_pairs_that_occur_once_are_held(spark):
+    """Of two texts of the same words, the one whose pairs were met once is likelier."""
+    met = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40)))], "doc_id long, text string")
+    levels = language_model.train(met)
+    asked = spark.createDataFrame([(1, "w3 w4 w5 w6"), (2, "w6 w4 w3 w5")], "doc_id long, text string")
+    found = {r.doc_id: r for r in language_model.score(asked, levels).collect()}
+    assert abs(found[1].base_score - found[2].base_score) < 1e-9
+    assert found[1].score > found[2].score + 1
