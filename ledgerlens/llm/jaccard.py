@@ -45,6 +45,8 @@ ORDERS = 2
 # Cells of the frequency sketch, at most; one byte each is sent to the tasks.
 MAX_CELLS = 1 << 20
 TOKENS_PER_CELL = 64
+# Cells in which tokens held by one member of the hot groups are told from shared ones; two bits each are sent to the tasks.
+SEEN = 1 << 22
 # Groups up to this size give their pairs; larger ones are compared in blocks of BLOCK nodes and VOLUME tokens.
 SMALL = 64
 BLOCK = 512
@@ -123,18 +125,68 @@ def token_levels(docs: DataFrame, k: int = SHINGLE, max_cells: int = MAX_CELLS)
     """
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = 1 << min(int(math.log2(max_cells)), max(12, math.ceil(math.log2(chars / 6 / TOKENS_PER_CELL + 1))))
-    counted = stored(docs.select("text").mapInArrow(count_cells(cells, k), "key long, cells binary"), "jaccard-cells")
+    found = merged(stored(docs.select("text").mapInArrow(count_cells(cells, k), "key long, cells binary"), "jaccard-cells"), add_cells)
+    total = np.frombuffer(found, np.uint32) if found else np.zeros(cells, np.uint32)
+    return np.minimum(255, np.log2(total + 1.0) * 4).astype(np.uint8)
+
+
+def merged(counted: DataFrame, add: Callable[[pd.DataFrame], pd.DataFrame]) -> bytes | None:
+    """The sum of the cells of a stored table of (key, cells), some rows at a time; nothing for an empty table."""
     rows = counted.count()
     while rows > 1:
         groups = max(1, rows // 8)
         counted = stored(
-            counted.groupBy(bucket(groups, F.lit(rows), "key").alias("_g")).applyInPandas(add_cells, "key long, cells binary"),
+            counted.groupBy(bucket(groups, F.lit(rows), "key").alias("_g")).applyInPandas(add, "key long, cells binary"),
             "jaccard-cells",
         )
         rows = counted.count() if groups > 1 else 1
     found = counted.first()
-    total = np.frombuffer(found["cells"], np.uint32) if found else np.zeros(cells, np.uint32)
-    return np.minimum(255, np.log2(total + 1.0) * 4).astype(np.uint8)
+    return found["cells"] if found else None
+
+
+def seen_cells(cells: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Which cells hold a token, and which hold two or more, of the lists a task reads, as one row of bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, more = np.zeros(cells, bool), np.zeros(cells, bool)
+        for batch in batches:
+            at, often = np.unique(cells_of(batch.column("tokens").flatten(), cells), return_counts=True)
+            more[at] |= once[at] | (often > 1)
+            once[at] = True
+        body = np.packbits(np.concatenate([once, more])).tobytes()
+        yield pa.RecordBatch.from_pydict({"key": [mix_key(set_id(np.frombuffer(body, np.uint8)) % 2**64)], "cells": pa.array([body], pa.binary())})
+
+    return run
+
+
+def cells_of(tokens: pa.Array, cells: int) -> np.ndarray:
+    return tokens.to_numpy(zero_copy_only=False).astype(np.int64) & (cells - 1)
+
+
+def add_seen(rows: pd.DataFrame) -> pd.DataFrame:
+    once = more = np.zeros((), np.uint8)
+    for x in rows["cells"]:
+        o, m = np.frombuffer(x, np.uint8).reshape(2, -1)
+        once, more = once | o, more | m | (once & o)
+    body = np.concatenate([once, more]).tobytes()
+    return pd.DataFrame({"key": [mix_key(set_id(np.frombuffer(body, np.uint8)) % 2**64)], "cells": [body]})
+
+
+def only_shared(seen: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Leave out of the lists the tokens that no other list holds; rows without any are left out as well."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        more = np.unpackbits(np.frombuffer(seen, np.uint8)).astype(bool).reshape(2, -1)[1]
+        for batch in batches:
+            column = batch.column("tokens")
+            tokens = column.flatten()
+            keep = more[cells_of(tokens, len(more))]
+            row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())[keep]
+            kept = pa.ListArray.from_arrays(np.searchsorted(row, np.arange(len(column) + 1)).astype(np.int32), tokens.filter(pa.array(keep)))
+            there = pa.array(np.bincount(row, minlength=len(column)) > 0)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), kept], ["node", "tokens"]).filter(there)
+
+    return run
 
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -437,6 +489,18 @@ def alone(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return groups.select("key", "node", "root", block.alias("_block"), block.alias("_i"), block.alias("_j"))
 
 
+def shared_lists(lists: DataFrame) -> DataFrame:
+    """(node, tokens) of the lists of distinct nodes, without tokens that only one of them holds.
+
+    Rare tokens come first in a prefix, so most of its tokens divide nothing.
+    Which ones may be held by two is known by cells of a sketch of fixed size:
+    a cell that two tokens share keeps both, nothing shared is lost.
+    """
+    lists = stored(lists, "jaccard-lists")
+    seen = merged(stored(lists.select("tokens").mapInArrow(seen_cells(SEEN), "key long, cells binary"), "jaccard-cells"), add_seen)
+    return lists.mapInArrow(only_shared(seen), lists.schema) if seen else lists
+
+
 def together(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """Every node beside each other block of its group; groups are divided first where that leaves less to compare.
 
@@ -447,8 +511,11 @@ def together(groups: DataFrame, sets: DataFrame) -> DataFrame:
     groups = groups.filter(col("blocks") > 1).withColumn("_new", F.lit(False)).select(*columns)
     for o in range(1, ORDERS + 1):
         large = groups.filter(col("blocks") > 1)
-        other = sets.select("node", F.explode(f"other{o}").alias("_t"))
-        parts = large.join(other, "node").select(col("key").alias("_of"), F.xxhash64("key", "_t").alias("key"), "node", "n", "root")
+        lists = shared_lists(sets.join(large.select("node").distinct(), "node").select("node", col(f"other{o}").alias("tokens")))
+        # A member meets its list as one row, which is taken apart after that.
+        met = large.select("key", "node", "n", "root").join(lists, "node")
+        parts = met.select(col("key").alias("_of"), "node", "n", "root", F.explode("tokens").alias("_t"))
+        parts = stored(parts.select("_of", F.xxhash64("_of", "_t").alias("key"), "node", "n", "root"), "jaccard-tokens")
         sizes = parts.groupBy("_of", "key").agg(F.count(F.lit(1)).alias("_s"), F.sum("n").alias("_v")).filter(col("_s") > 1)
         cost = sizes.groupBy("_of").agg(F.sum(col("_s") * block_count("_s", "_v")).alias("_cost"))
         costs = large.select(col("key").alias("_of"), "size", "blocks").distinct().join(cost, "_of", "left")

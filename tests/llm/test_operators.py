@@ -556,6 +556,27 @@ def test_a_hot_group_is_divided_by_further_orders(spark, monkeypatch):
     assert wanted <= pairs and len(pairs) < 48 * 47 / 2
 
 
+def test_dividing_a_hot_group_reads_shared_tokens_only(spark, monkeypatch):
+    """A member meets its prefix as one row, and tokens that nobody shares are not taken apart; every pair still meets."""
+    kept = {}
+
+    def watched(df, name):
+        kept.setdefault(name, []).append(df := stored(df, name))
+        return df
+
+    stored = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", watched)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    sets = [(i, 50, [i % 12, *range(1000 + 20 * i, 1020 + 20 * i)], [i % 12, -5 - i]) for i in range(48)]
+    members = spark.createDataFrame([(1, i, n, i) for i, n, _, _ in sets], "key long, node long, n long, root long")
+    given = spark.createDataFrame(sets, "node long, n long, other1 array<int>, other2 array<int>")
+    met = jaccard.together(stored(jaccard.open_groups(members), "test-groups"), given).collect()
+    assert {(r["node"] % 12) for r in met} == set(range(12)) and len({r["key"] for r in met}) == 12
+    assert kept["jaccard-tokens"][0].count() == 48
+    assert [sorted(r.tokens) for r in jaccard.shared_lists(given.selectExpr("node", "other1 AS tokens")).orderBy("node").collect()] == [[i % 12] for i in range(48)]
+    assert jaccard.shared_lists(given.limit(0).selectExpr("node", "other1 AS tokens")).count() == 0
+
+
 def test_a_forest_ties_what_is_linked():
     rng = np.random.default_rng(3)
     tokens = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
