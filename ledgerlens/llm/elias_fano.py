@@ -41,13 +41,14 @@ def unpacked(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 
 
 class EliasFano:
-    """A sequence that does not fall: low bits packed, high bits in unary."""
+    """A sequence that does not fall: low bits packed, high bits in unary.
 
-    def __init__(self, n: int, width: int, lows: np.ndarray, highs: np.ndarray):
-        self.n, self.width, self.lows, self.highs = n, width, lows, highs
-        # Ones before each word; small beside the sequence.
-        self.ones = np.concatenate([[0], np.cumsum(np.bitwise_count(highs).astype(np.int64))])
-        self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+    The ones and zeros before each word of high bits are part of what is
+    written, so that a mapped file is opened without being read.
+    """
+
+    def __init__(self, n: int, width: int, lows: np.ndarray, highs: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
+        self.n, self.width, self.lows, self.highs, self.ones, self.zeros = n, width, lows, highs, ones, zeros
 
     @classmethod
     def build(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -60,16 +61,21 @@ class EliasFano:
         flags = np.zeros(size * 64, bool)
         flags[high] = True
         highs = np.packbits(flags, bitorder="little").view(np.uint64)
-        return cls(n, width, packed(values & np.uint64(2**width - 1), width), highs)
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(highs).astype(np.int64))])
+        zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
+        return cls(n, width, packed(values & np.uint64(2**width - 1), width), highs, ones, zeros)
 
     def arrays(self) -> list[np.ndarray]:
-        return [np.array([self.n, self.width, len(self.lows), len(self.highs)], np.uint64), self.lows, self.highs]
+        head = np.array([self.n, self.width, len(self.lows), len(self.highs)], np.uint64)
+        return [head, self.lows, self.highs, self.ones.view(np.uint64), self.zeros.view(np.uint64)]
 
     @classmethod
     def read(cls, words: np.ndarray) -> tuple[EliasFano, int]:
         """A sequence from the start of ``words``, and how many words it takes."""
         n, width, lows, highs = (int(x) for x in words[:4])
-        return cls(n, width, words[4 : 4 + lows], words[4 + lows : 4 + lows + highs]), 4 + lows + highs
+        edges = np.cumsum([4, lows, highs, highs + 1, highs + 1]).tolist()
+        low, high, ones, zeros = (words[a:b] for a, b in zip(edges[:-1], edges[1:]))
+        return cls(n, width, low, high, ones.view(np.int64), zeros.view(np.int64)), edges[-1]
 
     def select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Place of the k-th one, or zero, of the high bits."""

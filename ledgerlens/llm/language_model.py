@@ -56,14 +56,23 @@ PER_FILE = 1_000_000
 # Steps of a quantised probability for a factor of 2.
 STEPS = 12.0
 # Tokens that a task gathers before it sums them, and bytes of text scored at a time.
-GATHER = 2_000_000
+GATHER = 1_000_000
 SCORE_BYTES = 2_000_000
+# Rows of a batch that a task gives at once.
+GIVEN = 100_000
+# Files of a level that a task holds: mapped ones are opened again at no cost, read ones are not.
+HELD_MAPPED = 8
+HELD_READ = 64
+
+
+def mapped(folder: str) -> bool:
+    return urlparse(folder).scheme in ("", "file")
 
 
 def shared_write(folder: str, name: str, parts: list[np.ndarray]) -> None:
     """Write a file of the shared folder; a repeated attempt replaces it by the same content."""
     body = b"".join(np.ascontiguousarray(x).tobytes() for x in parts)
-    if urlparse(folder).scheme in ("", "file"):
+    if mapped(folder):
         path = urlparse(folder).path
         os.makedirs(path, exist_ok=True)
         attempt = f"{path}/.{name}-{uuid.uuid4().hex}"
@@ -83,8 +92,8 @@ def shared_write(folder: str, name: str, parts: list[np.ndarray]) -> None:
 
 def shared_read(folder: str, name: str, kind: type = np.uint64) -> np.ndarray:
     """A file of the shared folder, mapped into memory if it is mounted."""
-    if urlparse(folder).scheme in ("", "file"):
-        return np.memmap(f"{urlparse(folder).path}/{name}", kind, "r")
+    if mapped(folder):
+        return np.memmap(f"{urlparse(folder).path}/{name}", kind, "r").view(np.ndarray)
     from pyarrow import fs
 
     system, path = fs.FileSystem.from_uri(folder)
@@ -103,6 +112,12 @@ class Levels:
     distinct: int
 
 
+def room(files: dict, folder: str) -> None:
+    """Let go of the file that was opened first, where a task holds as many as it may; its pages leave memory with it."""
+    while len(files) >= (HELD_MAPPED if mapped(folder) else HELD_READ):
+        files.pop(next(iter(files)))
+
+
 class Words:
     """Level 1, file by file."""
 
@@ -113,13 +128,12 @@ class Words:
 
     def file(self, i: int) -> tuple:
         if i not in self.files:
+            room(self.files, self.levels.folder)
             words = shared_read(self.levels.folder, f"words-{i}")
             hashes, size = EliasFano.read(words)
             counts = words[size : size + hashes.n]
             left = shared_read(self.levels.folder, f"left-{i}", np.uint16) if self.left else None
             self.files[i] = hashes, counts, left
-            if len(self.files) > 64:
-                self.files.pop(next(iter(self.files)))
         return self.files[i]
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,13 +177,12 @@ class Pairs:
 
     def file(self, i: int) -> tuple:
         if i not in self.files:
+            room(self.files, self.levels.folder)
             words = shared_read(self.levels.folder, f"pairs-{self.levels.pairs[i][0]}")
             contexts, a = EliasFano.read(words)
             pointers, b = EliasFano.read(words[a:])
             successors, c = EliasFano.read(words[a + b :])
             self.files[i] = contexts, pointers, successors, words[a + b + c :].view(np.uint8)
-            if len(self.files) > 64:
-                self.files.pop(next(iter(self.files)))
         return self.files[i]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -207,6 +220,11 @@ def summed(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
 
 
+def in_batches(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(key), GIVEN):
+        yield pa.RecordBatch.from_arrays([pa.array(key[i : i + GIVEN]), pa.array(n[i : i + GIVEN])], ["key", "n"])
+
+
 def counted(gathered: Iterator[np.ndarray], kind: type) -> Iterator[pa.RecordBatch]:
     """(key, n) of everything a task gathers, summed whenever it holds many."""
     keys: list[np.ndarray] = []
@@ -219,11 +237,11 @@ def counted(gathered: Iterator[np.ndarray], kind: type) -> Iterator[pa.RecordBat
             a, b = summed(keys, counts)
             keys, counts = [a], [b]
             if len(a) > GATHER // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(kind)), pa.array(b)], ["key", "n"])
+                yield from in_batches(a.view(kind), b)
                 keys, counts = [], []
     if keys:
         a, b = summed(keys, counts)
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(kind)), pa.array(b)], ["key", "n"])
+        yield from in_batches(a.view(kind), b)
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -556,6 +556,24 @@ def test_a_hot_group_is_divided_by_further_orders(spark, monkeypatch):
     assert wanted <= pairs and len(pairs) < 48 * 47 / 2
 
 
+def test_a_task_holds_few_files_of_the_model(spark):
+    """Mapped files are let go of while others are read, and what a task has counted goes out in small batches."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices([f"w{x}" for x in range(60)], k=40))) for i in range(200)]
+    levels = language_model.train(spark.createDataFrame(rows, "doc_id long, text string"), per_file=100)
+    assert len(levels.pairs) > language_model.HELD_MAPPED
+    words, pairs = language_model.Words(levels, True), language_model.Pairs(levels)
+    keys = (np.repeat(np.arange(levels.distinct), levels.distinct) << 32) | np.tile(np.arange(levels.distinct), levels.distinct)
+    found = pairs.find(keys)
+    assert len(pairs.files) == language_model.HELD_MAPPED and len(words.files) <= language_model.HELD_MAPPED
+    said = [[*t.split(), "end"] for _, t in rows]
+    assert (found > 0).sum() == len({pair for w in said for pair in zip(w, w[1:])})
+    sequence = pairs.file(0)[2]
+    assert np.shares_memory(sequence.ones, sequence.ones.base) and (sequence.ones[-1], sequence.zeros[0]) == (sequence.n, 0)
+    batches = list(language_model.counted(iter([np.arange(250_000, dtype=np.uint64)]), np.int64))
+    assert [b.num_rows for b in batches] == [100_000, 100_000, 50_000]
+
+
 def test_dividing_a_hot_group_reads_shared_tokens_only(spark, monkeypatch):
     """A member meets its prefix as one row, and tokens that nobody shares are not taken apart; every pair still meets."""
     kept = {}
