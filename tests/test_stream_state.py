@@ -3,6 +3,7 @@
 import datetime
 import random
 
+import pandas as pd
 import pytest
 
 from ledgerlens.session import scratch_path
@@ -67,3 +68,11 @@ def test_the_state_setting_is_put_back(spark):
     with state.keyed_state(spark):
         assert spark.conf.get(state.PROVIDER) == state.ROCKSDB
     assert spark.conf.get(state.PROVIDER, None) == before
+
+
+def test_a_client_costs_little(spark):
+    """Rows of a client stay plain values: newest first, missing values last, ties in the order they came, whole numbers whole."""
+    rows = [(1, 5.0), (2, None), (3, 7.0), (4, 5.0)]
+    assert state.newest(rows, [1], 3) == [(3, 7.0), (1, 5.0), (4, 5.0)] and state.newest(rows, [1], 9)[-1] == (2, None)
+    assert state.listed(pd.Series([1.0, None, 3.0]), True) == [1, None, 3]
+    assert state.listed(pd.Series([pd.Timestamp("2024-01-01"), pd.NaT])) == [datetime.datetime(2024, 1, 1), None]
