@@ -54,10 +54,17 @@ PART = 250_000
 # Bytes of text of one step; bytes of pieces whose ids a task remembers, what an entry takes besides its text and ids,
 # and pieces learnt at once.
 STEP_BYTES = 500_000
-REMEMBERED_BYTES = 40_000_000
+REMEMBERED_BYTES = 100_000_000
 ENTRY = 160
 LEARNED = 20_000
 MAGIC = 0x32464854
+# What a byte is to the tokenizer's pattern: of letters and punctuation, those of ASCII are told.
+OTHER, BLANK, FEED, LETTER, MARK = range(5)
+BYTE_KINDS = np.full(256, OTHER, np.uint8)
+BYTE_KINDS[33:127] = MARK
+BYTE_KINDS[48:58] = OTHER
+BYTE_KINDS[65:91] = BYTE_KINDS[97:123] = LETTER
+BYTE_KINDS[[10, 32]] = FEED, BLANK
 # White space that a tokenizer's pattern may join with a neighbouring blank, apart from blank and line feed.
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
@@ -71,10 +78,11 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer, remembering those of pieces.
 
-    The tokenizer's pattern always cuts before a blank between two other
-    characters, so ids of the pieces between such blanks are those of the text.
-    A text with other white space beside a blank, or with an added token in
-    it, goes to the tokenizer whole.
+    The tokenizer's pattern always cuts before a blank or line feed between two
+    other characters, and between a letter and punctuation behind it, so ids of
+    the pieces between such places are those of the text. A text with other
+    white space beside a blank, or with an added token in it, goes to the
+    tokenizer whole.
     """
 
     def __init__(self, definition: str):
@@ -91,6 +99,8 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.lengths[list(vocabulary.values())] = [len(name) for name in vocabulary]
         self.pieces_known = "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
+        # An added token with a line feed could come about where pieces are joined.
+        self.pieces_known &= not any("\n" in a for a in self.added)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -101,21 +111,24 @@ class Encoder:
         return self.pieces_known and not ODD_SPACE.search(text) and not any(a in text for a in self.added)
 
     def learn(self, missing: list[bytes]) -> None:
-        """Remember the ids of pieces, each with the blank before it, many in one text.
+        """Remember the ids of pieces, many in one text.
 
         A byte-level token stands for as many bytes as its name has letters, and
-        no token crosses a blank, so running lengths tell where a piece ends.
+        no token crosses the blank or line feed before a piece, so running
+        lengths tell where a piece ends. A piece that begins with neither is
+        given a line feed, whose one id is left out again.
         """
         unit = np.dtype(self.kind).itemsize
         for at in range(0, len(missing), LEARNED):
             groups = [missing[i : i + 50] for i in range(at, min(at + LEARNED, len(missing)), 50)]
-            joined = [b"".join(g).decode() for g in groups]
+            joined = [b"".join(p if p[0] in b" \n" else b"\n" + p for p in g).decode() for g in groups]
             for group, text, found in zip(groups, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
                 ids = np.array(found.ids, self.kind)
-                ends = np.cumsum([len(w) for w in group])
+                added = [p[0] not in b" \n" for p in group]
+                ends = np.cumsum([len(p) + a for p, a in zip(group, added)])
                 cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * unit).tolist()
                 body = ids.tobytes()
-                self.known.update(zip(group, (body[a:b] for a, b in zip([0, *cuts], cuts))))
+                self.known.update(zip(group, (body[a + unit * more : b] for a, b, more in zip([0, *cuts], cuts, added))))
                 self.held += len(text) + len(body) + len(group) * ENTRY
 
     def parts(self, text: str) -> Iterator[str]:
@@ -146,8 +159,11 @@ class Encoder:
             return []
         points = np.frombuffer(data, np.uint8)
         edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        # A piece begins with its blank; the first of a text may have none.
-        opens = points == 32
+        # A piece begins with its blank, a single line feed or punctuation; the first of a text may have none of them.
+        kinds = BYTE_KINDS[points]
+        opens = kinds == BLANK
+        opens[1:] |= (kinds[1:] == MARK) & (kinds[:-1] == LETTER)
+        opens[1:-1] |= (kinds[1:-1] == FEED) & (kinds[:-2] != FEED) & (kinds[2:] != FEED)
         opens[edges[:-1]] = True
         begin = np.flatnonzero(opens)
         length = np.diff(np.append(begin, len(data)))
@@ -157,11 +173,12 @@ class Encoder:
             self.known.clear()
             self.held = 0
         missing = [p for p in pieces_ if p not in self.known]
-        self.learn([p for p in missing if p[0] == 32])
-        for piece in missing:
-            if piece[0] != 32:
-                self.known[piece] = self.whole(piece.decode())
-                self.held += 2 * len(piece) + ENTRY
+        # Line feeds at an end would join those of a neighbour.
+        apart = [p[-1] == 10 or p[:2] == b"\n\n" for p in missing]
+        self.learn([p for p, a in zip(missing, apart) if not a])
+        for piece in (p for p, a in zip(missing, apart) if a):
+            self.known[piece] = self.whole(piece.decode())
+            self.held += 2 * len(piece) + ENTRY
         bodies = [self.known[p] for p in pieces_]
         ids = np.frombuffer(b"".join(bodies), self.kind)
         size = np.array([len(b) for b in bodies]) // np.dtype(self.kind).itemsize
