@@ -4,6 +4,7 @@ import random
 import pytest
 from helpers import FORM_STATES, by, rows
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import loans, training
@@ -227,3 +228,24 @@ def test_result_tables(spark, trained, tmp_path):
     tables = fraud.result_tables(scored, str(tmp_path))
     assert tables["scored"].count() == scored.count() and tables["state_summary"].count() == scored.select("state").distinct().count()
     assert sum(r["total_txns"] for r in tables["tier_distribution"].collect()) == scored.count()
+
+
+def test_grid_prepares_a_fold_once_and_has_exact_areas(trained, monkeypatch):
+    data, _ = trained
+    fits, areas = [], []
+    fit, evaluate = StringIndexer.fit, fraud.BinaryClassificationEvaluator.evaluate
+    monkeypatch.setattr(StringIndexer, "fit", lambda self, *args: fits.append(1) or fit(self, *args))
+
+    def kept(self, scored):
+        area = evaluate(self, scored)
+        pairs = [(r["is_fraud"], float(r["rawPrediction"][1])) for r in scored.select("is_fraud", "rawPrediction").collect()]
+        areas.append((area, auc_by_pairs(pairs)))
+        return area
+
+    monkeypatch.setattr(fraud.BinaryClassificationEvaluator, "evaluate", kept)
+    found = fraud.grid_search(data.train, "txn_id", trees=(2, 5), depths=(2, 4))
+    # Three folds and the winner, not four points of each fold.
+    assert len(fits) == 3 + 1 and len(areas) == 12
+    assert [a for a, _ in areas] == pytest.approx([b for _, b in areas], abs=1e-9)
+    again = fraud.grid_search(data.train, "txn_id", trees=(2, 5), depths=(2, 4))
+    assert rows(again.table) == rows(found.table)
