@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ledgerlens.llm.common import by_value, distinct, pieces, slices, spread, stored
+from ledgerlens.llm.common import by_value, mix64, pieces, slices, spread, stored
 from ledgerlens.llm.language_model import shared_read, shared_write
 from ledgerlens.session import scratch_path
 
@@ -51,12 +51,16 @@ RANGE_BYTES = 64_000_000
 TASK_BLOCKS = 4
 # Characters of a long text that are encoded at once.
 PART = 250_000
-# Bytes of text of one step; bytes of pieces whose ids a task remembers, what an entry takes besides its text and ids,
-# and pieces learnt at once.
+# Bytes of text of one step; bytes of pieces whose ids a task remembers, what an entry takes besides its ids, that of
+# a long piece also besides its text, pieces learnt at once, and places of a table at first.
 STEP_BYTES = 500_000
 REMEMBERED_BYTES = 100_000_000
-ENTRY = 160
+ENTRY, LONG_ENTRY = 80, 160
 LEARNED = 20_000
+PLACES = 1 << 16
+# Bytes of a piece that two numbers tell exactly, with its length in the last byte; and the masks of the first 0 to 8 bytes.
+SHORT = 15
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 MAGIC = 0x32464854
 # What a byte is to the tokenizer's pattern: of letters and punctuation, those of ASCII are told.
 OTHER, BLANK, FEED, LETTER, MARK = range(5)
@@ -67,6 +71,8 @@ BYTE_KINDS[65:91] = BYTE_KINDS[97:123] = LETTER
 BYTE_KINDS[[10, 32]] = FEED, BLANK
 # White space that a tokenizer's pattern may join with a neighbouring blank, apart from blank and line feed.
 ODD_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+# The first bytes of these.
+ODD_BYTES = bytes([9, 11, 12, 13, *range(28, 32), 0xC2, 0xE1, 0xE2, 0xE3])
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -75,6 +81,98 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def short_keys(data: bytes, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers for each stretch of 1 to ``SHORT`` bytes: its bytes, and its length; ``data`` has 16 bytes to spare."""
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    low = eight[begin] & MASKS[np.minimum(length, 8)]
+    high = eight[begin + 8] & MASKS[np.maximum(length, 8) - 8]
+    return low, high | length.astype(np.uint64) << np.uint64(56)
+
+
+class Known:
+    """Ids of pieces: of short ones, all of a step are looked up at once, without an object for any of them.
+
+    Their two numbers are in a table with linear probing, so pieces are compared
+    whole; no piece has the second number 0. Longer pieces are in a dictionary.
+    For each there is where its ids begin among all ids, and in the lower half
+    their number.
+    """
+
+    def __init__(self, kind: str):
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.count, self.size, self.text = 0, 0, 0
+        self.long: dict[bytes, int] = {}
+        self.ids = np.empty(PLACES, self.kind)
+        self.empty(PLACES)
+
+    def empty(self, places: int) -> None:
+        self.low, self.high, self.at = np.zeros(places, np.uint64), np.zeros(places, np.uint64), np.zeros(places, np.int64)
+
+    def __len__(self) -> int:
+        return self.count + len(self.long)
+
+    @property
+    def held(self) -> int:
+        return self.count * ENTRY + len(self.long) * LONG_ENTRY + self.text + self.size * self.ids.itemsize
+
+    def first(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return (mix64(low ^ mix64(high)) & np.uint64(len(self.at) - 1)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Where the ids of short pieces are, -1 for those not known."""
+        out, left, place = np.full(len(low), -1), np.arange(len(low)), self.first(low, high)
+        while len(left):
+            there = self.high[place]
+            same = (there == high) & (self.low[place] == low)
+            out[left[same]] = self.at[place[same]]
+            go = np.flatnonzero(~same & (there != 0))
+            left, low, high, place = left[go], low[go], high[go], (place[go] + 1) & (len(self.at) - 1)
+        return out
+
+    def place(self, low: np.ndarray, high: np.ndarray, at: np.ndarray) -> None:
+        """Enter short pieces that differ and are not known."""
+        place = self.first(low, high)
+        while len(low):
+            free = np.flatnonzero(self.high[place] == 0)
+            # Of those that want one place, one has it.
+            self.at[place[free]] = free
+            won = free[self.at[place[free]] == free]
+            for column, values in ((self.low, low), (self.high, high), (self.at, at)):
+                column[place[won]] = values[won]
+            go = np.ones(len(low), bool)
+            go[won] = False
+            low, high, at, place = low[go], high[go], at[go], (place[go] + 1) & (len(self.at) - 1)
+
+    def add(self, new: list[bytes], ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Enter different pieces that are not known; of each, ``size`` ids from ``begin``."""
+        if self.size + len(ids) > len(self.ids):
+            grown = np.empty(2 * (self.size + len(ids)), self.kind)
+            grown[: self.size] = self.ids[: self.size]
+            self.ids = grown
+        self.ids[self.size : self.size + len(ids)] = ids
+        at = (begin + self.size << 32) + size
+        self.size += len(ids)
+        length = np.array([len(p) for p in new], np.int64)
+        short = length <= SHORT
+        for i in np.flatnonzero(~short).tolist():
+            self.long[new[i]] = int(at[i])
+            self.text += len(new[i])
+        low, high = short_keys(b"".join([*new, bytes(16)]), (np.cumsum(length) - length)[short], length[short])
+        self.count += len(low)
+        places = len(self.at)
+        while 5 * self.count > 3 * places:
+            places *= 2
+        if places > len(self.at):
+            used = np.flatnonzero(self.high)
+            had = self.low[used], self.high[used], self.at[used]
+            self.empty(places)
+            self.place(*had)
+        self.place(low, high, at[short])
+
+
 class Encoder:
     """Ids of whole texts by a byte-level tokenizer, remembering those of pieces.
 
@@ -93,8 +191,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.known = Known(self.kind)
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         self.lengths[list(vocabulary.values())] = [len(name) for name in vocabulary]
@@ -105,10 +202,11 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def regular(self, text: str) -> bool:
+    def regular(self, text: str, written: bytes) -> bool:
         if "  " in text or "\n " in text or " \n" in text or text.endswith(" "):
             return False
-        return self.pieces_known and not ODD_SPACE.search(text) and not any(a in text for a in self.added)
+        odd = len(written.translate(None, ODD_BYTES)) < len(written) and ODD_SPACE.search(text)
+        return self.pieces_known and not odd and not any(a in text for a in self.added)
 
     def learn(self, missing: list[bytes]) -> None:
         """Remember the ids of pieces, many in one text.
@@ -118,18 +216,17 @@ class Encoder:
         lengths tell where a piece ends. A piece that begins with neither is
         given a line feed, whose one id is left out again.
         """
-        unit = np.dtype(self.kind).itemsize
         for at in range(0, len(missing), LEARNED):
-            groups = [missing[i : i + 50] for i in range(at, min(at + LEARNED, len(missing)), 50)]
-            joined = [b"".join(p if p[0] in b" \n" else b"\n" + p for p in g).decode() for g in groups]
-            for group, text, found in zip(groups, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-                ids = np.array(found.ids, self.kind)
-                added = [p[0] not in b" \n" for p in group]
-                ends = np.cumsum([len(p) + a for p, a in zip(group, added)])
-                cuts = ((np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * unit).tolist()
-                body = ids.tobytes()
-                self.known.update(zip(group, (body[a + unit * more : b] for a, b, more in zip([0, *cuts], cuts, added))))
-                self.held += len(text) + len(body) + len(group) * ENTRY
+            some = missing[at : at + LEARNED]
+            added = np.array([p[0] not in b" \n" for p in some])
+            given = [b"\n" + p if a else p for p, a in zip(some, added.tolist())]
+            joined = [b"".join(given[i : i + 50]).decode() for i in range(0, len(given), 50)]
+            found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            ids = np.concatenate([np.array(f.ids, self.kind) for f in found])
+            ends = np.cumsum([len(p) for p in given])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            begin = np.concatenate([[0], cuts[:-1]]) + added
+            self.known.add(some, ids, begin, cuts - begin)
 
     def parts(self, text: str) -> Iterator[str]:
         """A text in parts of about ``PART`` characters, cut where the tokenizer's pattern always cuts.
@@ -148,42 +245,46 @@ class Encoder:
         yield text[start:]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        regular = [bool(t) and self.regular(t) for t in texts]
-        found = iter(self.by_pieces([t.encode() for t, r in zip(texts, regular) if r]))
+        written = [t.encode() for t in texts]
+        regular = [bool(t) and self.regular(t, w) for t, w in zip(texts, written)]
+        found = iter(self.by_pieces([w for w, r in zip(written, regular) if r]))
         return [next(found) if r else self.whole(t) if t else b"" for t, r in zip(texts, regular)]
 
     def by_pieces(self, texts: list[bytes]) -> list[bytes]:
         """Ids of regular texts: those of their distinct pieces, put in their places."""
-        data = b"".join(texts)
-        if not data:
+        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        if not edges[-1]:
             return []
-        points = np.frombuffer(data, np.uint8)
-        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        data = b"".join([*texts, bytes(16)])
         # A piece begins with its blank, a single line feed or punctuation; the first of a text may have none of them.
-        kinds = BYTE_KINDS[points]
+        kinds = BYTE_KINDS[np.frombuffer(data, np.uint8)[: edges[-1]]]
         opens = kinds == BLANK
         opens[1:] |= (kinds[1:] == MARK) & (kinds[:-1] == LETTER)
         opens[1:-1] |= (kinds[1:-1] == FEED) & (kinds[:-2] != FEED) & (kinds[2:] != FEED)
         opens[edges[:-1]] = True
         begin = np.flatnonzero(opens)
-        length = np.diff(np.append(begin, len(data)))
-        chosen, same = distinct(points, begin, length)
-        pieces_ = [data[a:b] for a, b in zip(begin[chosen].tolist(), (begin + length)[chosen].tolist())]
-        if self.held > REMEMBERED_BYTES:
+        length = np.diff(begin, append=edges[-1])
+        if self.known.held > REMEMBERED_BYTES:
             self.known.clear()
-            self.held = 0
-        missing = [p for p in pieces_ if p not in self.known]
+        short, long = np.flatnonzero(length <= SHORT), np.flatnonzero(length > SHORT)
+        low, high = short_keys(data, begin[short], length[short])
+        at = np.full(len(begin), -1)
+        at[short] = self.known.find(low, high)
+        apart = [data[b : b + n] for b, n in zip(begin[long].tolist(), length[long].tolist())]
+        new = np.flatnonzero(at[short] < 0)
+        told = [data[b : b + n] for b, n in zip(begin[short[new]].tolist(), length[short[new]].tolist())]
+        missing = [*dict.fromkeys(told), *(p for p in dict.fromkeys(apart) if p not in self.known.long)]
         # Line feeds at an end would join those of a neighbour.
-        apart = [p[-1] == 10 or p[:2] == b"\n\n" for p in missing]
-        self.learn([p for p, a in zip(missing, apart) if not a])
-        for piece in (p for p, a in zip(missing, apart) if a):
-            self.known[piece] = self.whole(piece.decode())
-            self.held += 2 * len(piece) + ENTRY
-        bodies = [self.known[p] for p in pieces_]
-        ids = np.frombuffer(b"".join(bodies), self.kind)
-        size = np.array([len(b) for b in bodies]) // np.dtype(self.kind).itemsize
-        out = ids[spread((np.cumsum(size) - size)[same], size[same])]
-        ends = np.concatenate([[0], np.cumsum(size[same])])[np.searchsorted(begin, edges)].tolist()
+        alone = [p[-1] == 10 or p[:2] == b"\n\n" for p in missing]
+        self.learn([p for p, a in zip(missing, alone) if not a])
+        for piece in (p for p, a in zip(missing, alone) if a):
+            ids = np.frombuffer(self.whole(piece.decode()), self.kind)
+            self.known.add([piece], ids, np.zeros(1, np.int64), np.array([len(ids)]))
+        at[short[new]] = self.known.find(low[new], high[new])
+        at[long] = [self.known.long[p] for p in apart]
+        size = at & 0xFFFFFFFF
+        out = self.known.ids[spread(at >> 32, size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(begin, edges)].tolist()
         return [out[a:b].tobytes() for a, b in zip(ends, ends[1:])]
 
 
