@@ -5,7 +5,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import term_index
 
@@ -61,3 +63,35 @@ def test_terms_are_counted_where_their_text_is(spark):
     assert sorted(map(tuple, found.collect())) == [(1, "a", 3), (1, "b", 1), (1, "c", 1), (2, "b", 1)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(doc#\d+L?, term", plan)
+
+
+@pytest.mark.parametrize("size", [1, 30, 4_000_000])
+def test_piles_count_rows_of_a_key_together(spark, size):
+    """Also where a key's rows are in several batches, and for keys that are not numbers."""
+    rng = random.Random(size)
+    rows = [(f"k{rng.randrange(25)}", rng.choice([None, "", " .", *[" ".join(rng.choice(["É", "b-c", "Ab", "x1"]) for _ in range(5)) for _ in range(9)]])) for _ in range(90)]
+    rows += [("many", "b b a")] * 9 + [(None, "a"), ("none", None)]
+    given = spark.createDataFrame(rows, "doc string, body string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        piles = term_index.piles(given, "doc", "body", size).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = []
+    for p in piles:
+        sizes, places, n = (np.frombuffer(p[c], kind) for c, kind in (("sizes", np.int32), ("places", np.int32), ("counts", np.int64)))
+        found += zip(np.repeat(p["ids"], sizes).tolist(), [p["words"][i] for i in places], n.tolist())
+        assert p["first"] == p["ids"][0] and p["held"] == np.bincount(places, minlength=len(p["words"])).tolist()
+    assert sorted(found) == sorted(map(tuple, term_index.counted(given, "doc", "body").collect()))
+    assert len({p["first"] for p in piles}) == len(piles) and ("many", "b", 18) in found
+
+
+def test_maxima_are_those_of_the_postings(spark):
+    """They are read from the postings, so that no posting is shuffled for them."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(20)}" for _ in range(8))) for i in range(120)]
+    index = term_index.build_terms(spark.createDataFrame(rows, "doc long, body string"), "doc", "body", 8)
+    largest = {(r.term, r.block): r.m for r in index.postings.groupBy("term", "block").agg(F.max("weight").alias("m")).collect()}
+    held = index.maxima.groupBy("term", "block").agg(F.max("most").alias("m")).collect()
+    assert {(r.term, r.block): r.m for r in held} == largest
+    assert "Exchange" not in index.maxima._jdf.queryExecution().executedPlan().toString()
