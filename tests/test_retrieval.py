@@ -262,3 +262,12 @@ def test_only_winners_are_shuffled(data):
     vectors, queries, _ = data
     text = plan(retrieval.similar(queries, vectors, 3))
     assert "MapInArrow" in text and "WindowGroupLimit" in text and "Cartesian" not in text
+
+
+def test_equal_rows_have_equal_scores():
+    """Wherever they stand in a matrix product, so that equal scores go by id."""
+    rng = np.random.default_rng(1)
+    for n in range(6, 80):
+        row, asked = (v / np.linalg.norm(v) for v in rng.normal(size=(2, 16)))
+        found = nearest_module.nearest(np.array([1]), asked[None], np.arange(n), np.repeat(row[None], n, axis=0), 5)
+        assert found["score"].nunique() == 1 and found["id"].tolist() == [0, 1, 2, 3, 4]
